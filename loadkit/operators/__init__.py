@@ -6,11 +6,11 @@ from loadkit.operators.joins import left_lookup, natural_join, null_safe_join
 from loadkit.operators.reshape import bind_tagged, pivot_fixed, union_distinct, unpivot_drop_null
 from loadkit.operators.slices import align_by_slice
 from loadkit.operators.snapshots import (
-    latest_by_date, latest_by_id, latest_run, latest_version, point_in_time)
+    latest_by_date, latest_by_id, latest_run, latest_version, point_in_time, resolve_snapshots)
 
 __all__ = [
     "add_total_member", "align_by_slice", "bind_tagged", "conservation_check", "group_checks",
     "latest_by_date", "latest_by_id", "latest_run", "latest_version", "left_lookup",
     "natural_join", "null_safe_join", "pivot_fixed", "point_in_time", "reconcile",
-    "rollup_into", "row_checks", "sum_by", "sum_numeric", "union_distinct", "unpivot_drop_null",
+    "resolve_snapshots", "rollup_into", "row_checks", "sum_by", "sum_numeric", "union_distinct", "unpivot_drop_null",
 ]

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from loadkit.config import TOTAL
 from loadkit.functions.nulls import strict_sum, sum_or_zero
-from loadkit.operators.reshape import union_distinct
 from loadkit.schema import numeric_columns
 
 
@@ -35,16 +34,21 @@ def add_total_member(df: DataFrame, keys: Sequence[str], member: str,
     """Append one row per group of the other keys with `member` set to `label`.
 
     Both levels come from one grouping-sets aggregation, so the input is read
-    and shuffled once. `keys` must identify a row of `df`.
+    and shuffled once. `keys` must identify a row of `df`. A total equal to a
+    row that already carries the label is the same row and appears once.
     """
-    others = [k for k in keys if k != member]
-    level = F.grouping(_q(member)).alias("__is_total")
-    out = df.groupingSets([[_q(k) for k in keys], [_q(k) for k in others]],
-                          *[_q(k) for k in keys]).agg(
-        level, *[strict_sum(_q(m)).alias(m) for m in measures])
-    named = out.withColumn(member, F.when(F.col("__is_total") == 1, F.lit(label))
-                           .otherwise(_q(member)))
-    return named.select(*[_q(c) for c in df.columns]).distinct()
+    others = [_q(k) for k in keys if k != member]
+    every = [_q(k) for k in keys]
+    sums = [strict_sum(_q(m)).alias(m) for m in measures]
+    labelled = F.max(F.when(_q(member) == label, F.struct(*[_q(m) for m in measures])))
+    out = df.groupingSets([every, others], *every).agg(
+        F.grouping(_q(member)).alias("__is_total"), *sums,
+        labelled.alias("__labelled"))
+    total = F.col("__is_total") == 1
+    same = F.col("__labelled").eqNullSafe(F.struct(*[_q(m) for m in measures]))
+    return (out.where(~(total & same))
+            .withColumn(member, F.when(total, F.lit(label)).otherwise(_q(member)))
+            .select(*[f"`{c}`" for c in df.columns]))
 
 
 def rollup_into(df: DataFrame, where: Column, keys: Sequence[str],
@@ -52,12 +56,22 @@ def rollup_into(df: DataFrame, where: Column, keys: Sequence[str],
     """Sum the rows that satisfy `where` into one sentinel row per group of `keys`.
 
     The old sentinel rows among them, known by the first entry of `sentinel`,
-    are replaced; the other rows stay. The negated condition is three-valued: a
-    row for which it is missing is dropped.
+    are replaced; the other rows stay, equal ones once. The negated condition is
+    three-valued: a row for which it is missing is dropped. A row of the subset
+    is copied to its roll-up, so one aggregation serves both kinds of row.
     """
     column, value = next(iter(sentinel.items()))
-    is_sentinel = _q(column) == value
-    rolled = (df.where(where).groupBy(*[_q(k) for k in keys])
-              .agg(*[strict_sum(_q(m)).alias(m) for m in measures])
-              .withColumns({c: F.lit(v) for c, v in sentinel.items()}))
-    return union_distinct(df.where(~(where & is_sentinel)), rolled.select(*[_q(c) for c in df.columns]))
+    rolled = F.col("__rolled")
+    kept = ~(where & (_q(column) == value))
+    yes, no = F.lit(True), F.lit(False)
+    copies = (F.when(where & kept, F.array(no, yes)).when(where, F.array(yes))
+              .when(kept, F.array(no)))
+    rows = df.withColumn("__rolled", F.explode(copies)).withColumns({
+        "__row": F.when(~rolled, F.struct(*[_q(m) for m in measures])),
+        **{c: F.when(rolled, F.lit(v)).otherwise(_q(c)) for c, v in sentinel.items()}})
+    groups = [_q(k) for k in (*keys, *sentinel)]
+    out = rows.groupBy(*groups, rolled, "__row").agg(*[strict_sum(_q(m)).alias(m) for m in measures])
+    own = F.col("__row")
+    return out.select(*[
+        F.when(rolled, _q(c)).otherwise(own.getField(c)).alias(c) if c in measures else _q(c)
+        for c in df.columns])

@@ -9,7 +9,6 @@ adaptive execution splits skewed partitions where the join type allows it.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,10 +21,6 @@ def _pairs(keys: Sequence[Key]) -> list[tuple[str, str]]:
     return [(k, k) if isinstance(k, str) else k for k in keys]
 
 
-def _q(name: str):
-    return F.col(f"`{name}`")
-
-
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[Key],
                    how: str = "left") -> DataFrame:
     """Join on named keys with missing equal to missing.
@@ -35,30 +30,25 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[Key],
     """
     if how not in {"left", "right", "full", "inner", "left_semi", "left_anti"}:
         raise ValueError(f"unsupported join type {how!r}")
+    one_sided = how in {"left_semi", "left_anti"}
     pairs = _pairs(keys)
-    right_keys = {r for _, r in pairs}
-    extra = [c for c in right.columns if c not in right_keys]
+    right_keys = list(dict.fromkeys(r for _, r in pairs))
+    extra = [] if one_sided else [c for c in right.columns if c not in right_keys]
     clash = set(extra) & set(left.columns)
-    if clash and how not in {"left_semi", "left_anti"}:
+    if clash:
         raise ValueError(f"columns on both sides that are not keys: {sorted(clash)}")
-    if how in {"left_semi", "left_anti"}:
-        right, extra = right.select(*[_q(r) for r in dict.fromkeys(r for _, r in pairs)]), []
-    renamed = right.withColumnsRenamed({r: _RIGHT + r for r in right_keys})
-    on = reduce(lambda a, b: a & b,
-                [_q(lk).eqNullSafe(_q(_RIGHT + rk)) for lk, rk in pairs])
-    joined = left.join(renamed, on, how)
-    if how in {"left_semi", "left_anti"}:
+    side = right.selectExpr(*[f"`{r}` AS `{_RIGHT}{r}`" for r in right_keys],
+                            *[f"`{c}`" for c in extra])
+    on = F.expr(" AND ".join(f"`{lk}` <=> `{_RIGHT}{rk}`" for lk, rk in pairs))
+    joined = left.join(side, on, how)
+    if one_sided:
         return joined
-    source = dict(pairs)
-
-    def left_column(name: str):
-        if name not in source or how in {"left", "inner"}:
-            return _q(name)
-        other = _q(_RIGHT + source[name])
-        value = other if how == "right" else F.coalesce(_q(name), other)
-        return value.alias(name)
-
-    return joined.select(*[left_column(c) for c in left.columns], *[_q(c) for c in extra])
+    source = dict(pairs) if how in {"right", "full"} else {}
+    fill = "`{0}`" if how == "right" else "coalesce(`{1}`, `{0}`)"
+    return joined.selectExpr(
+        *[fill.format(_RIGHT + source[c], c) + f" AS `{c}`" if c in source else f"`{c}`"
+          for c in left.columns],
+        *[f"`{c}`" for c in extra])
 
 
 def natural_join(left: DataFrame, right: DataFrame, how: str = "left") -> DataFrame:
@@ -77,10 +67,8 @@ def left_lookup(fact: DataFrame, dim: DataFrame, on: dict[str, str],
     to output name, so one dimension can be joined several times in different
     roles. A missing code matches nothing, as in SQL.
     """
-    prefix = "__dim_"
-    needed = list(dict.fromkeys([*on.values(), *take]))
-    side = dim.select(*[_q(c).alias(prefix + c) for c in needed])
-    cond = reduce(lambda a, b: a & b, [_q(f) == _q(prefix + d) for f, d in on.items()])
-    return fact.join(side, cond, "left").select(
-        *[_q(c) for c in fact.columns],
-        *[_q(prefix + d).alias(name) for d, name in take.items()])
+    codes = list(dict.fromkeys(on.values()))
+    side = dim.selectExpr(*[f"`{c}` AS `{_RIGHT}{c}`" for c in codes],
+                          *[f"`{c}` AS `{name}`" for c, name in take.items()])
+    cond = F.expr(" AND ".join(f"`{f}` = `{_RIGHT}{d}`" for f, d in on.items()))
+    return fact.join(side, cond, "left").drop(*[_RIGHT + c for c in codes])

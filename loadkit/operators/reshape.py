@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadkit.config import NO_MEASURE
+from loadkit.functions.nulls import strict_sum
 
 
 def unpivot_drop_null(df: DataFrame, ids: Sequence[str], columns: Sequence[str],
@@ -19,20 +20,14 @@ def unpivot_drop_null(df: DataFrame, ids: Sequence[str], columns: Sequence[str],
 
 def pivot_fixed(df: DataFrame, ids: Sequence[str], name: str, value: str,
                 values: Sequence[str], missing: str = NO_MEASURE) -> DataFrame:
-    """One column per listed name, strict sum per cell, in a single aggregation.
+    """One column per listed name, holding the strict sum of its rows.
 
     A missing name is the column `missing`. The value list is explicit, so no
     extra job looks for names and the schema does not depend on the data. A
     cell with a missing value is missing, and so is a cell without rows.
     """
-    label = F.coalesce(F.col(name), F.lit(missing))
-
-    def cell(v: str) -> Column:
-        here = label == v
-        broken = F.bool_or(here & F.col(value).isNull())
-        return F.when(~broken, F.sum(F.when(here, F.col(value)))).alias(v)
-
-    return df.groupBy(*ids).agg(*[cell(v) for v in values])
+    named = df.withColumn(name, F.coalesce(F.col(name), F.lit(missing)))
+    return named.groupBy(*ids).pivot(name, list(values)).agg(strict_sum(value))
 
 
 def union_distinct(*frames: DataFrame) -> DataFrame:

@@ -1,15 +1,16 @@
 """Choosing rows of a catalogue: latest snapshot, point in time, latest version.
 
-The snapshot helpers return a scalar-subquery column. It is evaluated once at
+Most snapshot helpers return a scalar-subquery column. It is evaluated once at
 run time, prunes a fact partitioned by snapshot, and fails when the catalogue
-names more than one snapshot.
+names more than one snapshot. `resolve_snapshots` looks several ids up in one
+small job instead, for plans that would repeat the subqueries many times.
 """
 
 from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -40,6 +41,27 @@ def latest_run(control: DataFrame, column: str = "FORECAST_CONTROL_ID") -> Colum
     return control.agg(F.max(column)).scalar()
 
 
+def resolve_snapshots(control: DataFrame, first_year: int, last_year: int,
+                      as_of: date) -> dict[int, tuple[int | None, int | None]]:
+    """(latest id by date, id at the day of `as_of`) of each year, from one pass.
+
+    One row per year reaches the driver, as literals that prune the fact scan.
+    """
+    newest = F.rank().over(Window.partitionBy("REFERENCE_YEAR").orderBy(F.desc("SNAPSHOT_DATE"))) == 1
+    same_day = F.date_format("SNAPSHOT_DATE", "ddMM") == F.lit(as_of.strftime("%d%m"))
+    rows = (control.where(F.col("REFERENCE_YEAR").between(first_year, last_year)
+                          & F.col("SNAPSHOT_DATE").isNotNull())
+            .withColumn("__newest", newest).groupBy("REFERENCE_YEAR")
+            .agg(F.count_if("__newest").alias("n"),
+                 F.max(F.when(F.col("__newest"), F.col("SNAPSHOT_ID"))).alias("latest"),
+                 F.min(F.when(same_day, F.col("SNAPSHOT_ID"))).alias("pit")).collect())
+    doubled = [r["REFERENCE_YEAR"] for r in rows if r["n"] > 1]
+    if doubled:
+        raise ValueError(f"more than one latest snapshot for {sorted(doubled)}")
+    found = {r["REFERENCE_YEAR"]: (r["latest"], r["pit"]) for r in rows}
+    return {year: found.get(year, (None, None)) for year in range(first_year, last_year + 1)}
+
+
 def latest_version(versions: DataFrame, bound: Column | date, key: str = "COURSE_CD",
                    version: str = "VERSION_NUMBER", start: str = "START_DT",
                    value: str = "ABBREVIATION") -> DataFrame:

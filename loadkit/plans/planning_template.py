@@ -21,8 +21,7 @@ from loadkit.functions import rules as R
 from loadkit.operators.aggregates import add_total_member, rollup_into
 from loadkit.operators.joins import left_lookup
 from loadkit.operators.reshape import pivot_fixed, unpivot_drop_null
-from loadkit.operators.snapshots import (
-    latest_by_date, latest_run, latest_version, point_in_time)
+from loadkit.operators.snapshots import latest_run, latest_version, resolve_snapshots
 from loadkit.schema import measure
 
 BUCKET_KEYS = ("YEAR", "FUND", "HOME_FLAG", "FACULTY", "DEGREE_FACULTY", "COURSE_LEVEL",
@@ -114,8 +113,8 @@ def _plan_rows(t: PlanningTables, versions: DataFrame, y: int, rules: C.Planning
     ids = ["KEY_ATTRIBUTES_MASTER_ID", "COURSE_CD", "SCA_LOCATION_CD", "PLAN_YEAR", "REVIEWED"]
     long = _wide_fact(plans, ids, "COMMENCING_LOAD", "RETURNING_LOAD")
     rows = _bucket_rows(long, t, versions, "COMMENCING_LOAD", rules, bucket_year=y - 1)
-    families = F.array_compact(F.array(
-        F.lit(FAMILY_PLAN), F.when(plan_year == y, F.lit(FAMILY_PREVIOUS_PLAN))))
+    both = F.array(F.lit(FAMILY_PLAN), F.lit(FAMILY_PREVIOUS_PLAN))
+    families = F.when(plan_year == y, both).otherwise(F.array(F.lit(FAMILY_PLAN)))
     return rows.withColumn("FAMILY", F.explode(families))
 
 
@@ -128,18 +127,36 @@ def _planning_forecast_rows(t: PlanningTables, versions: DataFrame, y: int,
         "FAMILY": F.lit(C.PLANNING_FORECAST)})
 
 
-def snapshot_roles(control: DataFrame, y: int, as_of: date) -> list[tuple[str, Column, int, bool]]:
-    """(family, snapshot id, plan year, by year level) of each measure taken from the actuals."""
-    latest = {k: latest_by_date(control, y - k) for k in range(4)}
-    return [
+def snapshot_roles(control: DataFrame, y: int, as_of: date) -> list[tuple[str, int, int, bool]]:
+    """(family, snapshot id, plan year, by year level) of each measure taken from the actuals.
+
+    A measure whose snapshot does not exist has no role and so no rows.
+    """
+    found = resolve_snapshots(control, y - 3, y, as_of)
+    latest = {k: found[y - k][0] for k in range(4)}
+    roles = [
         (C.CURRENT_LATEST, latest[0], y, False),
         (C.PREVIOUS_LATEST, latest[1], y - 1, False),
         (C.TWO_YEARS_LATEST, latest[2], y - 2, False),
         (C.THREE_YEARS_LATEST, latest[3], y - 3, False),
-        (C.LAST_YEAR_PIT, point_in_time(control, as_of, y - 1), y - 1, False),
+        (C.LAST_YEAR_PIT, found[y - 1][1], y - 1, False),
         (FAMILY_LEVEL_CURRENT, latest[0], y, True),
         (FAMILY_LEVEL_PREVIOUS, latest[1], y - 1, True),
     ]
+    return [role for role in roles if role[1] is not None]
+
+
+def _roles_of(snapshot: Column, roles: list[tuple[str, int, int, bool]]) -> Column:
+    """One row per role of the snapshot, from constant arrays."""
+    by_id: dict[int, list[Column]] = {}
+    for family, sid, plan_year, by_level in roles:
+        by_id.setdefault(sid, []).append(F.struct(
+            F.lit(family).alias("FAMILY"), F.lit(str(plan_year)).alias("PLAN_YEAR"),
+            F.lit(by_level).alias("BY_LEVEL")))
+    out = F.lit(None).cast("array<struct<FAMILY:string,PLAN_YEAR:string,BY_LEVEL:boolean>>")
+    for sid, items in by_id.items():
+        out = F.when(snapshot == sid, F.array(*items)).otherwise(out)
+    return F.explode(out)
 
 
 def _actual_rows(t: PlanningTables, versions: DataFrame, y: int, as_of: date,
@@ -147,7 +164,7 @@ def _actual_rows(t: PlanningTables, versions: DataFrame, y: int, as_of: date,
     """All measures taken from the actuals, from one scan of the wanted snapshots."""
     roles = snapshot_roles(t.aggregation_control, y, as_of)
     snapshot = F.col("SNAPSHOT_ID")
-    wanted = reduce(lambda a, b: a | b, [snapshot == roles[k][1] for k in range(5)])
+    wanted = snapshot.isin(*sorted({sid for _, sid, _, _ in roles}))
     ids = ["SNAPSHOT_ID", "REFERENCE_YEAR", "FUNDING_SOURCE", "DEGREE_FACULTY_ID", "FACULTY_ID",
            "COURSE_CD", "COURSE_LEVEL", "SCA_COORD_CAMPUS", "SCA_LOCATION_CD", "UNIT_MODE",
            "COMMENCING_STUDENT_IND", "NOMINATED_YEAR_LEVEL"]
@@ -162,11 +179,7 @@ def _actual_rows(t: PlanningTables, versions: DataFrame, y: int, as_of: date,
     fact = _faculties(_fund(fact, t), t, degree_on,
                       {"FACULTY_ID": "DEGREE_FACULTY_ID", "REFERENCE_YEAR": "REFERENCE_YEAR"}, rules)
     fact = _with_course(fact, versions)
-    role = F.explode(F.array_compact(F.array(*[
-        F.when(snapshot == sid, F.struct(F.lit(family).alias("FAMILY"),
-                                         F.lit(str(plan_year)).alias("PLAN_YEAR"),
-                                         F.lit(by_level).alias("BY_LEVEL")))
-        for family, sid, plan_year, by_level in roles])))
+    role = _roles_of(snapshot, roles)
     return fact.withColumn("ROLE", role).withColumns({
         "YEAR": F.col("REFERENCE_YEAR"),
         "CAMPUS": F.col("SCA_COORD_CAMPUS"),
@@ -214,18 +227,29 @@ def _measure_name(y: int) -> Column:
             .otherwise(family))
 
 
-def _label(rows: DataFrame, y: int, rules: C.PlanningRules) -> DataFrame:
-    """The shown columns of grouped rows."""
-    fund, family = F.col("FUND"), F.col("FAMILY")
-    from_plan = family.isin(FAMILY_PLAN, FAMILY_PREVIOUS_PLAN, C.PLANNING_FORECAST,
-                            C.MONITORING_FORECAST)
+SHOWN = (*(k for k in GROUP_KEYS if k not in ("FUND", "RAW_STUDENT", "RAW_LEVEL", "FAMILY")),
+         "FUND_SOURCE", "COM_RET", "MEASURE")
+
+
+def _shown(rows: DataFrame, y: int) -> DataFrame:
+    """Grouped rows with the raw keys replaced by what is shown of them."""
+    fund = F.col("FUND")
+    from_plan = F.col("FAMILY").isin(FAMILY_PLAN, FAMILY_PREVIOUS_PLAN, C.PLANNING_FORECAST,
+                                     C.MONITORING_FORECAST)
     return rows.withColumns({
-        "FIXED_BUCKET": R.fixed_bucket(fund, rules),
-        "PLANNING_MODULE": R.planning_module(fund, rules),
         "FUND_SOURCE": F.when(from_plan, fund).otherwise(F.coalesce(fund, F.lit(C.UNCLASSIFIED))),
-        rules.institution.load_column: R.home_load(F.col("HOME_FLAG"), rules),
         "COM_RET": R.student_type(F.col("RAW_STUDENT")),
         "MEASURE": _measure_name(y),
+    }).select(*SHOWN, "EFTSL")
+
+
+def _label(rows: DataFrame, rules: C.PlanningRules) -> DataFrame:
+    """Columns that follow from the fund and the home flag, added last to keep keys short."""
+    fund = F.col("FUND_SOURCE")
+    return rows.withColumns({
+        "FIXED_BUCKET": R.fixed_bucket(fund, rules),
+        "PLANNING_MODULE": R.planning_module(fund, rules),
+        rules.institution.load_column: R.home_load(F.col("HOME_FLAG"), rules),
     }).select(*output_columns(rules))
 
 
@@ -261,11 +285,10 @@ def planned_load(t: PlanningTables, ref_year: int, as_of: date,
     shaped = [b.withColumns(early).select(*GROUP_KEYS, "EFTSL") for b in branches]
     rows = reduce(lambda a, b: a.unionByName(b), shaped)
     grouped = rows.groupBy(*GROUP_KEYS).agg(F.sum("EFTSL").alias("EFTSL"))
-    labelled = _label(grouped, y, rules)
+    shown = _shown(grouped, y)
     if set_mode == "reference":
-        return labelled.distinct()
-    keys = [c for c in labelled.columns if c != "EFTSL"]
-    return labelled.groupBy(*keys).agg(F.sum("EFTSL").alias("EFTSL")).select(*labelled.columns)
+        return _label(shown.distinct(), rules)
+    return _label(shown.groupBy(*SHOWN).agg(F.sum("EFTSL").alias("EFTSL")), rules)
 
 
 def planning_template(planned: DataFrame) -> DataFrame:

@@ -38,13 +38,15 @@ FUND_NAMES = {
 
 
 class Tables:
-    """Lazy readers for the driver's tables."""
+    """Readers for the driver's tables; a table's schema is looked up once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        setattr(self, name, df)
+        return df
 
 
 def mapped(col: Column, pairs: dict, default: Column | None = None) -> Column:
