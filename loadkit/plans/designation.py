@@ -14,7 +14,7 @@ from loadkit.operators.checks import conservation_check, group_checks, reconcile
 from loadkit.operators.joins import left_lookup, natural_join, null_safe_join
 from loadkit.operators.reshape import unpivot_drop_null
 from loadkit.operators.snapshots import latest_by_id
-from loadkit.schema import measure
+from loadkit.schema import measure, sum_load
 
 FORECAST = "REPORTED_FORECAST_TAUGHT_LOAD"
 MEDICAL_LOAD, SUB_BACHELOR_LOAD = "MEDICAL_TAUGHT_LOAD", "SUBBACH_TAUGHT_LOAD"
@@ -45,7 +45,7 @@ def designated_actuals(unit_load: DataFrame, aggregation_control: DataFrame,
              "COMMENCING_STUDENT_IND", "CLUSTER_TRANSLATION_ID"]
     wanted = ((F.col("SNAPSHOT_ID") == snapshot) & F.col("COURSE_CD").isin(*courses)
               & (F.col("FUNDING_SOURCE") == fund_code))
-    fact = unit_load.where(wanted).groupBy(*codes).agg(F.sum(measure("EFTSL")).alias("EFTSL"))
+    fact = unit_load.where(wanted).groupBy(*codes).agg(sum_load("EFTSL").alias("EFTSL"))
     fact = left_lookup(fact, cluster_translation,
                        {"CLUSTER_TRANSLATION_ID": "CLUSTER_TRANSLATION_ID"},
                        {"CLUSTER_CD": "CLUSTER_CD", "CLUSTER_SUBGROUP": institution.cluster_column})

@@ -4,7 +4,7 @@ Physical design. Every fact is read once and summed by its raw codes before any
 join, so the dimension joins, the classification and the later shuffles work on
 bucket-sized data however large the facts are. The seven measures taken from
 the actuals are roles of one scan: a pre-aggregated row is copied to each role
-its snapshot has.
+its snapshot has. Loads are summed as whole ten-thousandths and leave as doubles.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from loadkit.operators.aggregates import add_total_member, rollup_into
 from loadkit.operators.joins import left_lookup
 from loadkit.operators.reshape import pivot_fixed, unpivot_drop_null
 from loadkit.operators.snapshots import latest_run, latest_version, resolve_snapshots
-from loadkit.schema import measure
+from loadkit.schema import load_of, units
 
 BUCKET_KEYS = ("YEAR", "FUND", "HOME_FLAG", "FACULTY", "DEGREE_FACULTY", "COURSE_LEVEL",
                "CAMPUS", "UNIT_MODE")
@@ -78,7 +78,7 @@ def _with_course(fact: DataFrame, versions: DataFrame) -> DataFrame:
 
 def _wide_fact(fact: DataFrame, ids: list[str], commencing: str, returning: str) -> DataFrame:
     """Sum both measures by the raw keys, then go long: half the rows of the other order."""
-    summed = fact.groupBy(*ids).agg(*[F.sum(measure(c)).alias(c) for c in (commencing, returning)])
+    summed = fact.groupBy(*ids).agg(*[F.sum(units(c)).alias(c) for c in (commencing, returning)])
     return unpivot_drop_null(summed, ids, [commencing, returning], "INDICATOR", "EFTSL")
 
 
@@ -168,7 +168,7 @@ def _actual_rows(t: PlanningTables, versions: DataFrame, y: int, as_of: date,
     ids = ["SNAPSHOT_ID", "REFERENCE_YEAR", "FUNDING_SOURCE", "DEGREE_FACULTY_ID", "FACULTY_ID",
            "COURSE_CD", "COURSE_LEVEL", "SCA_COORD_CAMPUS", "SCA_LOCATION_CD", "UNIT_MODE",
            "COMMENCING_STUDENT_IND", "NOMINATED_YEAR_LEVEL"]
-    fact = t.unit_load.where(wanted).groupBy(*ids).agg(F.sum(measure("EFTSL")).alias("EFTSL"))
+    fact = t.unit_load.where(wanted).groupBy(*ids).agg(F.sum(units("EFTSL")).alias("EFTSL"))
     # The degree faculty is matched by id alone, for rows that have a year.
     fact = fact.withColumns({
         "RAW_COURSE": F.col("COURSE_CD"),
@@ -199,7 +199,7 @@ def _monitoring_rows(t: PlanningTables, y: int, rules: C.PlanningRules) -> DataF
            "SCA_COORD_CAMPUS", "UNIT_MODE", "COMMENCING_STUDENT_IND"]
     run = latest_run(t.forecast_control)
     fact = (t.forecast_load.where(F.col("FORECAST_CONTROL_ID") == run).groupBy(*ids)
-            .agg(F.sum(measure("REPORTED_FORECAST_LOAD")).alias("EFTSL")))
+            .agg(F.sum(units("REPORTED_FORECAST_LOAD")).alias("EFTSL")))
     fact = _faculties(_fund(fact, t), t,
                       {"DEGREE_FACULTY_ID": "DEGREE_FACULTY_ID", "REFERENCE_YEAR": "REFERENCE_YEAR"},
                       {"FACULTY_ID": "DEGREE_FACULTY_ID", "REFERENCE_YEAR": "REFERENCE_YEAR"}, rules)
@@ -250,6 +250,7 @@ def _label(rows: DataFrame, rules: C.PlanningRules) -> DataFrame:
         "FIXED_BUCKET": R.fixed_bucket(fund, rules),
         "PLANNING_MODULE": R.planning_module(fund, rules),
         rules.institution.load_column: R.home_load(F.col("HOME_FLAG"), rules),
+        "EFTSL": load_of("EFTSL"),
     }).select(*output_columns(rules))
 
 
@@ -291,35 +292,51 @@ def planned_load(t: PlanningTables, ref_year: int, as_of: date,
     return _label(shown.groupBy(*SHOWN).agg(F.sum("EFTSL").alias("EFTSL")), rules)
 
 
-def planning_template(planned: DataFrame) -> DataFrame:
-    """One row per bucket or course, one column per measure.
-
-    A bucket stays when any measure is not zero. The two forecasts and the
-    measure without a name count for that test, and are dropped after it.
-    """
+def _template(planned: DataFrame) -> DataFrame:
     ids, named = list(C.TEMPLATE_IDS), C.TEMPLATE_MEASURES[:-1]
-    dropped = (C.PLANNING_FORECAST, C.MONITORING_FORECAST, C.NO_MEASURE)
-    cells = [*named, *dropped]
+    cells = [*named, C.PLANNING_FORECAST, C.MONITORING_FORECAST, C.NO_MEASURE]
     filled = planned.fillna({"FUND_SOURCE": C.UNCLASSIFIED, "DESIGNATED_IND": "Non-CSP"})
+    filled = filled.select(*ids, "MEASURE", units("EFTSL").alias("EFTSL"))
     wide = pivot_fixed(filled, ids, "MEASURE", "EFTSL", cells).fillna(0, subset=cells)
-    any_load = reduce(lambda a, b: a | b, [F.col(f"`{c}`") != 0 for c in cells])
+    any_load = F.expr(" OR ".join(f"`{c}` <> 0" for c in cells))
     return (wide.where(any_load).withColumn("Plan Year 5", F.col("`Plan Year 4`"))
-            .select(*ids, *[F.col(f"`{m}`") for m in C.TEMPLATE_MEASURES]))
+            .select(*ids, *[f"`{m}`" for m in C.TEMPLATE_MEASURES]))
 
 
-def template_with_totals(template: DataFrame) -> DataFrame:
-    """Template plus one TOTAL row over the unit modes of each bucket."""
+def _totals(template: DataFrame) -> DataFrame:
     return add_total_member(template, C.TEMPLATE_IDS, "UNIT_MODE", C.TEMPLATE_MEASURES)
 
 
-def template_with_rollup(totals: DataFrame, level: str = C.ROLLUP_LEVEL) -> DataFrame:
-    """Template in which the courses of one level also appear as one bucket row."""
+def _rollup(totals: DataFrame, level: str) -> DataFrame:
     keys = [k for k in C.TEMPLATE_IDS if k not in ("COURSE_CD", "COURSE_DESCRIPTION")]
     return rollup_into(totals, F.col("COURSE_LEVEL") == level, keys,
                        {"COURSE_CD": C.BUCKET, "COURSE_DESCRIPTION": C.BUCKET},
                        C.TEMPLATE_MEASURES)
 
 
+def _loads(template: DataFrame) -> DataFrame:
+    return template.withColumns({m: load_of(f"`{m}`") for m in C.TEMPLATE_MEASURES})
+
+
+def planning_template(planned: DataFrame) -> DataFrame:
+    """One row per bucket or course, one column per measure, from `planned_load`.
+
+    A bucket stays when any measure is not zero. The two forecasts and the
+    measure without a name count for that test, and are dropped after it.
+    """
+    return _loads(_template(planned))
+
+
+def template_with_totals(planned: DataFrame) -> DataFrame:
+    """Template plus one TOTAL row over the unit modes of each bucket."""
+    return _loads(_totals(_template(planned)))
+
+
+def template_with_rollup(planned: DataFrame, level: str = C.ROLLUP_LEVEL) -> DataFrame:
+    """Template with totals in which the courses of one level become one bucket row too."""
+    return _loads(_rollup(_totals(_template(planned)), level))
+
+
 def in_report_order(template: DataFrame) -> DataFrame:
     """Sorted for output, missing values last."""
     return template.orderBy(*[F.col(c).asc_nulls_last() for c in C.TEMPLATE_ORDER])

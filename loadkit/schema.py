@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MEASURE = T.DecimalType(18, 4)
+SUM = T.DecimalType(28, 4)
 
 _TYPES = {"long": T.LongType(), "int": T.IntegerType(), "string": T.StringType(),
           "date": T.DateType(), "measure": MEASURE, "double": T.DoubleType()}
@@ -96,6 +97,31 @@ def measure(col: Column | str) -> Column:
     return (F.col(col) if isinstance(col, str) else col).cast(MEASURE)
 
 
+UNITS = 10_000
+
+
+def units(col: Column | str) -> Column:
+    """A load as a whole number of ten-thousandths.
+
+    Sums of whole numbers are exact in any order and stay in primitive
+    registers, unlike sums of wide decimals. Loads are kept to four places; a
+    single load must stay below 9e11 and a sum below 9e14, or ANSI mode fails.
+    """
+    c = F.col(col) if isinstance(col, str) else col
+    return F.rint(c.cast("double") * UNITS).cast("long")
+
+
+def load_of(col: Column | str) -> Column:
+    """The load of a number of ten-thousandths, as a double."""
+    c = F.col(col) if isinstance(col, str) else col
+    return c / F.lit(UNITS)
+
+
+def sum_load(col: Column | str) -> Column:
+    """Exact sum of loads as a decimal, missing when no load is present."""
+    return (F.sum(units(col)).cast("decimal(19,0)") * F.lit("0.0001").cast("decimal(5,4)")).cast(SUM)
+
+
 def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
     """Numeric columns in schema order, without the excluded ones."""
     skip = set(exclude)

@@ -22,7 +22,7 @@ from loadkit.operators import (
     point_in_time, reconcile, rollup_into, row_checks, sum_by, sum_numeric, union_distinct,
     unpivot_drop_null)
 from loadkit.plans.forecast_accuracy import month_order
-from loadkit.schema import decimals_to_double
+from loadkit.schema import decimals_to_double, sum_load
 from verification import standin as S
 from verification.standin import Tables, load, mapped
 from verification.standin_sql import DEC, FUND, half_even, with_ctes
@@ -359,7 +359,7 @@ def w2_latest_per_year(t):
 def a4_latest_run(t):
     """Load of the latest forecast run, found by a global maximum."""
     rows = S.forecast_load(t).where(F.col("FORECAST_CONTROL_ID") == latest_run(S.forecast_control(t)))
-    return rows.groupBy("FUNDING_SOURCE").agg(F.sum("REPORTED_FORECAST_LOAD").alias("load"))
+    return rows.groupBy("FUNDING_SOURCE").agg(sum_load("REPORTED_FORECAST_LOAD").alias("load"))
 
 
 def _flag_sums(t, keep, name):
@@ -709,7 +709,7 @@ _DESIGNATED = """CASE WHEN fund = 'CSP' AND COURSE_LEVEL = 'GPG' THEN 'CSP Desig
 def c6_designation(t):
     """Designation with and without a course, and the fills of missing codes."""
     keys = ["FUNDING_SOURCE", "COURSE_LEVEL", "COURSE_CD", "SCA_LOCATION_CD", "SCA_COORD_CAMPUS"]
-    raw = S.unit_load(t).groupBy(*keys).agg(F.sum("EFTSL").alias("EFTSL"))
+    raw = S.unit_load(t).groupBy(*keys).agg(sum_load("EFTSL").alias("EFTSL"))
     fund, course, level = S.fund_name(F.col("FUNDING_SOURCE")), F.col("COURSE_CD"), F.col("COURSE_LEVEL")
     place = F.col("SCA_LOCATION_CD")
     return raw.groupBy(

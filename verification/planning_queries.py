@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loadkit import config as C
 from loadkit.plans import planning_template as P
-from loadkit.schema import decimals_to_double
 from verification import standin as S
 from verification.standin_sql import with_ctes
 
@@ -19,24 +18,23 @@ def _planned(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
 
 
 def planned_load(spark, sf_dir):
-    return decimals_to_double(_planned(spark, sf_dir))
+    return _planned(spark, sf_dir)
 
 
 def planned_load_exact(spark, sf_dir):
-    return decimals_to_double(_planned(spark, sf_dir, set_mode="exact", dedupe_dims=True))
+    return _planned(spark, sf_dir, set_mode="exact", dedupe_dims=True)
 
 
 def template(spark, sf_dir):
-    return decimals_to_double(P.planning_template(_planned(spark, sf_dir)))
+    return P.planning_template(_planned(spark, sf_dir))
 
 
 def totals(spark, sf_dir):
-    return decimals_to_double(P.template_with_totals(P.planning_template(_planned(spark, sf_dir))))
+    return P.template_with_totals(_planned(spark, sf_dir))
 
 
 def rollup(spark, sf_dir):
-    step = P.template_with_totals(P.planning_template(_planned(spark, sf_dir)))
-    return decimals_to_double(P.template_with_rollup(step))
+    return P.template_with_rollup(_planned(spark, sf_dir))
 
 
 # --- oracle ------------------------------------------------------------------

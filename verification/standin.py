@@ -200,7 +200,7 @@ def unit_load(t: Tables) -> DataFrame:
         F.concat(F.lit("T"), (F.col("l_suppkey") % 2).cast("string")).alias("TEACHING_FACULTY"),
         F.concat(F.lit("D"), (F.col("l_suppkey") % 2).cast("string")).alias("TR_ORG_UNIT_CD"),
         (F.col("l_partkey") % 6).alias("CLUSTER_TRANSLATION_ID"),
-        load(F.nullif(F.col("l_quantity"), F.lit(1.0))).alias("EFTSL"))
+        F.nullif(F.col("l_quantity"), F.lit(1.0)).alias("EFTSL"))
 
 
 def plan_details(t: Tables) -> DataFrame:
@@ -208,8 +208,8 @@ def plan_details(t: Tables) -> DataFrame:
         F.col("o_custkey").alias("KEY_ATTRIBUTES_MASTER_ID"), brand(F.col("l_partkey")).alias("COURSE_CD"),
         F.nullif(F.col("l_returnflag"), F.lit("R")).alias("SCA_LOCATION_CD"),
         F.year("l_shipdate").cast("string").alias("PLAN_YEAR"), F.col("o_orderstatus").alias("REVIEWED"),
-        load(F.when(F.col("l_linenumber") != 3, F.col("l_extendedprice"))).alias("COMMENCING_LOAD"),
-        load(F.nullif(F.col("l_tax"), F.lit(0.0))).alias("RETURNING_LOAD"))
+        F.when(F.col("l_linenumber") != 3, F.col("l_extendedprice")).alias("COMMENCING_LOAD"),
+        F.nullif(F.col("l_tax"), F.lit(0.0)).alias("RETURNING_LOAD"))
 
 
 def plan_forecast(t: Tables) -> DataFrame:
@@ -217,8 +217,8 @@ def plan_forecast(t: Tables) -> DataFrame:
     return t.orders.select(
         F.col("o_custkey").alias("KEY_ATTRIBUTES_MASTER_ID"), brand(F.col("o_orderkey")).alias("COURSE_CD"),
         F.nullif(F.substring("o_orderpriority", 1, 1), F.lit("5")).alias("SCA_LOCATION_CD"),
-        load(F.when(status != "F", price)).alias("COMMENCING_FORECAST_LOAD"),
-        load(F.when(status != "O", price)).alias("RETURNING_FORECAST_LOAD"))
+        F.when(status != "F", price).alias("COMMENCING_FORECAST_LOAD"),
+        F.when(status != "O", price).alias("RETURNING_FORECAST_LOAD"))
 
 
 def forecast_load(t: Tables) -> DataFrame:
@@ -231,7 +231,7 @@ def forecast_load(t: Tables) -> DataFrame:
         (F.col("o_custkey") % 25).cast("long").alias("FACULTY_ID"), level_of(key).alias("COURSE_LEVEL"),
         campus_of(key).alias("SCA_COORD_CAMPUS"), F.substring("o_orderpriority", 1, 1).alias("UNIT_MODE"),
         student_flag(F.col("o_orderstatus")).alias("COMMENCING_STUDENT_IND"),
-        load("o_totalprice").alias("REPORTED_FORECAST_LOAD"))
+        F.col("o_totalprice").alias("REPORTED_FORECAST_LOAD"))
 
 
 def planning_tables(t: Tables) -> PlanningTables:
@@ -251,7 +251,7 @@ def forecast_file(t: Tables) -> DataFrame:
     u = u.join(names, ["DEGREE_FACULTY_ID"], "left")
     keys = ["TEACHING_FACULTY", "TR_ORG_UNIT_CD", "DEGREE_FACULTY", "FUNDING_SOURCE", "COURSE_LEVEL",
             "SCA_COORD_CAMPUS", "SUA_LOCATION_CD", "UNIT_MODE", "COMMENCING_STUDENT_IND", "CLUSTER_SUBGROUP"]
-    total = u.groupBy(*keys).agg((F.sum("EFTSL") * F.lit(0.25).cast("decimal(4,2)")).alias("total"))
+    total = u.groupBy(*keys).agg((F.sum("EFTSL") * F.lit(0.25)).alias("total"))
     blank = F.coalesce((F.col("COURSE_LEVEL") == "PG") & (F.col("SCA_COORD_CAMPUS") == "A"), F.lit(False))
     return total.select(
         "TEACHING_FACULTY", "TR_ORG_UNIT_CD", "DEGREE_FACULTY",
@@ -290,7 +290,7 @@ def actuals_extract(t: Tables) -> DataFrame:
                F.concat(F.lit("DEPT "), F.col("DEPARTMENT_CODE"))).alias("DEPARTMENT"),
         "COURSE_LEVEL", F.col("CAMPUS_NAME").alias("CAMPUS"), "UNIT_MODE", F.col("FUND").alias("FUND_SOURCE"),
         mapped(F.col("o_orderstatus"), {"F": "Commencing", "O": "Returning"}).alias("COM_RET"),
-        "COURSE_CD", "COURSE_DESCRIPTION", load(F.nullif(F.col("l_quantity"), F.lit(1.0))).alias("EFTSL"))
+        "COURSE_CD", "COURSE_DESCRIPTION", F.nullif(F.col("l_quantity"), F.lit(1.0)).alias("EFTSL"))
 
 
 def _forecast_extract(t: Tables, months: dict[str, str | None], factor: float, columns: list[str]) -> DataFrame:
@@ -304,8 +304,8 @@ def _forecast_extract(t: Tables, months: dict[str, str | None], factor: float, c
         F.col("FUND").alias("FUND_SOURCE_DESCRIPTION"),
         student_flag(F.col("o_orderstatus")).alias("COMMENCING_STUDENT_IND"), "COURSE_CD",
         mapped(F.col("o_orderpriority"), months).alias("FCAST_MONTH"),
-        load(F.when(F.col("l_discount") != 0.0,
-                    F.col("l_quantity") * (F.lit(1.0) - F.col("l_discount")) * F.lit(factor)))
+        F.when(F.col("l_discount") != 0.0,
+               F.col("l_quantity") * (F.lit(1.0) - F.col("l_discount")) * F.lit(factor))
         .alias("REPORTED_FORECAST_TAUGHT_LOAD"))
     return rows.select(*columns)
 
@@ -346,7 +346,7 @@ def forecast_taught_crs_load(t: Tables) -> DataFrame:
         (F.col("l_partkey") % 6).cast("string").alias("OFFICIAL_CLUSTER"),
         (F.col("l_partkey") % 3).cast("string").alias("HOME_CLUSTER"),
         mapped(F.col("l_partkey") % 2, {0: "HIGH", 1: "LOW"}).alias("HIGH_LOW_COST"),
-        load("l_quantity").alias("REPORTED_FORECAST_TAUGHT_LOAD"))
+        F.col("l_quantity").alias("REPORTED_FORECAST_TAUGHT_LOAD"))
 
 
 COURSE_RUNS = (199701, 199703, 199706, 199709, 199803, 199806, 199809, 199811)
