@@ -27,7 +27,7 @@ def pivot_fixed(df: DataFrame, ids: Sequence[str], name: str, value: str,
     cell with a missing value is missing, and so is a cell without rows.
     """
     named = df.withColumn(name, F.coalesce(F.col(name), F.lit(missing)))
-    return named.groupBy(*ids).pivot(name, list(values)).agg(strict_sum(value))
+    return named.groupBy(*ids).pivot(name, list(values)).agg(strict_sum(value).alias("load"))
 
 
 def union_distinct(*frames: DataFrame) -> DataFrame:

@@ -19,7 +19,9 @@ def local_session(app: str = "loadkit", cpus: int | str | None = None,
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").appName(app)
         .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory", "12g")
+        # Small pages: a local run has many small hash tables, each of at least one page.
+        .config("spark.buffer.pageSize", "4m")
         .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
