@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,17 +39,10 @@ def add_total_member(df: DataFrame, keys: Sequence[str], member: str,
     """
     others = [_q(k) for k in keys if k != member]
     every = [_q(k) for k in keys]
-    is_label = _q(member) == label
-    own = {m: f"__own_{i}" for i, m in enumerate(measures)}
     out = df.groupingSets([every, others], *every).agg(
-        F.grouping(_q(member)).alias("__is_total"), F.count_if(is_label).alias("__labels"),
-        *[strict_sum(_q(m)).alias(m) for m in measures],
-        *[F.sum(F.when(is_label, _q(m))).alias(own[m]) for m in measures])
-    total = F.col("__is_total") == 1
-    same = reduce(lambda a, b: a & b, [_q(m).eqNullSafe(F.col(own[m])) for m in measures])
-    return (out.where(~(total & (F.col("__labels") > 0) & same))
-            .withColumn(member, F.when(total, F.lit(label)).otherwise(_q(member)))
-            .select(*[f"`{c}`" for c in df.columns]))
+        F.grouping(_q(member)).alias("__is_total"), *[strict_sum(_q(m)).alias(m) for m in measures])
+    named = F.when(F.col("__is_total") == 1, F.lit(label)).otherwise(_q(member))
+    return out.withColumn(member, named).select(*[f"`{c}`" for c in df.columns]).distinct()
 
 
 def rollup_into(df: DataFrame, where: Column, keys: Sequence[str],
