@@ -19,7 +19,8 @@ def align_by_slice(forecast: DataFrame, actual: DataFrame, slice_col: str,
 
     `keys` default to the shared columns; missing matches missing. The slice of
     an actual-only row is the slice it was joined in, forecast rows without a
-    slice are dropped, and the slices are those found in the forecast.
+    slice are dropped, and the slices are those found in the forecast. Slices
+    are labels such as months: their distinct values must be few.
     `slice_source` is a cheaper frame with the same slices, such as the rows the
     forecast was aggregated from: only its slice column is read.
 
@@ -37,13 +38,13 @@ def align_by_slice(forecast: DataFrame, actual: DataFrame, slice_col: str,
     a_extra = [c for c in actual.columns if c not in keys]
 
     # One struct key: equality inside a struct treats missing fields as equal,
-    # and the window and the join share the same partitioning.
+    # and the windows and the join share one shuffle and one sort.
     key = F.struct(*[_q(k) for k in keys])
     by_key = Window.partitionBy("__key")
     left = (sliced.select(key.alias("__key"), _q(slice_col).alias("__slice"),
                           F.struct(*[_q(c) for c in f_extra]).alias("__f"))
-            .withColumn("__seen", F.collect_set("__slice").over(by_key))
-            .withColumn("__rank", F.row_number().over(by_key.orderBy("__slice"))))
+            .withColumn("__rank", F.row_number().over(by_key.orderBy("__slice")))
+            .withColumn("__seen", F.collect_set("__slice").over(by_key)))
     right = actual.select(key.alias("__akey"),
                           F.struct(F.lit(True).alias("present"),
                                    *[_q(c) for c in a_extra]).alias("__a"))
