@@ -282,15 +282,17 @@ def accuracy_rows(t: Tables) -> DataFrame:
 
 
 def actuals_extract(t: Tables) -> DataFrame:
+    """Actual load; one department has another name and one course no code, so some forecasts stay alone."""
     return accuracy_rows(t).select(
         "YEAR", "FACULTY", "DEGREE_FACULTY", F.col("FACULTY_CODE").alias("TEACHING_FACULTY_CD"),
         F.concat(F.lit("FACULTY OF "), F.col("FACULTY_CODE")).alias("TEACHING_FACULTY_NAME"),
         F.col("DEPARTMENT_CODE").alias("DEPARTMENT_CD"),
-        mapped(F.col("DEPARTMENT_CODE"), {"D2": "WATER STUDIES CENTRE", "D5": "NA"},
+        mapped(F.col("DEPARTMENT_CODE"), {"D2": "WATER STUDIES CENTRE", "D3": "RENAMED", "D5": "NA"},
                F.concat(F.lit("DEPT "), F.col("DEPARTMENT_CODE"))).alias("DEPARTMENT"),
         "COURSE_LEVEL", F.col("CAMPUS_NAME").alias("CAMPUS"), "UNIT_MODE", F.col("FUND").alias("FUND_SOURCE"),
         mapped(F.col("o_orderstatus"), {"F": "Commencing", "O": "Returning"}).alias("COM_RET"),
-        "COURSE_CD", "COURSE_DESCRIPTION", F.nullif(F.col("l_quantity"), F.lit(1.0)).alias("EFTSL"))
+        F.nullif(F.col("COURSE_CD"), F.lit("K4")).alias("COURSE_CD"), "COURSE_DESCRIPTION",
+        F.nullif(F.col("l_quantity"), F.lit(1.0)).alias("EFTSL"))
 
 
 def _forecast_extract(t: Tables, months: dict[str, str | None], factor: float, columns: list[str]) -> DataFrame:

@@ -129,11 +129,11 @@ CTES: dict[str, str] = {
     "actuals_extract": f"""
     SELECT YEAR, FACULTY, DEGREE_FACULTY, FACULTY_CODE AS TEACHING_FACULTY_CD,
            'FACULTY OF ' || FACULTY_CODE AS TEACHING_FACULTY_NAME, DEPARTMENT_CODE AS DEPARTMENT_CD,
-           CASE DEPARTMENT_CODE WHEN 'D2' THEN 'WATER STUDIES CENTRE' WHEN 'D5' THEN 'NA'
+           CASE DEPARTMENT_CODE WHEN 'D2' THEN 'WATER STUDIES CENTRE' WHEN 'D3' THEN 'RENAMED' WHEN 'D5' THEN 'NA'
                 ELSE 'DEPT ' || DEPARTMENT_CODE END AS DEPARTMENT,
            COURSE_LEVEL, CAMPUS_NAME AS CAMPUS, UNIT_MODE, FUND AS FUND_SOURCE,
-           CASE o_orderstatus WHEN 'F' THEN 'Commencing' WHEN 'O' THEN 'Returning' END AS COM_RET, COURSE_CD,
-           COURSE_DESCRIPTION, {DEC.format('nullif(l_quantity, 1)')} AS EFTSL
+           CASE o_orderstatus WHEN 'F' THEN 'Commencing' WHEN 'O' THEN 'Returning' END AS COM_RET,
+           nullif(COURSE_CD, 'K4') AS COURSE_CD, COURSE_DESCRIPTION, {DEC.format('nullif(l_quantity, 1)')} AS EFTSL
     FROM accuracy_rows""",
     "course_forecast_extract": _ACCURACY_FORECAST.format(factor="4.5", months="""CASE o_orderpriority WHEN '1-URGENT' THEN 'March'
              WHEN '2-HIGH' THEN 'June' WHEN '3-MEDIUM' THEN 'July' WHEN '4-NOT SPECIFIED' THEN 'September' END"""),
