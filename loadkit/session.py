@@ -31,12 +31,3 @@ def local_session(app: str = "loadkit", cpus: int | str | None = None,
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """The shared checkpoint folder of the cluster; `fallback` only where none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        folder = fallback
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from loadkit import config as C
 from loadkit.functions import (
-    abbreviate, abs2, cap, classify, if_else3, not_in, not_infinite, override, paste, pct,
-    remainder, safe_ratio, signed_error, strict_sum, sum_or_zero, upper_all)
+    abbreviate, cap, classify, if_else3, not_in, not_infinite, override, paste, pct, remainder,
+    safe_ratio, signed_error, upper_all)
 from loadkit.functions import rules as R
 from loadkit.operators import (
     add_total_member, align_by_slice, bind_tagged, conservation_check, group_checks, latest_by_date,
