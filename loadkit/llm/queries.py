@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadkit.llm import (best_fit_packing, exact_topk, line_frequency, ordinal_toxicity, prefix_target, speculative_bpe,
-                         token_files, zstd_language)
+from loadkit.llm import (best_fit_packing, exact_topk, line_frequency, ordinal_toxicity, prefix_target, probminhash,
+                         speculative_bpe, suffix_dedup, token_files, zstd_language)
 from loadkit.llm.oracle import SQL
 from loadkit.llm.shared import shared_dir
 
@@ -48,6 +48,10 @@ def op5_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal_toxicity.judge(docs, ordinal_toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return probminhash.classes(table(spark, sf_dir, "documents"))
+
+
 def op7_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = vocabulary("word_bpe_49k.json")
     encoded = speculative_bpe.encode(table(spark, sf_dir, "documents"), words)
@@ -56,6 +60,11 @@ def op7_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.deduplicated(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_zstd_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     content = zstd_language.learn(docs.where(~zstd_language.held_out(F.col("doc_id"))).select("text", "lang"))
@@ -85,5 +94,5 @@ def op10_prefix_target(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ALL = (op1_line_frequency, op2_exact_topk, op3_context_mixing_coder, op4_best_fit_packing, op5_ordinal_toxicity,
-        op7_speculative_bpe, op9_zstd_language, op10_prefix_target)
+        op6_probminhash, op7_speculative_bpe, op8_suffix_dedup, op9_zstd_language, op10_prefix_target)
 QUERIES = {f.__name__: (f, SQL.get(f.__name__)) for f in _ALL}
