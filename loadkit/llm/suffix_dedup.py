@@ -313,7 +313,9 @@ def repeated_spans(docs: DataFrame, settings: Settings = Settings(), text: str =
     """(key, spans): for the 128-bit key of each text the byte ranges that repeated windows cover; texts without any have no row."""
     every = _runs_of(docs, text, settings)
     grams = every.groupBy("gram").agg(F.count("*").alias("n"), F.min("context").alias("lo"), F.max("context").alias("hi")).where("n > 1")
-    met = stage(every.join(grams.select("gram", (F.col("lo") == F.col("hi")).alias("equal")), "gram"), "met")
+    # Staged, so that the join shuffles both sides and adaptive execution can split a gram that very many runs have.
+    grams = stage(grams.select("gram", (F.col("lo") == F.col("hi")).alias("equal")), "grams")
+    met = stage(every.join(grams, "gram"), "met")
     distinct = stage(met.where("NOT equal").groupBy("gram", "context").agg(
         F.count("*").alias("n"), F.min(F.struct("key", "at", "first", "last")).alias("one")), "contexts")
     per_gram = distinct.groupBy("gram").agg(F.count("*").alias("contexts"))
