@@ -334,7 +334,10 @@ def links(docs: DataFrame, settings: Settings = Settings(), doc: str = "doc_id",
             break
         more = stage(verified(_agreeing(rest.join(bytes_of, "node"), settings, best), texts, settings), "links")
         found = found.unionByName(more)
-        labels, rest = _labelled(members, found)
+        if best is None:
+            labels = stage(components(found), "labels")
+        else:
+            labels, rest = _labelled(members, found)
     rows = sketches.drop("bands", "registers").join(nodes, "key", "left")
     return rows, labels
 
