@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 
 from loadkit.llm import textarrays as X
 from loadkit.llm.shared import columns, map_batches
-from loadkit.llm.unit_tokens import UnitEncoder
+from loadkit.llm.unit_tokens import UnitEncoder, kept
 
 #: Unicode's white space, and the words of the split pattern that begin with an apostrophe: fixed values.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0             　  "
@@ -232,7 +232,7 @@ def encode(docs: DataFrame, tokenizer_json: str, doc: str = "doc_id", text: str
 
     def work(batch):
         if not made:
-            made.append(UnitEncoder(Words(shipped.value).encode, keeps_space=False))
+            made.append(kept("own", tokenizer_json, lambda: UnitEncoder(Words(shipped.value).encode, keeps_space=False)))
         ids, at = made[0].ids(batch.column("text"))
         return pa.RecordBatch.from_arrays([batch.column("doc"), _packed(ids.astype("<u4"), at)], ["doc_id", "ids"])
 

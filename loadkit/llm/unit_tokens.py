@@ -9,6 +9,7 @@ white space beside ASCII white space) are tokenized whole.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 from collections.abc import Callable
@@ -26,7 +27,7 @@ OTHER_SPACE = re.compile("[\x85\xa0  -     　]")
 class Memo:
     """Ids of units, in two generations of at most `most` units, so that memory is bounded."""
 
-    def __init__(self, encode: Callable[[list[str]], list[np.ndarray]], most: int = 250_000):
+    def __init__(self, encode: Callable[[list[str]], list[np.ndarray]], most: int = 500_000):
         self.encode, self.most, self.young, self.old = encode, most, {}, {}
 
     def get(self, units: list[bytes]) -> list[bytes]:
@@ -96,11 +97,27 @@ class UnitEncoder:
         return ids, at
 
 
+_KEPT: dict[tuple[str, str], UnitEncoder] = {}
+
+
+def kept(kind: str, tokenizer_json: str, make: Callable[[], UnitEncoder]) -> UnitEncoder:
+    """One encoder per Python worker, so that tasks that follow each other share its memory of units."""
+    key = (kind, hashlib.sha256(tokenizer_json.encode()).hexdigest())
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
 def library_encoder(tokenizer_json: str) -> UnitEncoder:
     """An encoder that asks the tokenizers library for each new unit.
 
     The library runs in one thread, as the tasks beside it do.
     """
+    return kept("library", tokenizer_json, lambda: _library_encoder(tokenizer_json))
+
+
+def _library_encoder(tokenizer_json: str) -> UnitEncoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     keeps_space = gives_space_ids(tokenizer_json)
     library = Tokenizer.from_str(tokenizer_json)
