@@ -61,8 +61,6 @@ TEMPLATE_ORDER = ("FUND_SOURCE", "FACULTY", "DEGREE_FACULTY", "COURSE_LEVEL", "C
 ROLLUP_LEVEL = "HDR"
 
 # --- Fixed values: forecast accuracy -----------------------------------------
-EXCLUDED_CAMPUSES = ("MALAYSIA", "SAFRICA")
-EXCLUDED_FACULTIES = ("MC MUELC", "MC MUFY", "Extension Studies", "MSDI", "MUARC")
 MONTH_LEVELS = {
     2018: ("March", "June", "July", "September", "November"),
     2019: ("March", "June", "September"),
@@ -109,8 +107,18 @@ class Institution:
     load_column: str = "HOME_LOAD"
     home_flag: str = "HOME_UNI_IND"
     cluster_column: str = "HOME_CLUSTER"
-    excluded_faculties: tuple[str, ...] = EXCLUDED_FACULTIES
-    excluded_campuses: tuple[str, ...] = EXCLUDED_CAMPUSES
+
+
+@dataclass(frozen=True)
+class Scope:
+    """What the accuracy job leaves out. There are no defaults, as the names belong to one institution.
+
+    `excluded_faculties` holds for the error tables, `outside_totals` for the control totals.
+    """
+
+    excluded_campuses: tuple[str, ...]
+    excluded_faculties: tuple[str, ...]
+    outside_totals: tuple[str, ...]
 
 
 @dataclass(frozen=True)

@@ -14,7 +14,7 @@ from loadkit.operators.checks import conservation_check, group_checks, reconcile
 from loadkit.operators.joins import left_lookup, natural_join, null_safe_join
 from loadkit.operators.reshape import unpivot_drop_null
 from loadkit.operators.snapshots import latest_by_id
-from loadkit.schema import measure, sum_load
+from loadkit.schema import exact, sum_load
 
 FORECAST = "REPORTED_FORECAST_TAUGHT_LOAD"
 MEDICAL_LOAD, SUB_BACHELOR_LOAD = "MEDICAL_TAUGHT_LOAD", "SUBBACH_TAUGHT_LOAD"
@@ -72,7 +72,7 @@ def designation_split(forecast: DataFrame, actuals: DataFrame,
     Actual keys that repeat multiply the forecast row; `split_checks` reports it.
     """
     keys = split_keys(institution or C.Institution())
-    typed = forecast.withColumn(FORECAST, measure(FORECAST))
+    typed = forecast.withColumn(FORECAST, exact(FORECAST))
     joined = null_safe_join(typed, actuals.drop("REPDATE"), keys, "left")
     medical, sub_bachelor, rest = PARTS
     return joined.withColumns({
@@ -122,7 +122,7 @@ def split_checks(forecast: DataFrame, medical: DataFrame, sub_bachelor: DataFram
     wide = split.unpivot([], list(PARTS), GROUPING, FORECAST)
     graduate = ((F.col("FUND_SOURCE_DESCRIPTION") == csp)
                 & (F.col("COURSE_LEVEL") == graduate_level))
-    source = (forecast.where(graduate).withColumn(FORECAST, measure(FORECAST))
+    source = (forecast.where(graduate).withColumn(FORECAST, exact(FORECAST))
               .withColumn(GROUPING, F.lit("DESIGNATED_GPG")))
     relabelled = final.where(F.col(GROUPING) == "DESIGNATED_GPG")
     others = ("DESIG_MED_UG", "SUBBACH")
@@ -131,7 +131,7 @@ def split_checks(forecast: DataFrame, medical: DataFrame, sub_bachelor: DataFram
         reconcile("combined", medical, actuals, [MEDICAL_LOAD]),
         reconcile("combined", sub_bachelor, actuals, [SUB_BACHELOR_LOAD]),
         run_date_check(actuals, as_of),
-        reconcile("forecast kept by join", forecast.withColumn(FORECAST, measure(FORECAST)),
+        reconcile("forecast kept by join", forecast.withColumn(FORECAST, exact(FORECAST)),
                   split, [FORECAST]),
         conservation_check("parts equal forecast", split, FORECAST, PARTS),
         group_checks("long equals wide", wide, long, GROUPING, FORECAST),

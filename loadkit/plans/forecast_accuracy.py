@@ -127,14 +127,19 @@ def consolidate(course: DataFrame, bucket: DataFrame) -> DataFrame:
     return bind_tagged([("Course", course), ("Bucket", bucket)], METHOD)
 
 
-def _kept(institution: C.Institution, campus: Column, faculty: Column) -> Column:
-    inside = reduce(lambda a, b: a & b, [campus != c for c in institution.excluded_campuses])
-    return inside & not_in(faculty, institution.excluded_faculties)
+def _all_differ(name: str, values: Sequence[str]) -> Column:
+    """A chain of comparisons; a missing value is in none of them, so its row is dropped."""
+    return reduce(lambda a, b: a & b, [F.col(name) != v for v in values], F.lit(True))
 
 
-def in_scope(df: DataFrame, institution: C.Institution | None = None) -> DataFrame:
-    """Rows of the home institution: a missing campus is dropped, a missing faculty kept."""
-    return df.where(_kept(institution or C.Institution(), F.col("CAMPUS"), F.col("FACULTY")))
+def in_scope(df: DataFrame, scope: C.Scope) -> DataFrame:
+    """Rows of the error tables: a missing campus is dropped, a missing faculty kept."""
+    return df.where(_all_differ("CAMPUS", scope.excluded_campuses) & not_in(F.col("FACULTY"), scope.excluded_faculties))
+
+
+def in_totals(df: DataFrame, scope: C.Scope) -> DataFrame:
+    """Rows of the control totals: a missing campus and a missing faculty are both dropped."""
+    return df.where(_all_differ("CAMPUS", scope.excluded_campuses) & _all_differ("FACULTY", scope.outside_totals))
 
 
 def month_order(levels: Sequence[str]) -> Column:
@@ -143,13 +148,12 @@ def month_order(levels: Sequence[str]) -> Column:
     return F.when(F.col(MONTH).isNotNull(), F.try_element_at(table, F.col(MONTH)))
 
 
-def error_base(consolidated: DataFrame, levels: Sequence[str],
-               institution: C.Institution | None = None) -> DataFrame:
+def error_base(consolidated: DataFrame, levels: Sequence[str], scope: C.Scope) -> DataFrame:
     """In-scope rows with the signed error; months outside the list become missing.
 
     The error is rounded per row, so sums of it are sums of rounded values.
     """
-    rows = in_scope(consolidated, institution).withColumns({
+    rows = in_scope(consolidated, scope).withColumns({
         FORECAST: F.coalesce(F.col(FORECAST), F.lit(0)).cast(SUM),
         ACTUAL: F.coalesce(F.col(ACTUAL), F.lit(0)).cast(SUM),
     })

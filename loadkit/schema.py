@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MEASURE = T.DecimalType(18, 4)
-SUM = T.DecimalType(28, 4)
+SUM = T.DecimalType(37, 10)
 
 _TYPES = {"long": T.LongType(), "int": T.IntegerType(), "string": T.StringType(),
           "date": T.DateType(), "measure": MEASURE, "double": T.DoubleType()}
@@ -92,34 +92,26 @@ SCHEMAS: dict[str, T.StructType] = {
 }
 
 
-def measure(col: Column | str) -> Column:
-    """A load as an exact decimal, so that sums do not depend on task order."""
-    return (F.col(col) if isinstance(col, str) else col).cast(MEASURE)
+def exact(col: Column | str, scale: int = 10) -> Column:
+    """A load as a decimal of `scale` places, so that sums do not depend on the order of tasks.
 
-
-UNITS = 10_000
-
-
-def units(col: Column | str) -> Column:
-    """A load as a whole number of ten-thousandths.
-
-    Sums of whole numbers are exact in any order and stay in primitive
-    registers, unlike sums of wide decimals. Loads are kept to four places; a
-    single load must stay below 9e11 and a sum below 9e14, or ANSI mode fails.
+    Decimals keep all places up to `scale`; a double is taken at its shortest
+    decimal form. A load that does not fit 27 digits, or is no number, raises an error.
     """
     c = F.col(col) if isinstance(col, str) else col
-    return F.rint(c.cast("double") * UNITS).cast("long")
+    kind = T.DecimalType(27, scale)
+    broken = F.raise_error(F.concat(F.lit("not a load: "), c.cast("string"))).cast(kind)
+    return F.when(c.isNotNull(), F.coalesce(c.try_cast(kind), broken))
 
 
-def load_of(col: Column | str) -> Column:
-    """The load of a number of ten-thousandths, as a double."""
-    c = F.col(col) if isinstance(col, str) else col
-    return c / F.lit(UNITS)
+def as_double(col: Column | str) -> Column:
+    """A load for output."""
+    return (F.col(col) if isinstance(col, str) else col).cast("double")
 
 
-def sum_load(col: Column | str) -> Column:
+def sum_load(col: Column | str, scale: int = 10) -> Column:
     """Exact sum of loads as a decimal, missing when no load is present."""
-    return (F.sum(units(col)).cast("decimal(19,0)") * F.lit("0.0001").cast("decimal(5,4)")).cast(SUM)
+    return F.sum(exact(col, scale))
 
 
 def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:

@@ -8,7 +8,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType, StructType
+from pyspark.sql.types import IntegralType, NumericType, StringType, StructType
 
 from loadkit.operators.reshape import bind_tagged
 
@@ -57,23 +57,29 @@ def read_tsv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return _delimited(spark, path, "\t", schema)
 
 
-def read_extract(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_extract(spark: SparkSession, path: str, schema: StructType, optional: Iterable[str] = ()) -> DataFrame:
     """A spreadsheet extract saved as Parquet or CSV, with its columns brought to `schema`.
 
-    Columns of the extract that the schema does not name are left out, those it
-    lacks are missing. Text that should be a number is read leniently: what is
-    not a number becomes missing.
+    Columns that the schema does not name are left out. Only `optional` columns may be
+    absent; they are missing then. Text that should be a number is read leniently: what is
+    not a number becomes missing, and whole numbers may be written as 2018.0.
     """
     if path.endswith((".csv", ".txt")):
         text = spark.read.csv(path, header=True, nullValue="NA")
     else:
         text = spark.read.parquet(path)
     have = {f.name: f.dataType for f in text.schema.fields}
+    absent = [f.name for f in schema.fields if f.name not in have and f.name not in set(optional)]
+    if absent:
+        raise ValueError(f"{path} lacks the columns {absent}")
 
     def column(field):
         if field.name not in have:
             return F.lit(None).cast(field.dataType).alias(field.name)
         col = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, IntegralType) and not isinstance(have[field.name], IntegralType):
+            number = col.try_cast("double")
+            return F.when(number == F.floor(number), number).try_cast(field.dataType).alias(field.name)
         lenient = isinstance(field.dataType, NumericType) and isinstance(have[field.name], StringType)
         return (col.try_cast(field.dataType) if lenient else col.cast(field.dataType)).alias(field.name)
 
@@ -81,9 +87,10 @@ def read_extract(spark: SparkSession, path: str, schema: StructType) -> DataFram
 
 
 def read_tagged(spark: SparkSession, files: Iterable[tuple[str, str]], schema: StructType,
-                tag: str = "FCAST_MONTH") -> DataFrame:
+                tag: str = "FCAST_MONTH", optional: Iterable[str] = ()) -> DataFrame:
     """Several extracts as one table, each row with the label of its file; labels may repeat."""
-    return bind_tagged([(label, read_extract(spark, path, schema)) for label, path in files], tag)
+    may_lack = tuple(optional)
+    return bind_tagged([(label, read_extract(spark, path, schema, may_lack)) for label, path in files], tag)
 
 
 def register_views(tables: Mapping[str, DataFrame]) -> None:

@@ -85,7 +85,16 @@ def base(frame):
     df = frame("FCAST_MONTH string, FCAST_TYPE string, CAMPUS string, FACULTY string, TEACHING_FACULTY_NAME string, "
                "TEACHING_FACULTY_CD string, DEPARTMENT_CD string, COURSE_CD string, FUND_SOURCE string, f double, a double", *rows)
     df = df.select("*", F.col("f").cast("decimal(18,4)").alias("FCAST_EFTSL"), F.col("a").cast("decimal(18,4)").alias("ACTUALS_EFTSL"))
-    return A.error_base(df.drop("f", "a").withColumn("COM_RET", F.lit("Commencing")), C.month_levels(2018))
+    return A.error_base(df.drop("f", "a").withColumn("COM_RET", F.lit("Commencing")), C.month_levels(2018), SCOPE)
+
+
+SCOPE = C.Scope(excluded_campuses=("MALAYSIA", "SAFRICA"), excluded_faculties=("MSDI", "MUARC"), outside_totals=("MUARC",))
+
+
+def test_scopes_treat_a_missing_faculty_differently(frame):
+    df = frame("CAMPUS string, FACULTY string", ("A", "Arts"), ("A", None), ("A", "MSDI"), ("A", "MUARC"), ("MALAYSIA", "Arts"), (None, "Arts"))
+    assert bag(A.in_scope(df, SCOPE)) == [("A", "Arts"), ("A", None)]
+    assert bag(A.in_totals(df, SCOPE)) == [("A", "Arts"), ("A", "MSDI")]
 
 
 def test_error_base(base):

@@ -1,5 +1,6 @@
 import math
 
+import pytest
 from conftest import bag
 from pyspark.sql import functions as F
 
@@ -8,7 +9,7 @@ from loadkit.functions import (
     abbreviate, cap, classify, if_else3, not_in, not_infinite, override, paste, pct, remainder, round2,
     safe_ratio, strict_sum, sum_or_zero)
 from loadkit.functions import rules as R
-from loadkit.schema import load_of, sum_load, units
+from loadkit.schema import as_double, exact, sum_load
 
 
 def values(df, col):
@@ -108,9 +109,25 @@ def test_bucket_description_follows_the_code(frame):
     assert values(df, R.bucket_description(F.col("c"), F.col("a"))) == [C.BUCKET, "abbr", None]
 
 
-def test_units_are_exact(frame):
+def test_loads_are_exact(frame):
     df = frame("x double", (0.1,), (0.2,), (0.07,), (None,), (1e8,))
-    assert values(df, units("x")) == [1000, 2000, 700, None, 10**12]
-    assert df.agg(load_of(F.sum(units("x")))).first()[0] == 100000000.37
-    assert str(df.agg(sum_load("x")).first()[0]) == "100000000.3700"
+    assert [None if v is None else str(v) for v in values(df, exact("x"))] == [
+        "0.1000000000", "0.2000000000", "0.0700000000", None, "100000000.0000000000"]
+    assert df.agg(as_double(F.sum(exact("x")))).first()[0] == 100000000.37
+    assert str(df.agg(sum_load("x")).first()[0]) == "100000000.3700000000"
     assert df.where("x IS NULL").agg(sum_load("x")).first()[0] is None
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_no_place_and_no_size_is_lost(spark, frame, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        fine = frame("x double", *[(0.00004,)] * 4, (0.08333,))
+        assert str(fine.agg(sum_load("x")).first()[0]) == "0.0834900000"
+        large = frame("x decimal(18,4)", ("12345678901234.5678",), *[("5000000000000",)] * 3)
+        assert str(large.agg(sum_load("x")).first()[0]) == "27345678901234.5678000000"
+        with pytest.raises(Exception, match="not a load"):
+            frame("x double", (1e20,)).agg(sum_load("x")).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)

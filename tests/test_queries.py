@@ -23,8 +23,8 @@ def oracle():
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
-    assert set(planning_queries.QUERIES) <= set(QUERIES)
+    own = {*operator_queries.QUERIES, *planning_queries.QUERIES, *job_queries.QUERIES}
+    assert own <= set(QUERIES) and own <= set(ORACLE)
 
 
 @pytest.mark.parametrize("name", RUN)

@@ -30,19 +30,34 @@ def test_csv_with_spaces_in_names(spark, tmp_path):
 def test_extract_reads_bad_numbers_as_missing(spark, tmp_path):
     path = tmp_path / "extract.csv"
     path.write_text("REFERENCE_YEAR,FACULTY,EXTRA,REPORTED_FORECAST_TAUGHT_LOAD\n2018,Arts,x,1.5\nTotal,Law,y,n/a\n")
-    out = read_extract(spark, str(path), SCHEMAS["bucket_forecast"])
+    rest = [n for n in SCHEMAS["bucket_forecast"].names if n not in ("REFERENCE_YEAR", "FACULTY", "REPORTED_FORECAST_TAUGHT_LOAD")]
+    with pytest.raises(ValueError, match="UNIT_MODE"):
+        read_extract(spark, str(path), SCHEMAS["bucket_forecast"], [n for n in rest if n != "UNIT_MODE"])
+    out = read_extract(spark, str(path), SCHEMAS["bucket_forecast"], rest)
     assert out.schema == SCHEMAS["bucket_forecast"]
     assert bag(out, "REFERENCE_YEAR", "FACULTY", "UNIT_MODE", "REPORTED_FORECAST_TAUGHT_LOAD") == [
         (2018, "Arts", None, 1.5), (None, "Law", None, None)]
 
 
+@pytest.mark.parametrize("given, year", [("2018", 2018), ("2018.0", 2018), ("2018.5", None), ("Total", None), ("", None)])
+def test_extract_years(spark, tmp_path, given, year):
+    path = tmp_path / "extract.csv"
+    path.write_text(f"REFERENCE_YEAR,FACULTY\n{given},Arts\n")
+    out = read_extract(spark, str(path), SCHEMAS["bucket_forecast"], SCHEMAS["bucket_forecast"].names)
+    assert out.first().REFERENCE_YEAR == year
+    stored = str(tmp_path / "stored.parquet")
+    spark.sql("SELECT 2018.0D AS REFERENCE_YEAR UNION ALL SELECT 2018.5D").write.parquet(stored)
+    again = read_extract(spark, stored, SCHEMAS["bucket_forecast"], SCHEMAS["bucket_forecast"].names)
+    assert bag(again, "REFERENCE_YEAR") == [(2018,), (None,)]
+
+
 def test_tagged_files_with_repeated_labels(spark, tmp_path):
     files = []
     for i, label in enumerate(["March", "March", "June"]):
         path = str(tmp_path / f"f{i}.parquet")
         spark.range(1).select(F.lit(2018).alias("REFERENCE_YEAR"), F.lit(f"fac{i}").alias("FACULTY")).write.parquet(path)
         files.append((label, path))
-    out = read_tagged(spark, files, SCHEMAS["bucket_forecast"])
+    out = read_tagged(spark, files, SCHEMAS["bucket_forecast"], optional=SCHEMAS["bucket_forecast"].names)
     assert bag(out, "FCAST_MONTH", "FACULTY") == [("June", "fac2"), ("March", "fac0"), ("March", "fac1")]
 
 

@@ -229,7 +229,7 @@ def _bucket(t):
 
 
 def _base(t):
-    return A.error_base(A.consolidate(_course(t), _bucket(t)), S.MONTHS, S.ACCURACY_INSTITUTION)
+    return A.error_base(A.consolidate(_course(t), _bucket(t)), S.MONTHS, S.SCOPE)
 
 
 @register("q9_align_course", _as_double("course_aligned", "FCAST_EFTSL", "ACTUALS_EFTSL"), ACCURACY)
@@ -252,10 +252,11 @@ def q10_consolidate(t):
 
 @register("q10_in_scope_totals", f"""
     SELECT FCAST_MONTH, FCAST_TYPE, {_LOADS} FROM (SELECT FCAST_MONTH, FCAST_TYPE, coalesce(sum(FCAST_EFTSL), 0) AS f,
-      coalesce(sum(ACTUALS_EFTSL), 0) AS a FROM scoped GROUP BY ALL)""", ACCURACY)
+      coalesce(sum(ACTUALS_EFTSL), 0) AS a FROM consolidated
+      WHERE CAMPUS NOT IN ('MALAYSIA', 'SAFRICA') AND FACULTY NOT IN ('NATION_3', 'NATION_4') GROUP BY ALL)""", ACCURACY)
 def q10_in_scope_totals(t):
     """Control totals of the home institution by month and method."""
-    rows = A.in_scope(A.consolidate(_course(t), _bucket(t)), S.ACCURACY_INSTITUTION)
+    rows = A.in_totals(A.consolidate(_course(t), _bucket(t)), S.SCOPE)
     return A.sum_numeric(rows, [A.MONTH, A.METHOD], "skip")
 
 

@@ -496,6 +496,18 @@ def a6_strict_sum(t):
     return sum_by(rows, ["l_orderkey"], "x", "load", "strict")
 
 
+_FINE = "CAST(l_quantity AS DECIMAL(18,4)) * CAST(0.00001 AS DECIMAL(6,5))"
+_LARGE = "CAST(l_quantity AS DECIMAL(20,0)) * CAST(1000000000001 AS DECIMAL(13,0))"
+
+
+@register("a6_fine_loads", f"""
+    SELECT l_returnflag, CAST(sum({_FINE}) AS DOUBLE) AS fine, CAST(sum({_LARGE}) AS DOUBLE) AS large FROM lineitem GROUP BY 1""")
+def a6_fine_loads(t):
+    """Sums of loads with nine places, and of loads above 1e13; no place is lost before the sum."""
+    rows = t.lineitem.select("l_returnflag", F.expr(_FINE).alias("fine"), F.expr(_LARGE).alias("large"))
+    return rows.groupBy("l_returnflag").agg(sum_load("fine").alias("fine"), sum_load("large").alias("large"))
+
+
 @register("a7_sum_or_zero", f"""
     SELECT l_orderkey, CAST(coalesce(sum({D('nullif(l_tax, 0.0)')}), 0) AS DOUBLE) AS load FROM lineitem GROUP BY l_orderkey""")
 def a7_sum_or_zero(t):
@@ -567,7 +579,7 @@ def a14_two_level(t):
 
 
 _ORDER_ERRORS = {
-    "line_totals": f"""SELECT l_orderkey, sum({D('l_extendedprice')}) AS actual FROM lineitem WHERE l_returnflag = 'N' GROUP BY 1""",
+    "line_totals": f"""SELECT l_orderkey, sum({D('CASE WHEN l_orderkey % 7 <> 0 THEN l_extendedprice END')}) AS actual FROM lineitem GROUP BY 1""",
     "order_errors": f"""SELECT o_orderkey, o_orderstatus AS status, o_orderpriority AS month,
         CASE WHEN o_orderstatus = 'P' THEN 0 ELSE {D('o_totalprice')} END AS forecast, coalesce(actual, 0) AS actual
         FROM orders LEFT JOIN line_totals ON o_orderkey = l_orderkey""",
@@ -575,8 +587,8 @@ _ORDER_ERRORS = {
 
 
 def _order_errors(t):
-    totals = t.lineitem.where(F.col("l_returnflag") == "N").groupBy("l_orderkey").agg(
-        F.sum(load("l_extendedprice")).alias("actual"))
+    totals = t.lineitem.groupBy("l_orderkey").agg(
+        F.sum(load(F.when(F.col("l_orderkey") % 7 != 0, F.col("l_extendedprice")))).alias("actual"))
     rows = left_lookup(t.orders, totals, {"o_orderkey": "l_orderkey"}, {"actual": "actual"})
     return rows.select("o_orderkey", F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("month"),
                        F.when(F.col("o_orderstatus") == "P", F.lit(0).cast("decimal(18,4)")).otherwise(load("o_totalprice"))

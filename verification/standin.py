@@ -23,8 +23,8 @@ RULES = C.PlanningRules(
     sub_bachelor=("Brand#5", "Brand#6", "Brand#7", "Brand#8", "Brand#9", "Brand#10"),
 )
 DESIGNATED_FUND = "AUTOMOBILE"
-ACCURACY_INSTITUTION = C.Institution(excluded_faculties=("NATION_3",),
-                                     excluded_campuses=("MALAYSIA", "SAFRICA"))
+SCOPE = C.Scope(excluded_campuses=("MALAYSIA", "SAFRICA"), excluded_faculties=("NATION_3",),
+                outside_totals=("NATION_3", "NATION_4"))
 ACCURACY_YEAR = 1998
 MONTHS = ("March", "June", "July", "September")
 OVERRIDES = (("D2", "WATER STUDIES CENTRE"), ("D5", "MUSIC TECHNOLOGY"), ("D5", "NA"))
