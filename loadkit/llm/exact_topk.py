@@ -104,7 +104,7 @@ def _tile(k: int):
             order = np.argsort(right.column("vec_id").to_numpy(), kind="stable")
             right = right.take(pa.array(order))
             offered = _matrix(right.column("vector").combine_chunks())
-            ask, have, row = left.column("vec_id").to_numpy(), right.column("vec_id").to_numpy(), right.column("copy").to_numpy()
+            ask, have, row = left.column("query").to_numpy(), right.column("vec_id").to_numpy(), right.column("copy").to_numpy()
             for size, (rows, matrix) in asked.items():
                 if size not in offered:
                     continue
@@ -136,11 +136,11 @@ def top_k(vectors: DataFrame, asked: Column, settings: Settings = Settings(), ve
     given = vectors.select(F.col(f"`{vec_id}`").cast("long").alias("vec_id"), F.col(f"`{vector}`").alias("v"))
     rows = stage(given.select("vec_id", quantised(F.col("v"), scale).alias("vector")).where("vec_id IS NOT NULL AND vector IS NOT NULL")
                  .withColumn("copy", F.monotonically_increasing_id()), "vectors")
-    queries = rows.where(asked).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    queries = rows.where(asked).groupBy("vec_id").agg(F.min("vector").alias("vector")).withColumnRenamed("vec_id", "query")
     counts = rows.agg(F.count("*").alias("n"), F.count(F.when(asked, 1)).alias("q")).first()
     shards, blocks = max(1, math.ceil(counts.n / settings.shard)), max(1, math.ceil(counts.q / settings.block))
     deal = lambda n, key: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
-    left = (queries.withColumn("block", deal(blocks, "vec_id"))
+    left = (queries.withColumn("block", deal(blocks, "query"))
             .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))))
     right = (rows.withColumn("part", deal(shards, "copy"))
              .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))

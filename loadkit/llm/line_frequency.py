@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadkit.llm import textarrays as X
-from loadkit.llm.shared import map_batches, stage
+from loadkit.llm.shared import map_batches, schema, stage
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -117,8 +117,7 @@ def _measured(docs: DataFrame, text: str, host: str, carried: list[str]) -> Data
         return pa.RecordBatch.from_arrays([batch.column("_host"), batch.column("_row"), *made.columns],
                                           ["_host", "_row", *made.schema.names])
 
-    row = given.select("_row").schema.simpleString()[len("struct<_row:"):-1]
-    out = map_batches(given, work, f"_host string, _row {row}, {FIGURES}")
+    out = map_batches(given, work, schema("_host string", given.schema["_row"], FIGURES))
     return stage(out.withColumn("_id", F.monotonically_increasing_id()), "line-figures")
 
 

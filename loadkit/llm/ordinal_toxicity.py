@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadkit.llm import textarrays as X
-from loadkit.llm.shared import map_batches
+from loadkit.llm.shared import map_batches, schema
 
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -235,7 +235,6 @@ def judge(docs: DataFrame, model: Model, settings: Settings = Settings(), text:
             [batch.column("_row"), pa.array(1 - p[:, 0]), pa.array(severity), pa.array(grade), pa.array(severity >= settings.limit)],
             ["_row", "p_toxic", "expected_severity", "grade", "toxic"])
 
-    row = given.select("_row").schema.simpleString()[len("struct<_row:"):-1]
-    out = map_batches(given, work, f"_row {row}, p_toxic double, expected_severity double, grade int, toxic boolean")
+    out = map_batches(given, work, schema(given.schema["_row"], "p_toxic double, expected_severity double, grade int, toxic boolean"))
     return out.select(*[F.col("_row").getField(c).alias(c) for c in carry], "p_toxic", "expected_severity", "grade", "toxic",
                       (~F.col("toxic")).alias("kept"))

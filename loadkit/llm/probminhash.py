@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from loadkit.llm import textarrays as X
 from loadkit.llm.components import components
-from loadkit.llm.shared import columns, map_batches, slices, stage
+from loadkit.llm.shared import columns, map_batches, schema, slices, stage
 
 U64 = np.uint64
 
@@ -193,10 +193,8 @@ def _sketched(docs: DataFrame, doc: str, text: str, settings: Settings, carry: l
              pa.array([small[k:k + many] for k in range(0, len(small), many)], pa.binary()), *rest],
             ["_doc", "key", "bands", "registers", *["_row"] * len(rest)])
 
-    schema = f"_doc {given.schema['_doc'].dataType.simpleString()}, key binary, bands array<long>, registers binary"
-    if carry:
-        schema += ", _row " + given.select("_row").schema.simpleString()[len("struct<_row:"):-1]
-    return stage(map_batches(given, work, schema).withColumn("_id", F.monotonically_increasing_id()), "sketches")
+    made = schema(given.schema["_doc"], "key binary, bands array<long>, registers binary", *([given.schema["_row"]] if carry else []))
+    return stage(map_batches(given, work, made).withColumn("_id", F.monotonically_increasing_id()), "sketches")
 
 
 def _texts(docs: DataFrame, text: str, members: DataFrame, settings: Settings) -> DataFrame:

@@ -215,7 +215,7 @@ def _decode_rows(words: np.ndarray, begin: np.ndarray, steps: int) -> np.ndarray
         coder.span = small
         coder.renew()
         whole = bits.astype(np.int32) + _BASE[symbol]
-        now = np.where(symbol > NEW, whole, listed[base + np.where(symbol > NEW, 0, whole)])
+        now = np.where(symbol > NEW, whole, listed[base + np.where(symbol > NEW, 0, np.minimum(whole, steps))])
         now = np.where(symbol == ORDER2, predictor.id2, np.where(symbol == ORDER1, predictor.id1, now))
         new = np.flatnonzero(symbol > NEW)
         listed[base[new] + used[new]] = now[new]

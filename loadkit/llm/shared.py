@@ -45,6 +45,11 @@ def columns(docs: DataFrame, **wanted: str) -> DataFrame:
     return docs.select(*[F.col(f"`{name}`").alias(own) for own, name in wanted.items()])
 
 
+def schema(*parts: str | T.StructField) -> T.StructType:
+    """A schema of DDL texts and of fields taken from another frame, whose names can be any."""
+    return T.StructType([f for p in parts for f in (T.StructType.fromDDL(p).fields if isinstance(p, str) else [p])])
+
+
 def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch] | pa.RecordBatch],
                 schema: str | T.StructType) -> DataFrame:
     """`work` on slices of each Arrow batch that hold about a few MB of text, so that arrays in a task stay small."""

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from loadkit.llm import textarrays as X
-from loadkit.llm.shared import columns, map_batches
+from loadkit.llm.shared import columns, map_batches, schema
 from loadkit.llm.unit_tokens import UnitEncoder, kept
 
 #: Unicode's white space, and the words of the split pattern that begin with an apostrophe: fixed values.
@@ -259,7 +259,7 @@ def decode(encoded: DataFrame, tokenizer_json: str, ids: str = "ids") -> DataFra
             tokens = _gather(data.view("<u4"), offsets // 4, shipped.value)
             yield pa.RecordBatch.from_arrays([*batch.columns, tokens], [*batch.schema.names, "text"])
 
-    return encoded.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields) + ", text string")
+    return encoded.mapInArrow(run, schema(*encoded.schema.fields, "text string"))
 
 
 def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from loadkit.llm import textarrays as X
 from loadkit.llm.probminhash import mix
-from loadkit.llm.shared import columns, map_batches, slices, stage
+from loadkit.llm.shared import columns, map_batches, schema, slices, stage
 
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -165,7 +165,7 @@ def _keyed_texts(docs: DataFrame, text: str, once: bool, carry: DataFrame | None
                 yield out
 
     given = carry if carry is not None else columns(docs, text=text)
-    return given.mapInArrow(run, "key binary, " + given.schema.simpleString()[len("struct<"):-1])
+    return given.mapInArrow(run, schema("key binary", *given.schema.fields))
 
 
 def _words(parts: list[bytes]) -> np.ndarray:
@@ -368,7 +368,6 @@ def deduplicated(docs: DataFrame, settings: Settings = Settings(), text: str = "
     """
     given = docs.select(F.col(f"`{text}`").alias("text"), F.struct(*[F.col(f"`{c}`") for c in carry]).alias("_row"))
     rows = _keyed_texts(docs, text, once=False, carry=given).join(repeated_spans(docs, settings, text), "key", "left")
-    row = given.select("_row").schema.simpleString()[len("struct<_row:"):-1]
 
     def work(batch):
         kept, whole, size, gone, listed = [], [], [], [], []
@@ -384,7 +383,7 @@ def deduplicated(docs: DataFrame, settings: Settings = Settings(), text: str = "
              pa.array(kept, pa.binary()), pa.array(whole, pa.string())], ["_row", "n_bytes", "n_removed", "removed", "kept", "kept_text"])
 
     out = map_batches(rows.select("_row", "text", "spans"), work,
-                      f"_row {row}, n_bytes long, n_removed long, removed array<struct<begin:int,end:int>>, kept binary, kept_text string")
+                      schema(given.schema["_row"], "n_bytes long, n_removed long, removed array<struct<begin:int,end:int>>, kept binary, kept_text string"))
     return out.select(*[F.col("_row").getField(c).alias(c) for c in carry], "n_bytes", "n_removed", "removed", "kept", "kept_text")
 
 
