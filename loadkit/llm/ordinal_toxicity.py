@@ -7,8 +7,8 @@ of toxic texts are set by how dense the words are that tell the two apart:
 other texts are grade 0, toxic ones 1 to 3 by the thirds of that density.
 
 Defined results. A missing, empty or wordless text has no features; it gets the
-probabilities of w.x = 0 and is kept. Without labels of both kinds nothing is learned:
-every text is grade 0. Labels that repeat a document count once if they agree
+probabilities of w.x = 0 and is kept. Without labels of both kinds, or a word that tells
+them apart, nothing is learned: every text is grade 0. Labels that repeat a document count once if they agree
 and not at all if they differ. Rows that repeat a doc_id are judged each on
 its own text; an empty table gives no rows.
 """
@@ -45,7 +45,7 @@ class Settings:
     prefixes: tuple[int, ...] = (4, 5, 6)
     l2: float = 1e-3
     steps: int = 400
-    limit: float = 0.5
+    limit: float = 0.35
 
 
 @dataclass
@@ -86,8 +86,8 @@ def fit_cumulative_link(rows: np.ndarray, cols: np.ndarray, values: np.ndarray,
     share = np.clip(np.cumsum(counts)[:-1] / n, 0.01, 0.99)
     start = np.log(share / (1 - share))
     theta = np.concatenate([np.zeros(n_features), start[:1], np.log(np.maximum(np.diff(start), 0.1))])
-    # Both kinds weigh the same, whatever the sample holds of them.
-    weight = np.where(grade > 0, 0.5 / max(1, (grade > 0).sum()), 0.5 / max(1, (grade == 0).sum()))
+    # The toxic texts weigh a fifth together, whatever the sample holds of them: a text without features is then kept.
+    weight = np.where(grade > 0, 0.2 / max(1, (grade > 0).sum()), 0.8 / max(1, (grade == 0).sum()))
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, settings.steps + 1):
         w, gaps = theta[:n_features], np.exp(theta[n_features + 1:])
@@ -164,6 +164,8 @@ def _fit_counted(counted: DataFrame, settings: Settings) -> Model:
     chosen = (held.where((total >= settings.least) & (F.abs(odds) > settings.odds))
               .withColumn("z", ratio * sign).where(F.abs("z") > settings.z))
     signs = {r.feature: r.z for r in chosen.select("feature", "z").collect()}
+    if not signs:
+        return Model()
     place = {f: i for i, f in enumerate(sorted(signs))}
     keep = chosen.select("feature")
     each = (counted.select("doc", "toxic", "words", F.explode(F.arrays_zip("features", "times")).alias("x"))
