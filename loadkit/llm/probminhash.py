@@ -14,7 +14,7 @@ their shingles, in rounds that never list all pairs of a bucket:
 1. every node against its bucket's best connected node;
 2. in buckets whose nodes are still in different classes, every node against
    the few nodes of each other class that agree most with it;
-3. all other pairs of such a bucket that are in different classes still and whose
+3. in buckets where that left pairs out, all those pairs that are in different classes still and whose
    registers do not rule the similarity out.
 
 So every candidate pair is verified, ruled out by its registers, or already in one class.
@@ -53,7 +53,7 @@ class Settings:
     limit: float = 0.8
     words: int = 5
     bands: int = 42
-    rows: int = 6
+    rows: int = 6  # at most six: a band's key holds a byte of each
     slack: float = 0.1
     best: int = 4
     tile: int = 512
@@ -180,12 +180,13 @@ def _sketched(docs: DataFrame, doc: str, text: str, settings: Settings, carry: l
     def work(batch):
         shingles = Shingles(batch.column("_text"), settings.words)
         found = registers(shingles, many)
-        # A band's key is made of its number and its registers.
+        found = mix(found) & U64(255)
+        # A band's key is its number and its registers, so two texts share a bucket just where these registers are equal.
         bands = np.repeat(np.arange(settings.bands, dtype=U64)[None, :], shingles.texts, axis=0)
         for k in range(settings.rows):
-            bands = mix(bands * U64(0x9E3779B97F4A7C15) + found[:, k::settings.rows])
+            bands = bands * U64(256) + found[:, k::settings.rows]
         at = pa.array(np.arange(shingles.texts + 1, dtype=np.int32) * settings.bands)
-        small = (mix(found) & U64(255)).astype(np.uint8).tobytes()
+        small = found.astype(np.uint8).tobytes()
         rest = [batch.column("_row")] if carry else []
         return pa.RecordBatch.from_arrays(
             [batch.column("_doc"), pa.array(shingles.sequence_keys(), pa.binary()),
@@ -240,45 +241,57 @@ def _similar(batch: pa.RecordBatch, settings: Settings) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a[good]), pa.array(b[good]), pa.array(value[good])], ["a", "b", "similarity"])
 
 
-def _agreeing(keys: DataFrame, settings: Settings, best: int | None) -> DataFrame:
-    """Pairs (a, b) of a bucket in different classes whose registers do not rule them out.
+def _agreeing(keys: DataFrame, settings: Settings, left_out: bool) -> DataFrame:
+    """Rows (a, b, cut): pairs of a bucket in different classes whose registers do not rule them out.
 
-    `keys` has key, node, label, n, registers. A large bucket is cut into tiles of about
-    `tile` nodes against as many, so memory and work of a step are bounded. With `best`, each node
-    gets its best agreeing nodes of each other class only.
+    `keys` has key, node, before, label, n, registers. A large bucket is cut into tiles of about
+    `tile` nodes against as many, so memory and work of a step are bounded. A pair that shares
+    several buckets is looked at in the one of its first band only. Each node gets its best
+    agreeing nodes of each class of `before`; a row without a pair has in `cut` the key of a
+    bucket where that left pairs out. With `left_out` just these pairs come, if `label` still differs.
     """
     blocks = F.ceil(F.col("n") / settings.tile).cast("int")
     dealt = keys.withColumn("mine", F.pmod(F.xxhash64("node"), blocks).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "label", "registers")
+    dealt = dealt.select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "before", "label", "registers")
     many = settings.bands * settings.rows
     least = (settings.limit - settings.slack) * many
 
     def pairs(rows: pa.RecordBatch) -> pa.RecordBatch:
         key, i, j = (rows.column(c).to_numpy() for c in ("key", "i", "j"))
-        node, label, mine = (rows.column(c).to_numpy() for c in ("node", "label", "mine"))
+        node, before, label, mine = (rows.column(c).to_numpy() for c in ("node", "before", "label", "mine"))
         regs = np.frombuffer(b"".join(rows.column("registers").to_pylist()), np.uint8).reshape(-1, many)
         cut = np.flatnonzero((np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
-        out_a, out_b = [], []
+        found, out_cut = [np.zeros((0, 2), np.int64)], set()
         for a, b in zip(np.concatenate([[0], cut]), np.concatenate([cut, [len(key)]])):
             if (label[a:b] == label[a]).all():
                 continue
+            listed = []
             for x in range(a, b):
                 # Within a diagonal tile all pairs, else only between its two blocks; each pair is seen from both sides.
-                ys = a + np.flatnonzero((label[a:b] != label[x]) & ((i[a] == j[a]) | (mine[a:b] != mine[x])))
-                agree = (regs[ys] == regs[x]).sum(axis=1)
-                ys, agree = ys[agree >= least], agree[agree >= least]
-                if best is not None and len(ys) > best:
-                    order = np.lexsort((node[ys], -agree, label[ys]))
-                    of = label[ys][order]
-                    rank = np.arange(len(of)) - np.searchsorted(of, of)
-                    ys = ys[order[rank < best]]
-                elif best is None:
-                    ys = ys[node[ys] > node[x]]
-                out_a.append(np.full(len(ys), node[x])), out_b.append(node[ys])
-        a = np.concatenate(out_a) if out_a else np.zeros(0, np.int64)
-        b = np.concatenate(out_b) if out_b else np.zeros(0, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+                ys = a + np.flatnonzero((before[a:b] != before[x]) & ((i[a] == j[a]) | (mine[a:b] != mine[x])))
+                same = regs[ys] == regs[x]
+                agree = same.sum(axis=1)
+                fits = np.flatnonzero(agree >= least)
+                first = same[fits].reshape(-1, settings.bands, settings.rows).all(axis=2).argmax(axis=1)
+                fits = fits[first == key[a] >> (8 * settings.rows)]
+                ys, agree = ys[fits], agree[fits]
+                order = np.lexsort((node[ys], -agree, before[ys]))
+                of = before[ys][order]
+                rank = np.arange(len(of)) - np.searchsorted(of, of)
+                if left_out:
+                    ys = ys[order[rank >= settings.best]]
+                    ys = ys[label[ys] != label[x]]
+                else:
+                    if (rank >= settings.best).any():
+                        out_cut.add(int(key[a]))
+                    ys = ys[order[rank < settings.best]]
+                listed.append(np.stack([np.minimum(node[ys], node[x]), np.maximum(node[ys], node[x])], axis=1))
+            found.append(np.unique(np.concatenate(listed), axis=0))
+        a, b = np.concatenate(found).T
+        none = [None] * len(out_cut)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([*a.tolist(), *none], pa.int64()), pa.array([*b.tolist(), *none], pa.int64()), pa.array([*[None] * len(a), *out_cut], pa.int64())], ["a", "b", "cut"])
 
     def run(batches):
         held: pa.RecordBatch | None = None
@@ -296,15 +309,23 @@ def _agreeing(keys: DataFrame, settings: Settings, best: int | None) -> DataFram
             yield pairs(held)
 
     order = ("key", "i", "j")
-    return dealt.repartition(*order).sortWithinPartitions(*order, "node").mapInArrow(run, "a long, b long").distinct()
+    return dealt.repartition(*order).sortWithinPartitions(*order, "node").mapInArrow(run, "a long, b long, cut long")
 
 
-def _labelled(members: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Labels of linked nodes, and the members of buckets that hold different labels and more than two nodes."""
-    labels = stage(components(links), "labels")
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of buckets that hold different labels and more than two nodes."""
     known = (members.where("n > 2").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
     open_keys = known.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-    return labels, stage(known.join(open_keys, "key"), "open-buckets")
+    return stage(known.join(open_keys, "key"), "open-buckets")
+
+
+def _more(found: DataFrame, labels: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All links and their labels after more pairs were verified."""
+    more = stage(pairs, "links")
+    if more.isEmpty():
+        return found, labels
+    found = found.unionByName(more)
+    return found, stage(components(found), "labels")
 
 
 def links(docs: DataFrame, settings: Settings = Settings(), doc: str = "doc_id", text: str = "text",
@@ -326,16 +347,17 @@ def links(docs: DataFrame, settings: Settings = Settings(), doc: str = "doc_id",
     stars = (members.join(centre, "key").where("node <> centre")
              .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
     found = stage(verified(stars, texts, settings), "links")
-    labels, rest = _labelled(members, found)
-    for best in (settings.best, None):
-        if rest.isEmpty():
-            break
-        more = stage(verified(_agreeing(rest.join(bytes_of, "node"), settings, best), texts, settings), "links")
-        found = found.unionByName(more)
-        if best is None:
-            labels = stage(components(found), "labels")
-        else:
-            labels, rest = _labelled(members, found)
+    labels = stage(components(found), "labels")
+    rest = _open(members, labels)
+    if not rest.isEmpty():
+        keyed = rest.join(bytes_of, "node").withColumnRenamed("label", "before")
+        listed = stage(_agreeing(keyed.withColumn("label", F.col("before")), settings, False), "candidates")
+        found, labels = _more(found, labels, verified(listed.where("cut IS NULL"), texts, settings))
+        cut = listed.where("cut IS NOT NULL").select(F.col("cut").alias("key")).distinct()
+        if not cut.isEmpty():
+            # Elsewhere every pair was listed.
+            known = keyed.join(cut, "key").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+            found, labels = _more(found, labels, verified(_agreeing(known, settings, True), texts, settings))
     rows = sketches.drop("bands", "registers").join(nodes, "key", "left")
     return rows, labels
 
