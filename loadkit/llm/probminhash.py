@@ -13,9 +13,10 @@ their shingles, in rounds that never list all pairs of a bucket:
 
 1. every node against its bucket's best connected node;
 2. in buckets whose nodes are still in different classes, every node against
-   the few nodes of each other class that agree most with it;
-3. in buckets where that left pairs out, all those pairs that are in different classes still and whose
-   registers do not rule the similarity out.
+   the node of another class that agrees most with it in its tile;
+3. the nodes of which that left pairs out meet again with their texts, bucket by bucket and tile by tile.
+   All those pairs that are in different classes still and whose registers do not rule the similarity
+   out are verified there, and only links that connect what was apart in the tile leave it.
 
 So every candidate pair is verified, ruled out by its registers, or already in one class.
 
@@ -55,8 +56,9 @@ class Settings:
     bands: int = 42
     rows: int = 6  # at most six: a band's key holds a byte of each
     slack: float = 0.1
-    best: int = 4
+    best: int = 1
     tile: int = 512
+    tile_bytes: int = 4 << 20  # of text in half a tile; a longer text fills one alone
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -225,91 +227,133 @@ def verified(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFram
     return both.mapInArrow(run, "a long, b long, similarity double")
 
 
+def _sets(texts: pa.Array, settings: Settings) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Sorted shingle hashes and their counts of each text."""
+    made = Shingles(texts, settings.words)
+    bounds = np.searchsorted(made.text, np.arange(len(texts) + 1))
+    sets = []
+    for a, b in zip(bounds, bounds[1:]):
+        order = np.argsort(made.hash[a:b])
+        sets.append((made.hash[a:b][order], made.count[a:b][order]))
+    return sets
+
+
 def _similar(batch: pa.RecordBatch, settings: Settings) -> pa.RecordBatch:
     a, b = batch.column("a").to_numpy(), batch.column("b").to_numpy()
     nodes, place = np.unique(np.concatenate([a, b]), return_index=True)
     every = pa.concat_arrays([batch.column("text_a"), batch.column("text_b")]).take(pa.array(place))
-    made = Shingles(every, settings.words)
-    bounds = np.searchsorted(made.text, np.arange(len(nodes) + 1))
-    sets = []
-    for k in range(len(nodes)):
-        h, n = made.hash[bounds[k]:bounds[k + 1]], made.count[bounds[k]:bounds[k + 1]]
-        order = np.argsort(h)
-        sets.append((h[order], n[order]))
+    sets = _sets(every, settings)
     value = np.array([probability_jaccard(sets[i], sets[j]) for i, j in zip(np.searchsorted(nodes, a), np.searchsorted(nodes, b))])
     good = value >= settings.limit - 1e-9
     return pa.RecordBatch.from_arrays([pa.array(a[good]), pa.array(b[good]), pa.array(value[good])], ["a", "b", "similarity"])
 
 
-def _agreeing(keys: DataFrame, settings: Settings, left_out: bool) -> DataFrame:
-    """Rows (a, b, cut): pairs of a bucket in different classes whose registers do not rule them out.
+def _tiled(keys: DataFrame, blocks, work, out: str) -> DataFrame:
+    """`work` on each tile (a record batch) of every bucket `key`: a block of its nodes against another or itself.
 
-    `keys` has key, node, before, label, n, registers. A large bucket is cut into tiles of about
-    `tile` nodes against as many, so memory and work of a step are bounded. A pair that shares
-    several buckets is looked at in the one of its first band only. Each node gets its best
-    agreeing nodes of each class of `before`; a row without a pair has in `cut` the key of a
-    bucket where that left pairs out. With `left_out` just these pairs come, if `label` still differs.
+    `blocks` is the number of blocks of a row's bucket, which the caller chooses so that a
+    block is small. `mine` is a node's own block, `i` and `j` are the tile's.
     """
-    blocks = F.ceil(F.col("n") / settings.tile).cast("int")
-    dealt = keys.withColumn("mine", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "before", "label", "registers")
-    many = settings.bands * settings.rows
-    least = (settings.limit - settings.slack) * many
-
-    def pairs(rows: pa.RecordBatch) -> pa.RecordBatch:
-        key, i, j = (rows.column(c).to_numpy() for c in ("key", "i", "j"))
-        node, before, label, mine = (rows.column(c).to_numpy() for c in ("node", "before", "label", "mine"))
-        regs = np.frombuffer(b"".join(rows.column("registers").to_pylist()), np.uint8).reshape(-1, many)
-        cut = np.flatnonzero((np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
-        found, out_cut = [np.zeros((0, 2), np.int64)], set()
-        for a, b in zip(np.concatenate([[0], cut]), np.concatenate([cut, [len(key)]])):
-            if (label[a:b] == label[a]).all():
-                continue
-            listed = []
-            for x in range(a, b):
-                # Within a diagonal tile all pairs, else only between its two blocks; each pair is seen from both sides.
-                ys = a + np.flatnonzero((before[a:b] != before[x]) & ((i[a] == j[a]) | (mine[a:b] != mine[x])))
-                same = regs[ys] == regs[x]
-                agree = same.sum(axis=1)
-                fits = np.flatnonzero(agree >= least)
-                first = same[fits].reshape(-1, settings.bands, settings.rows).all(axis=2).argmax(axis=1)
-                fits = fits[first == key[a] >> (8 * settings.rows)]
-                ys, agree = ys[fits], agree[fits]
-                order = np.lexsort((node[ys], -agree, before[ys]))
-                of = before[ys][order]
-                rank = np.arange(len(of)) - np.searchsorted(of, of)
-                if left_out:
-                    ys = ys[order[rank >= settings.best]]
-                    ys = ys[label[ys] != label[x]]
-                else:
-                    if (rank >= settings.best).any():
-                        out_cut.add(int(key[a]))
-                    ys = ys[order[rank < settings.best]]
-                listed.append(np.stack([np.minimum(node[ys], node[x]), np.maximum(node[ys], node[x])], axis=1))
-            found.append(np.unique(np.concatenate(listed), axis=0))
-        a, b = np.concatenate(found).T
-        none = [None] * len(out_cut)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([*a.tolist(), *none], pa.int64()), pa.array([*b.tolist(), *none], pa.int64()), pa.array([*[None] * len(a), *out_cut], pa.int64())], ["a", "b", "cut"])
+    names = keys.columns
+    dealt = keys.withColumn("blocks", blocks.cast("int")).withColumn("mine", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select(*names, F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine")
 
     def run(batches):
-        held: pa.RecordBatch | None = None
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            if held is not None:
-                batch = pa.concat_batches([held, batch])
             # The last tile may go on in the next batch.
-            key, i, j = (batch.column(c).to_numpy() for c in ("key", "i", "j"))
-            edges = np.flatnonzero((np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0))
-            last = int(edges[-1]) + 1 if len(edges) else 0
-            if last:
-                yield pairs(batch.slice(0, last))
-            held = batch.slice(last)
-        if held is not None and held.num_rows:
-            yield pairs(held)
+            at = [batch.column(c).to_numpy() for c in ("key", "i", "j")]
+            edges = np.flatnonzero(np.any([np.diff(x) != 0 for x in at], axis=0)) + 1
+            if held and any(held[-1].column(c)[-1] != batch.column(c)[0] for c in ("key", "i", "j")):
+                yield work(pa.concat_batches(held))
+                held = []
+            bounds = [0, *edges.tolist(), batch.num_rows]
+            for a, b in zip(bounds, bounds[1:]):
+                held.append(batch.slice(a, b - a))
+                if b < batch.num_rows:
+                    yield work(pa.concat_batches(held))
+                    held = []
+        if held:
+            yield work(pa.concat_batches(held))
 
     order = ("key", "i", "j")
-    return dealt.repartition(*order).sortWithinPartitions(*order, "node").mapInArrow(run, "a long, b long, cut long")
+    return dealt.repartition(*order).sortWithinPartitions(*order, "node").mapInArrow(run, out)
+
+
+class Tile:
+    """Nodes of a tile with their registers, and which pairs their registers allow."""
+
+    def __init__(self, rows: pa.RecordBatch, settings: Settings):
+        self.settings, many = settings, settings.bands * settings.rows
+        self.key, self.same_block = rows.column("key")[0].as_py(), rows.column("i")[0] == rows.column("j")[0]
+        self.node, self.before, self.mine = (rows.column(c).to_numpy() for c in ("node", "before", "mine"))
+        self.regs = np.frombuffer(b"".join(rows.column("registers").to_pylist()), np.uint8).reshape(-1, many)
+        self.least = (settings.limit - settings.slack) * many
+
+    def ranked(self, x: int) -> np.ndarray:
+        """The nodes of other classes of `before` that x can be linked to, the best agreeing first.
+
+        A pair that shares several buckets counts in the one of its first band only. Within
+        a diagonal tile every pair is looked at, else only those between its two blocks.
+        """
+        ys = np.flatnonzero((self.before != self.before[x]) & (self.same_block | (self.mine != self.mine[x])))
+        same = self.regs[ys] == self.regs[x]
+        agree = same.sum(axis=1)
+        fits = np.flatnonzero(agree >= self.least)
+        first = same[fits].reshape(-1, self.settings.bands, self.settings.rows).all(axis=2).argmax(axis=1)
+        fits = fits[first == self.key >> (8 * self.settings.rows)]
+        return ys[fits][np.lexsort((self.node[ys[fits]], -agree[fits]))]
+
+
+def _best(keys: DataFrame, settings: Settings) -> DataFrame:
+    """Rows (a, b, key): each node's best agreeing nodes of other classes in its tile.
+
+    A row with the node as `a` and its bucket's `key` instead of `b` tells that pairs of it were left out.
+    `keys` has key, node, before, n, registers.
+    """
+    def work(rows: pa.RecordBatch) -> pa.RecordBatch:
+        tile, a, b, more = Tile(rows, settings), [], [], set()
+        if (tile.before != tile.before[0]).any():
+            for x in range(len(tile.node)):
+                ys = tile.ranked(x)
+                a += [int(tile.node[x])] * len(ys[:settings.best])
+                b += tile.node[ys[:settings.best]].tolist()
+                if len(ys) > settings.best:
+                    more.update(tile.node[ys[settings.best:]].tolist(), [int(tile.node[x])])
+        pairs = sorted({(min(p), max(p)) for p in zip(a, b)})
+        return pa.RecordBatch.from_arrays(
+            [pa.array([p[0] for p in pairs] + sorted(more), pa.int64()), pa.array([p[1] for p in pairs] + [None] * len(more), pa.int64()),
+             pa.array([None] * len(pairs) + [tile.key] * len(more), pa.int64())], ["a", "b", "key"])
+
+    return _tiled(keys, F.ceil(F.col("n") / settings.tile), work, "a long, b long, key long")
+
+
+def _rest(keys: DataFrame, settings: Settings) -> DataFrame:
+    """Links (a, b, similarity) among all pairs of a bucket that are in different classes.
+
+    `keys` has key, node, before, registers, text. Of the links in a tile
+    those are given that connect classes not yet connected in it, one less than its nodes at most.
+    """
+    sizes = keys.groupBy("key").agg(F.greatest(F.ceil(F.count("*") / settings.tile),
+                                               F.ceil(F.sum(F.octet_length("text")) / settings.tile_bytes)).alias("many"))
+
+    def work(rows: pa.RecordBatch) -> pa.RecordBatch:
+        tile, out = Tile(rows, settings), []
+        if (tile.before != tile.before[0]).any():
+            sets, now = _sets(rows.column("text"), settings), tile.before.copy()
+            for x in range(len(tile.node)):
+                for y in tile.ranked(x).tolist():
+                    if now[x] == now[y] or tile.node[y] < tile.node[x]:
+                        continue
+                    value = probability_jaccard(sets[x], sets[y])
+                    if value >= settings.limit - 1e-9:
+                        now[now == now[y]] = now[x]
+                        out.append((int(tile.node[x]), int(tile.node[y]), value))
+        a, b, value = zip(*out) if out else ((), (), ())
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(value, pa.float64())], ["a", "b", "similarity"])
+
+    return _tiled(keys.join(sizes, "key"), F.col("many"), work, "a long, b long, similarity double")
 
 
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -350,14 +394,13 @@ def links(docs: DataFrame, settings: Settings = Settings(), doc: str = "doc_id",
     labels = stage(components(found), "labels")
     rest = _open(members, labels)
     if not rest.isEmpty():
-        keyed = rest.join(bytes_of, "node").withColumnRenamed("label", "before")
-        listed = stage(_agreeing(keyed.withColumn("label", F.col("before")), settings, False), "candidates")
-        found, labels = _more(found, labels, verified(listed.where("cut IS NULL"), texts, settings))
-        cut = listed.where("cut IS NOT NULL").select(F.col("cut").alias("key")).distinct()
-        if not cut.isEmpty():
-            # Elsewhere every pair was listed.
-            known = keyed.join(cut, "key").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-            found, labels = _more(found, labels, verified(_agreeing(known, settings, True), texts, settings))
+        listed = stage(_best(rest.join(bytes_of, "node").withColumnRenamed("label", "before"), settings), "candidates")
+        found, labels = _more(found, labels, verified(listed.where("b IS NOT NULL"), texts, settings))
+        left = listed.where("b IS NULL").select(F.col("a").alias("node"), "key").distinct()
+        if not left.isEmpty():
+            known = (left.join(labels, "node", "left").withColumn("before", F.coalesce("label", "node")).drop("label")
+                     .join(bytes_of, "node").join(texts, "node"))
+            found, labels = _more(found, labels, _rest(known, settings))
     rows = sketches.drop("bands", "registers").join(nodes, "key", "left")
     return rows, labels
 
