@@ -20,6 +20,10 @@ same anchor are a run, some 140 windows; what a run spans is its context.
 
 Every byte of a repeated window is removed from all texts that hold it.
 
+With `Settings.words` a window is `words` + 1 whole words instead, and only those that occur again, byte for byte, are
+removed. Such a window has 2 * words + 1 bytes at least, so it lies in runs of that length whose grams
+occur more than once. Only where these runs join to spans of over `words` words, word windows are counted by a 128-bit hash.
+
 Defined results. A missing text is empty; texts below `length` bytes lose nothing. Copies of a text lose
 the same. Rows that repeat a doc_id are texts of their own; an empty table gives no rows.
 """
@@ -50,11 +54,21 @@ PART = 1 << 20
 @dataclass(frozen=True)
 class Settings:
     """`length` bytes make a repeated window, `gram` bytes an anchor. A gram with more than
-    `many` distinct contexts is counted by window hashes."""
+    `many` distinct contexts is counted by window hashes. With `words`, passages of over so many
+    words are looked for, and `length` only finds where they can be."""
 
     length: int = 400
     gram: int = 128
     many: int = 4000
+    words: int = 0
+
+    def __post_init__(self):
+        if self.words and self.length > 2 * self.words + 1:
+            raise ValueError("a passage of over `words` words can be shorter than `length`")
+
+
+#: Every passage of over 50 words, even of words of one letter.
+PASSAGES = Settings(length=101, gram=48, words=50)
 
 
 class _Powers:
@@ -349,6 +363,34 @@ def repeated_spans(docs: DataFrame, settings: Settings = Settings(), text: str =
     return spans.distinct().groupBy("key").agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("spans"))
 
 
+def repeated_passages(docs: DataFrame, settings: Settings = PASSAGES, text: str = "text") -> DataFrame:
+    """(key, spans) as from `repeated_spans`, for the passages of over `settings.words` words that occur more than once."""
+    every, many = _runs_of(docs, text, settings), settings.words + 1
+    grams = stage(every.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "grams")
+    near = every.join(grams, "gram").select("key", F.col("first").alias("begin"), (F.col("last") + settings.length).alias("end")).distinct()
+    near = stage(near.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("spans")), "near-spans")
+
+    def windows(batch):
+        data, offsets = X.flat(batch.column("text"))
+        raw, words = data.tobytes(), X.Words(data, offsets)
+        which, begins, ends, hashes = [], [], [], []
+        for k, spans in enumerate(batch.column("spans").to_pylist()):
+            at, own = int(offsets[k]), slice(int(words.first[k]), int(words.first[k + 1]))
+            start, end = words.start[own], words.end[own]
+            for a, b in merged_spans(spans):
+                i, j = int(np.searchsorted(start, at + a)), int(np.searchsorted(end, at + b, side="right"))
+                for x, y in zip(start[i:j - many + 1].tolist(), end[i + many - 1:j].tolist()) if j - i >= many else ():
+                    which.append(k), begins.append(x - at), ends.append(y - at), hashes.append(xxhash.xxh3_128_digest(raw[x:y]))
+        return pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(which, pa.int64())), pa.array(begins, pa.int32()),
+                                           pa.array(ends, pa.int32()), pa.array(hashes, pa.binary())], ["key", "begin", "end", "hash"])
+
+    held = _keyed_texts(docs, text, once=False).join(near, "key").select("key", "text", "spans")
+    each = stage(map_batches(held, windows, "key binary, begin int, end int, hash binary"), "word-windows")
+    twice = stage(each.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "twice")
+    spans = each.join(twice, "hash").select("key", "begin", "end").distinct()
+    return spans.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("spans"))
+
+
 def merged_spans(spans: list[dict] | None) -> list[tuple[int, int]]:
     """Sorted ranges joined to maximal ones."""
     out: list[tuple[int, int]] = []
@@ -367,7 +409,8 @@ def deduplicated(docs: DataFrame, settings: Settings = Settings(), text: str = "
     characters, one of which only some bytes are repeated is kept.
     """
     given = docs.select(F.col(f"`{text}`").alias("text"), F.struct(*[F.col(f"`{c}`") for c in carry]).alias("_row"))
-    rows = _keyed_texts(docs, text, once=False, carry=given).join(repeated_spans(docs, settings, text), "key", "left")
+    spans = repeated_passages(docs, settings, text) if settings.words else repeated_spans(docs, settings, text)
+    rows = _keyed_texts(docs, text, once=False, carry=given).join(spans, "key", "left")
 
     def work(batch):
         kept, whole, size, gone, listed = [], [], [], [], []
