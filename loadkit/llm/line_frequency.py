@@ -4,7 +4,8 @@ Lines are normalised (ASCII white space collapsed, lower case) and hashed. For
 each host the operator counts the distinct documents that hold a line; lines
 above the host's limit are removed, and a document that keeps too little of its
 words is rejected. Exact copies of a text count as one document, so a group of
-copies does not turn its own lines into boilerplate.
+copies does not turn its own lines into boilerplate. With `Rules.near` a whole class of
+near duplicates, as `probminhash` finds them, counts as one document, in a line's holders and in the host's total.
 
 Defined results. A missing text has no words and is rejected by the base rule,
 as is an empty one. A missing host is a host of its own. Rows that repeat a
@@ -22,8 +23,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loadkit.llm import probminhash
 from loadkit.llm import textarrays as X
-from loadkit.llm.shared import map_batches, schema, stage
+from loadkit.llm.shared import columns, map_batches, schema, stage
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -33,12 +35,13 @@ SYMBOLS[list(b"#*$%&|<>")] = True
 class Rules:
     """Limits. A line is removed when more than `share` of the host's distinct texts, and
     more than `least` of them, hold it; a document needs `words_left` words and
-    `share_left` of its words after that."""
+    `share_left` of its words after that. With `near`, near duplicates are one text."""
 
     least: int = 25
     share: float = 0.05
     words_left: int = 10
     share_left: float = 0.3
+    near: bool = False
 
 
 FIGURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, digest binary, lines array<struct<h:binary,w:int>>"
@@ -121,28 +124,45 @@ def _measured(docs: DataFrame, text: str, host: str, carried: list[str]) -> Data
     return stage(out.withColumn("_id", F.monotonically_increasing_id()), "line-figures")
 
 
-def frequent_lines(measured: DataFrame, rules: Rules) -> DataFrame:
-    """(host, line hash) of the lines above the host's limit."""
+def near_classes(docs: DataFrame, text: str) -> DataFrame:
+    """Staged (digest, class): texts of one class are near duplicates; texts without words are one class."""
+    def work(batch):
+        data, offsets = X.flat(batch.column("text"))
+        raw = data.tobytes()
+        digest = [xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
+        return pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), batch.column("text")], ["digest", "text"])
+
+    keyed = map_batches(columns(docs, text=text), work, "digest binary, text string")
+    rows, labels = probminhash.links(keyed, doc="digest")
+    known = rows.select(F.col("_doc").alias("digest"), "node").distinct().join(labels, "node", "left")
+    return stage(known.select("digest", F.coalesce("label", "node", F.lit(-1)).alias("class")), "near-classes")
+
+
+def frequent_lines(measured: DataFrame, rules: Rules, classes: DataFrame | None = None) -> DataFrame:
+    """(host, line hash) of the lines above the host's limit; texts count by their class if `classes` are given."""
     texts = (measured.select("_host", "digest", "lines").groupBy("_host", "digest")
              .agg(F.any_value("lines").alias("lines")))
-    hosts = texts.groupBy("_host").agg(F.count("*").alias("texts"))
-    held = (texts.select("_host", F.explode(F.array_distinct(F.col("lines.h"))).alias("h"))
+    if classes is not None:
+        texts = stage(texts, "distinct-texts").join(classes, "digest")
+    hosts = texts.groupBy("_host").agg((F.count("*") if classes is None else F.count_distinct("class")).alias("texts"))
+    held = texts.select("_host", *["class"] * (classes is not None), F.explode(F.array_distinct(F.col("lines.h"))).alias("h"))
+    held = ((held if classes is None else held.distinct())
             .groupBy("_host", "h").agg(F.count("*").alias("holders")).where(F.col("holders") > rules.least))
     return (held.alias("a").join(hosts.alias("b"), F.col("a._host").eqNullSafe(F.col("b._host")))
             .where(F.col("holders") > F.lit(rules.share) * F.col("texts")).select("a._host", "h", "holders"))
 
 
-def _verdicts(measured: DataFrame, rules: Rules) -> DataFrame:
+def _verdicts(measured: DataFrame, rules: Rules, classes: DataFrame | None) -> DataFrame:
     """Removed lines of every row that has any; one row per row number."""
     lines = measured.select("_id", "_host", F.explode("lines").alias("line")).select("_id", "_host", "line.h", "line.w")
-    hit = lines.alias("l").join(frequent_lines(measured, rules).alias("f"),
+    hit = lines.alias("l").join(frequent_lines(measured, rules, classes).alias("f"),
                                 F.col("l._host").eqNullSafe(F.col("f._host")) & (F.col("l.h") == F.col("f.h")))
     return hit.groupBy("l._id").agg(F.count("*").alias("n_removed_lines"), F.sum(F.col("w").cast("long")).alias("n_removed_words"),
                                     F.collect_set("l.h").alias("removed"))
 
 
-def _judged(measured: DataFrame, rules: Rules) -> DataFrame:
-    hit = _verdicts(measured, rules).withColumnRenamed("_id", "_hit")
+def _judged(measured: DataFrame, rules: Rules, classes: DataFrame | None) -> DataFrame:
+    hit = _verdicts(measured, rules, classes).withColumnRenamed("_id", "_hit")
     zero = F.lit(0).cast("long")
     out = measured.drop("digest", "lines").join(hit, F.col("_id") == F.col("_hit"), "left").withColumns({
         "n_removed_lines": F.coalesce("n_removed_lines", zero), "n_removed_words": F.coalesce("n_removed_words", zero)})
@@ -155,7 +175,7 @@ def _judged(measured: DataFrame, rules: Rules) -> DataFrame:
 def judge(docs: DataFrame, rules: Rules = Rules(), text: str = "text", host: str = "source",
           carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The carried columns of every row, its figures and whether it is kept."""
-    judged = _judged(_measured(docs, text, host, list(carry)), rules)
+    judged = _judged(_measured(docs, text, host, list(carry)), rules, near_classes(docs, text) if rules.near else None)
     return judged.select(*[F.col("_row").getField(c).alias(c) for c in carry], *RESULT)
 
 
@@ -173,7 +193,7 @@ def without_lines(column: pa.Array, removed: pa.Array) -> list:
 def clean(docs: DataFrame, rules: Rules = Rules(), text: str = "text", host: str = "source") -> DataFrame:
     """The kept rows with all their columns, their text without the removed lines."""
     names = docs.columns
-    judged = _judged(_measured(docs, text, host, names), rules).where("kept").select("_row", "removed")
+    judged = _judged(_measured(docs, text, host, names), rules, near_classes(docs, text) if rules.near else None).where("kept").select("_row", "removed")
     place = names.index(text)
 
     def work(batch):

@@ -5,6 +5,7 @@ import random
 import re
 
 import corpus_pipeline
+from loadkit.llm import line_frequency
 
 
 def words(seed, n, short=False):
@@ -38,3 +39,28 @@ def test_passages_of_over_50_words_are_cut(spark):
     got = {r.doc_id: r.text for r in corpus_pipeline.repeated_passages(spark, df, "").collect()}
     assert [got[k] for k in range(len(texts))] == without_passages(texts)
     assert [len(got[k].split()) for k in (0, 2, 4, 6)] == [70, 120, 70, 70] and len(" ".join(words(1, 51))) < 400
+
+
+def test_a_group_of_near_copies_leaves_one_document(spark, tmp_path):
+    def lines(seed):
+        made = words(seed, 120)
+        return [" ".join(made[k:k + 12]) for k in range(0, 120, 12)]
+
+    footer, group = "the footer of this host", lines("group")
+    near = []
+    for k in range(60):
+        changed = [x.split(" ") for x in group]
+        changed[k % 10][k % 7] = f"changed{k}"
+        near.append("\n".join(" ".join(x) for x in changed))
+    others = ["\n".join([*lines(f"own {k}"), *[footer] * (k < 30)]) for k in range(120)]
+    df = spark.createDataFrame([(k, t, "host") for k, t in enumerate(near + others)], "doc_id long, text string, source string")
+    first = corpus_pipeline.quality(spark, df, "")
+    kept = {r.doc_id: r.text for r in first.collect()}
+    assert [kept.get(k) for k in range(60)] == near
+    assert [kept.get(60 + k) for k in range(120)] == [t.removesuffix("\n" + footer) for t in others]
+    spark.createDataFrame([], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    second = corpus_pipeline.toxicity(spark, first, str(tmp_path))
+    alone = corpus_pipeline.near_duplicates(spark, second, "").collect()
+    assert sorted(r.doc_id for r in alone) == [0, *range(60, 180)]
+    # The query's contract counts exact copies only.
+    assert not any(r.kept for r in line_frequency.judge(df).collect() if r.doc_id < 60)
