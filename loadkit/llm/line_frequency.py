@@ -133,7 +133,7 @@ def near_classes(docs: DataFrame, text: str) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), batch.column("text")], ["digest", "text"])
 
     keyed = map_batches(columns(docs, text=text), work, "digest binary, text string")
-    rows, labels = probminhash.links(keyed, doc="digest")
+    _, rows, labels = probminhash.links(keyed, doc="digest")
     known = rows.select(F.col("_doc").alias("digest"), "node").distinct().join(labels, "node", "left")
     return stage(known.select("digest", F.coalesce("label", "node", F.lit(-1)).alias("class")), "near-classes")
 

@@ -373,10 +373,11 @@ def _more(found: DataFrame, labels: DataFrame, pairs: DataFrame) -> tuple[DataFr
 
 
 def links(docs: DataFrame, settings: Settings = Settings(), doc: str = "doc_id", text: str = "text",
-          carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """(rows, labels): staged rows with _id, doc, node; and (node, label) of all nodes that are linked."""
+          carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(sketches, rows, labels): staged rows with _id and what they carry; their (_id, _doc, node); and (node, label) of all nodes that are linked."""
     sketches = _sketched(docs, doc, text, settings, list(carry))
-    nodes = sketches.where("key IS NOT NULL").groupBy("key").agg(F.min("_id").alias("node"))
+    # Staged, so that what joins it is a plain shuffle on both sides and adaptive execution can split a key that very many copies have.
+    nodes = stage(sketches.where("key IS NOT NULL").groupBy("key").agg(F.min("_id").alias("node")), "nodes")
     first = sketches.join(nodes.select(F.col("node").alias("_id")), "_id", "left_semi")
     banded = first.select(F.col("_id").alias("node"), F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
@@ -401,25 +402,28 @@ def links(docs: DataFrame, settings: Settings = Settings(), doc: str = "doc_id",
             known = (left.join(labels, "node", "left").withColumn("before", F.coalesce("label", "node")).drop("label")
                      .join(bytes_of, "node").join(texts, "node"))
             found, labels = _more(found, labels, _rest(known, settings))
-    rows = sketches.drop("bands", "registers").join(nodes, "key", "left")
-    return rows, labels
+    return sketches, sketches.select("_id", "_doc", "key").join(nodes, "key", "left").drop("key"), labels
 
 
-def _classed(docs: DataFrame, settings: Settings, doc: str, text: str, carry: tuple[str, ...]) -> DataFrame:
-    rows, labels = links(docs, settings, doc, text, carry)
-    labelled = rows.join(labels, "node", "left").withColumn("class", F.coalesce("label", "node", -1 - F.col("_id")))
+def _classed(docs: DataFrame, settings: Settings, doc: str, text: str, carry: tuple[str, ...]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Staged rows with what they carry; (_id, _doc, class); staged: best row and size of each class."""
+    sketches, rows, labels = links(docs, settings, doc, text, carry)
+    labelled = (rows.join(labels, "node", "left")
+                .select("_id", "_doc", F.coalesce("label", "node", -1 - F.col("_id")).alias("class")))
     best = F.min(F.struct(F.col("_doc").isNull().alias("none"), "_doc", "_id"))
-    return labelled.join(labelled.groupBy("class").agg(best.alias("best"), F.count("*").alias("class_size")), "class")
+    return sketches, labelled, stage(labelled.groupBy("class").agg(best.alias("best"), F.count("*").alias("class_size")), "classes")
 
 
 def classes(docs: DataFrame, settings: Settings = Settings(), doc: str = "doc_id", text: str = "text") -> DataFrame:
     """Every row's doc_id, class_id (the smallest doc_id of its class), class_size and whether it is the one that is kept."""
-    return _classed(docs, settings, doc, text, ()).select(
+    _, labelled, best = _classed(docs, settings, doc, text, ())
+    return labelled.join(best, "class").select(
         F.col("_doc").alias("doc_id"), F.col("best")["_doc"].alias("class_id"), "class_size", (F.col("_id") == F.col("best")["_id"]).alias("kept"))
 
 
 def one_of_each(docs: DataFrame, settings: Settings = Settings(), doc: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each class with all its columns."""
     names = docs.columns
-    kept = _classed(docs, settings, doc, text, tuple(names)).where(F.col("_id") == F.col("best")["_id"])
+    sketches, _, best = _classed(docs, settings, doc, text, tuple(names))
+    kept = sketches.select("_id", "_row").join(best.select(F.col("best")["_id"].alias("_id")), "_id", "left_semi")
     return kept.select(*[F.col("_row").getField(n).alias(n) for n in names])

@@ -410,7 +410,8 @@ def deduplicated(docs: DataFrame, settings: Settings = Settings(), text: str = "
     """
     given = docs.select(F.col(f"`{text}`").alias("text"), F.struct(*[F.col(f"`{c}`") for c in carry]).alias("_row"))
     spans = repeated_passages(docs, settings, text) if settings.words else repeated_spans(docs, settings, text)
-    rows = _keyed_texts(docs, text, once=False, carry=given).join(spans, "key", "left")
+    # Staged, so that the join can be split where very many rows are copies of a text.
+    rows = _keyed_texts(docs, text, once=False, carry=given).join(stage(spans, "spans"), "key", "left")
 
     def work(batch):
         kept, whole, size, gone, listed = [], [], [], [], []

@@ -5,7 +5,7 @@ import random
 import re
 
 import corpus_pipeline
-from loadkit.llm import line_frequency
+from loadkit.llm import line_frequency, probminhash, suffix_dedup
 
 
 def words(seed, n, short=False):
@@ -64,3 +64,17 @@ def test_a_group_of_near_copies_leaves_one_document(spark, tmp_path):
     assert sorted(r.doc_id for r in alone) == [0, *range(60, 180)]
     # The query's contract counts exact copies only.
     assert not any(r.kept for r in line_frequency.judge(df).collect() if r.doc_id < 60)
+
+
+def test_copies_meet_in_plain_joins(spark):
+    text = " ".join(words("copy", 90))
+    docs = [(k, text, "x" * 50) for k in range(40)] + [(100 + k, " ".join(words(f"own {k}", 90)), "y") for k in range(5)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, other string")
+
+    def aggregates(out):
+        return out._jdf.queryExecution().optimizedPlan().toString().count("Aggregate")
+
+    one = probminhash.one_of_each(df)
+    assert aggregates(one) == aggregates(probminhash.classes(df)) == aggregates(suffix_dedup.deduplicated(df)) == 0
+    assert sorted(map(tuple, one.collect())) == sorted([docs[0], *docs[40:]])
+    assert sorted((r.doc_id, r.class_id, r.class_size, r.kept) for r in probminhash.classes(df).collect())[39:41] == [(39, 0, 40, False), (100, 100, 1, True)]
