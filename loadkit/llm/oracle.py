@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from loadkit.llm.host_reputation import Settings as _Hosts
+
 _WORD = r"'[^\x20\x09-\x0D]+'"
 
 _TOP_K = """
@@ -54,4 +56,56 @@ _LINES = rf"""
            NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR n_words - n_removed_words < 10
                 OR n_words - n_removed_words < 0.3 * n_words) AS kept FROM f"""
 
-SQL: dict[str, str] = {"op1_line_frequency": _LINES, "op2_exact_topk": _TOP_K, "op10_prefix_target": _CHAT}
+_H = _Hosts()
+_SUFFIXES = ", ".join(f"'{s}'" for s in _H.suffixes)
+
+
+def _strength(children: str, parents: str, key: str) -> str:
+    """One row: the strength with which children keep to their parent's share."""
+    return f"""(SELECT CASE WHEN a IS NULL OR a <= b OR c <= b THEN {_H.most!r}
+                 ELSE least(greatest(1.0::DOUBLE / ((a - b)::DOUBLE / (c - b)::DOUBLE) - 1.0, {_H.least!r}), {_H.most!r}) END AS m FROM (
+        SELECT sum((per.xx::DOUBLE - floor(p.x::DOUBLE * p.x::DOUBLE / p.n::DOUBLE * 1000000))::DECIMAL(28,0)) AS a,
+               sum(floor(p.share * (1 - p.share) * (per.k - 1)::DOUBLE * 1000000)::DECIMAL(28,0)) AS b,
+               sum(floor(p.share * (1 - p.share) * (p.n::DOUBLE - per.nn::DOUBLE / 1000000) * 1000000)::DECIMAL(28,0)) AS c
+        FROM (SELECT ch.{key}, count(*) AS k, sum(floor(ch.x::DOUBLE * ch.x::DOUBLE / ch.n::DOUBLE * 1000000)::DECIMAL(28,0)) AS xx,
+                     sum(floor(ch.n::DOUBLE * ch.n::DOUBLE / pa.n::DOUBLE * 1000000)::DECIMAL(28,0)) AS nn
+              FROM {children} ch JOIN {parents} pa ON pa.{key} = ch.{key} GROUP BY 1) per JOIN {parents} p ON p.{key} = per.{key}) z)"""
+
+
+_REPUTATION = rf"""
+    WITH rest AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+    hp AS (SELECT page_id, translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+    named AS (SELECT *, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS name,
+                try_cast(nullif(regexp_extract(path, '^/[a-z]+/([0-9]+)', 1), '') AS BIGINT) AS doc FROM hp),
+    verdicts AS (SELECT doc_id, max(CASE WHEN toxic = 1 OR quality = 0 THEN 1 ELSE 0 END) AS bad FROM labels
+                 WHERE doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL) GROUP BY 1),
+    counts AS (SELECT name, count(*) AS n, sum(bad) AS x FROM named JOIN verdicts ON verdicts.doc_id = named.doc GROUP BY 1),
+    pieces AS (SELECT name, string_split(name, '.') AS l, regexp_full_match(name, '[0-9.]*') AS digits
+               FROM (SELECT name FROM counts UNION SELECT name FROM named) u),
+    lv AS (SELECT name, CASE WHEN digits OR len(l) < 2 THEN name WHEN l[-2] || '.' || l[-1] IN ({_SUFFIXES}) THEN l[-2] || '.' || l[-1] ELSE l[-1] END AS suffix,
+             CASE WHEN digits OR len(l) < 2 THEN name WHEN l[-2] || '.' || l[-1] NOT IN ({_SUFFIXES}) OR len(l) < 3 THEN l[-2] || '.' || l[-1]
+                  ELSE l[-3] || '.' || l[-2] || '.' || l[-1] END AS domain FROM pieces),
+    hosts AS (SELECT 0 AS root, lv.*, n, x FROM counts JOIN lv USING (name)),
+    root AS (SELECT 0 AS root, coalesce(sum(n), 0)::BIGINT AS n, coalesce(sum(x), 0)::BIGINT AS x,
+               CASE WHEN sum(n) > 0 THEN (sum(x)::DOUBLE + 0.5::DOUBLE) / (sum(n)::DOUBLE + 1.0::DOUBLE) ELSE 0.0::DOUBLE END AS share FROM hosts),
+    s0 AS (SELECT 0 AS root, suffix, sum(n)::BIGINT AS n, sum(x)::BIGINT AS x FROM hosts GROUP BY suffix),
+    s1 AS (SELECT s0.suffix, s0.n, s0.x, (s0.x::DOUBLE + root.share * m) / (s0.n::DOUBLE + m) AS share
+           FROM s0 JOIN root USING (root), {_strength("s0", "root", "root")} z),
+    d0 AS (SELECT domain, suffix, sum(n)::BIGINT AS n, sum(x)::BIGINT AS x FROM hosts GROUP BY domain, suffix),
+    d1 AS (SELECT d0.domain, d0.n, d0.x, (d0.x::DOUBLE + s1.share * m) / (d0.n::DOUBLE + m) AS share
+           FROM d0 JOIN s1 USING (suffix), {_strength("d0", "s1", "suffix")} z),
+    b AS (SELECT lv.name, m, coalesce(hosts.n, 0)::DOUBLE AS n, coalesce(hosts.x, 0)::DOUBLE AS x, coalesce(d1.share, s1.share, (SELECT share FROM root)) AS prior
+          FROM lv LEFT JOIN hosts USING (name) LEFT JOIN d1 ON d1.domain = lv.domain LEFT JOIN s1 ON s1.suffix = lv.suffix, {_strength("hosts", "d1", "domain")} z),
+    mean AS (SELECT name, m, n, (x + m * prior) / (n + m) AS mean FROM b),
+    bound AS (SELECT name, mean - {_H.z!r}::DOUBLE * sqrt(mean * (1 - mean) / (n + (m + 1.0::DOUBLE))) AS bound FROM mean),
+    ruled AS (SELECT *, CASE WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND path LIKE '/en/%' THEN 'www.example.com/en/'
+                             WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/en/%' THEN 'example.com/en/'
+                             WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/es/%' THEN 'net/es/'
+                             WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/fr/%' THEN 'net/fr/'
+                             WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/%' THEN 'com/' END AS rule FROM named)
+    SELECT page_id, host, path, rule, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+             WHEN ruled.name <> '' AND bound > {_H.limit!r}::DOUBLE THEN 'block' ELSE 'allow' END AS verdict
+    FROM ruled LEFT JOIN bound ON bound.name = ruled.name"""
+
+SQL: dict[str, str] = {"op11_host_reputation": _REPUTATION, "op1_line_frequency": _LINES, "op2_exact_topk": _TOP_K, "op10_prefix_target": _CHAT}

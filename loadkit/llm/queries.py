@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadkit.llm import (best_fit_packing, exact_topk, line_frequency, ordinal_toxicity, prefix_target, probminhash,
+from loadkit.llm import (best_fit_packing, exact_topk, host_reputation, line_frequency, ordinal_toxicity, prefix_target, probminhash,
                          speculative_bpe, suffix_dedup, token_files, zstd_language)
 from loadkit.llm.oracle import SQL
 from loadkit.llm.shared import shared_dir
@@ -93,6 +93,20 @@ def op10_prefix_target(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(loss, 256).alias("loss_sha256"), "formatted_chars", "n_examples", "example_chars")
 
 
+#: Longest first decides; the path of a rule begins with its slash.
+URL_RULES = (host_reputation.Rule("allow", "com", "/"), host_reputation.Rule("block", "example.com", "/en/"),
+             host_reputation.Rule("allow", "www.example.com", "/en/"), host_reputation.Rule("block", "net", "/es/"),
+             host_reputation.Rule("block", "net", "/fr/"))
+
+
+def op11_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A page shows the document whose number its path holds; the labels of that document are the page's outcome.
+    pages, path = table(spark, sf_dir, "pages"), host_reputation.parts(F.col("url"))["path"]
+    document = F.nullif(F.regexp_extract(path, "^/[a-z]+/([0-9]+)", 1), F.lit("")).try_cast("long")
+    known = host_reputation.fit(host_reputation.outcomes(pages, table(spark, sf_dir, "labels"), document))
+    return host_reputation.judge(pages, known, URL_RULES)
+
+
 _ALL = (op1_line_frequency, op2_exact_topk, op3_context_mixing_coder, op4_best_fit_packing, op5_ordinal_toxicity,
-        op6_probminhash, op7_speculative_bpe, op8_suffix_dedup, op9_zstd_language, op10_prefix_target)
+        op6_probminhash, op7_speculative_bpe, op8_suffix_dedup, op9_zstd_language, op10_prefix_target, op11_host_reputation)
 QUERIES = {f.__name__: (f, SQL.get(f.__name__)) for f in _ALL}
