@@ -108,4 +108,43 @@ _REPUTATION = rf"""
              WHEN ruled.name <> '' AND bound > {_H.limit!r}::DOUBLE THEN 'block' ELSE 'allow' END AS verdict
     FROM ruled LEFT JOIN bound ON bound.name = ruled.name"""
 
-SQL: dict[str, str] = {"op11_host_reputation": _REPUTATION, "op1_line_frequency": _LINES, "op2_exact_topk": _TOP_K, "op10_prefix_target": _CHAT}
+_LOWERED = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_SEARCH = rf"""
+    WITH d AS (SELECT row_number() OVER () AS id, doc_id, regexp_extract_all({_LOWERED.format("text")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+               FROM documents),
+    q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWERED.format("text")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+    c AS (SELECT count(*) AS docs, CAST(coalesce(sum(len(ts)), 0) AS BIGINT) AS terms FROM d WHERE len(ts) > 0),
+    p AS (SELECT id, doc_id, CAST(len(ts) AS BIGINT) AS n, t, count(*) AS tf FROM (SELECT id, doc_id, ts, unnest(ts) AS t FROM d) u
+          WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+    w AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * (SELECT docs FROM c) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM p GROUP BY t),
+    g AS (SELECT id, doc_id, p.t, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))) AS s FROM p JOIN w ON w.t = p.t, c),
+    s AS (SELECT item_id, id, doc_id, CAST(sum(s) AS BIGINT) AS score FROM g JOIN q ON q.t = g.t GROUP BY ALL),
+    r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS INTEGER) AS rank FROM s WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10"""
+
+_DIVERGENCE = rf"""
+    WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                 regexp_extract_all({_LOWERED.format("text")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+    o AS (SELECT id, lang, source, unnest(ts) AS term FROM d),
+    kept AS (SELECT lang, term FROM o GROUP BY ALL HAVING count(DISTINCT id) >= 3),
+    v AS (SELECT g.lang, count(kept.term) AS v FROM (SELECT DISTINCT lang FROM d) g LEFT JOIN kept ON kept.lang = g.lang GROUP BY 1),
+    c AS (SELECT lang, source, term, count(*) AS c FROM o JOIN kept USING (lang, term) GROUP BY ALL),
+    g AS (SELECT lang, source, CAST(coalesce(sum(c.c), 0) AS BIGINT) AS n, max(v.v) AS v FROM (SELECT DISTINCT lang, source FROM d) s
+          JOIN v USING (lang) LEFT JOIN c USING (lang, source) GROUP BY ALL),
+    dense AS (SELECT g.lang, g.source, kept.term, coalesce(c.c, 0) AS c,
+                CAST(1 + (1000000000::HUGEINT * (coalesce(c.c, 0) + 1)) // (n + v) AS BIGINT) AS p
+              FROM g JOIN kept ON kept.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+    t AS (SELECT lang, term, CAST(sum(c) AS BIGINT) AS c FROM c GROUP BY ALL),
+    whole AS (SELECT t.lang, t.term, CAST(1 + (1000000000::HUGEINT * (t.c + 1)) // (s.n + v.v) AS BIGINT) AS q
+              FROM t JOIN (SELECT lang, CAST(sum(c) AS BIGINT) AS n FROM t GROUP BY 1) s USING (lang) JOIN v USING (lang)),
+    f AS (SELECT a.lang, a.source, b.source AS item, CAST(sum((a.p - b.p) * (a.p - b.p) // b.p) AS BIGINT) AS value
+          FROM dense a JOIN dense b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+    rows AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value
+             FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+             LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+             UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM dense JOIN whole USING (lang, term) WHERE c > 0 AND p > q),
+    r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM rows)
+    SELECT * FROM r WHERE part = 'pair' OR rank <= 200"""
+
+SQL: dict[str, str] = {"op12_source_divergence": _DIVERGENCE, "op13_block_max_search": _SEARCH, "op11_host_reputation": _REPUTATION, "op1_line_frequency": _LINES, "op2_exact_topk": _TOP_K, "op10_prefix_target": _CHAT}

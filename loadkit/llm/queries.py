@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadkit.llm import (best_fit_packing, exact_topk, host_reputation, line_frequency, ordinal_toxicity, prefix_target, probminhash,
-                         speculative_bpe, suffix_dedup, token_files, zstd_language)
+from loadkit.llm import (best_fit_packing, block_max_search, exact_topk, host_reputation, line_frequency, ordinal_toxicity, prefix_target, probminhash,
+                         source_divergence, speculative_bpe, suffix_dedup, token_files, zstd_language)
 from loadkit.llm.oracle import SQL
 from loadkit.llm.shared import shared_dir
 
@@ -107,6 +107,15 @@ def op11_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_reputation.judge(pages, known, URL_RULES)
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_max_search.search(block_max_search.build(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
 _ALL = (op1_line_frequency, op2_exact_topk, op3_context_mixing_coder, op4_best_fit_packing, op5_ordinal_toxicity,
-        op6_probminhash, op7_speculative_bpe, op8_suffix_dedup, op9_zstd_language, op10_prefix_target, op11_host_reputation)
+        op6_probminhash, op7_speculative_bpe, op8_suffix_dedup, op9_zstd_language, op10_prefix_target, op11_host_reputation,
+        op12_source_divergence, op13_block_max_search)
 QUERIES = {f.__name__: (f, SQL.get(f.__name__)) for f in _ALL}
