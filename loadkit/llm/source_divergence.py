@@ -1,14 +1,14 @@
 """How far the words of each source lie from those of the other sources and of its language, by chunk factorization.
 
-White-space chunks are counted per document inside a slice of rows and leave it
-summed by (language, source, chunk), with the number of documents and the least
-and the greatest of their row numbers. Each globally distinct chunk is cut into
-terms once; its terms join its counts back and give occurrences by (language,
-source, term). Documents are not summed over chunks, as one may hold a term in
-several of them: the sum over chunks is an upper bound and the largest chunk a
-lower one. Where the bounds lie on both sides of `least_docs`, no chunk is in
-more than two documents, so their row numbers are all known and counted as
-distinct ones.
+White-space chunks are counted per document inside a task and leave it summed
+by (language, source, chunk), with the number of documents and the least and
+the greatest of their row numbers. They are dealt by chunk; there each globally
+distinct chunk is cut into terms once, and its terms join its counts back where
+they are. A second dealing, by language and term, gives the occurrences of a
+term by source. Documents are not summed over chunks, as one may hold a term in
+several of them: of a chunk in one or two documents both row numbers are known,
+so a source holds a term in three documents or more if a chunk is in three, or
+if a row number lies strictly between the least and the greatest of the source.
 
 Shares are whole numbers of a billion, with one added to each count. The pairs
 of sources of a language are computed in tiles: some terms of the language
@@ -25,10 +25,12 @@ Empty tables give no rows. Other columns of the input play no part.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,8 +52,9 @@ class Settings:
     least_docs: int = 3
     #: Ranks of the part `term`.
     ranks: int = 200
-    #: Bytes of text counted at once.
+    #: Bytes of text counted at once, and rows of counts that a task holds before it gives them away.
     slice: int = 8 << 20
+    held: int = 1_500_000
     #: Sources of a block and terms of a tile.
     block: int = 64
     terms: int = 16_384
@@ -59,11 +62,8 @@ class Settings:
     few: int = 100_000
 
 
-def count_slice(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Chunks of a slice of rows (row, lang, source, text), summed by language, source and chunk.
-
-    An empty chunk without occurrences stands for each language and source, so that those without words are known.
-    """
+def count_slice(batch: pa.RecordBatch) -> pa.Table:
+    """Chunks of a slice of rows (row, lang, source, text), summed by language, source and chunk."""
     row = batch["row"].to_numpy(zero_copy_only=False)
     lang, langs = X.codes(batch["lang"])
     source, sources = X.codes(batch["source"])
@@ -81,55 +81,82 @@ def count_slice(batch: pa.RecordBatch) -> pa.RecordBatch:
     cell, times, row_of = cell[order], times[order], row[doc[order]]
     first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, np.int64)
     chunk, of_group = np.divmod(cell[first], max(len(pairs), 1))
+    which = pairs[of_group]
+
+    def summed(part: np.ufunc, values: np.ndarray) -> pa.Array:
+        return pa.array((part.reduceat(values, first) if len(first) else np.zeros(0)).astype(np.int64))
+
+    names = [langs.take(pa.array(which // max(len(sources), 1))), sources.take(pa.array(which % max(len(sources), 1))),
+             distinct.take(pa.array(chunk)).cast(pa.binary())]
+    counts = [summed(np.add, times), summed(np.add, np.ones_like(times)), summed(np.minimum, row_of), summed(np.maximum, row_of)]
+    return pa.table([*[n.cast(pa.string()) for n in names], *counts], names=["lang", "source", "chunk", "n", "df", "low", "high"])
 
-    def summed(part: np.ufunc, values: np.ndarray) -> np.ndarray:
-        return part.reduceat(values, first) if len(first) else np.zeros(0, np.int64)
 
-    none = np.zeros(len(pairs), np.int64)
-    which = np.concatenate([of_group, np.arange(len(pairs))])
-    text = pa.concat_arrays([distinct.take(pa.array(chunk)).cast(pa.binary()).cast(pa.string()), pa.array([""] * len(pairs), pa.string())])
-    counts = [np.concatenate([part, none]) for part in (summed(np.add, times), summed(np.add, np.ones_like(times)),
-                                                        summed(np.minimum, row_of), summed(np.maximum, row_of))]
-    return pa.RecordBatch.from_arrays(
-        [langs.take(pa.array(pairs[which] // max(len(sources), 1))).cast(pa.string()), sources.take(pa.array(pairs[which] % max(len(sources), 1))).cast(pa.string()),
-         text, *[pa.array(c.astype(np.int64)) for c in counts]], names=["lang", "source", "chunk", "n", "df", "low", "high"])
+def merged(tables: list[pa.Table]) -> pa.Table:
+    """Counts of several slices as one."""
+    if len(tables) == 1:
+        return tables[0]
+    out = pa.concat_tables(tables).group_by(["lang", "source", "chunk"], use_threads=False).aggregate([("n", "sum"), ("df", "sum"), ("low", "min"), ("high", "max")])
+    return out.select(["lang", "source", "chunk", "n_sum", "df_sum", "low_min", "high_max"]).rename_columns(["lang", "source", "chunk", "n", "df", "low", "high"])
 
 
 def chunk_counts(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Occurrences and documents of each chunk by language and source, staged."""
-    size = settings.slice
+    """Occurrences and documents of each chunk by language and source, dealt by chunk.
+
+    A row number that `low` and `high` share is given once, in `low`.
+    """
+    size, most = settings.slice, settings.held
+
+    def ready(held: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+        out = merged(held)
+        order = pc.sort_indices(out, [("chunk", "ascending"), ("source", "ascending")])
+        same = pc.equal(out["low"], out["high"])
+        out = out.set_column(6, "high", pc.if_else(same, pa.scalar(None, pa.int64()), out["high"]))
+        yield from out.take(order).to_batches(max_chunksize=50_000)
 
-    def count(batches):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
         for batch in batches:
             for part in slices(batch, size):
-                yield count_slice(part)
+                held.append(count_slice(part))
+                if sum(t.num_rows for t in held) > most:
+                    held = [merged(held)]
+                    if held[0].num_rows > most // 2:
+                        yield from ready(held)
+                        held = []
+        if held:
+            yield from ready(held)
 
     given = columns(docs, lang="lang", source="source", text="text").select(
         F.monotonically_increasing_id().alias("row"), *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    held = F.col("df") > 0
-    summed = given.mapInArrow(count, COUNTS).groupBy("lang", "source", "chunk").agg(
-        F.sum("n").alias("n"), F.sum("df").alias("df"), F.min(F.when(held, F.col("low"))).alias("low"), F.max(F.when(held, F.col("high"))).alias("high"))
-    return stage(summed, "chunk-counts")
+    return given.mapInArrow(count, COUNTS).repartition("chunk")
 
 
-def chunk_terms(chunks: DataFrame) -> DataFrame:
-    """Terms of each distinct chunk and how often it holds them."""
+def chunk_terms(counts: DataFrame) -> DataFrame:
+    """Each distinct chunk, cut into its terms once."""
     found = F.regexp_extract_all(F.translate("chunk", UPPER, LOWER), F.lit(TERM), 0)
-    return chunks.select("chunk").distinct().select("chunk", F.explode(found).alias("term")).groupBy("chunk", "term").agg(F.count("*").alias("k"))
+    return counts.select("chunk").distinct().select("chunk", found.alias("terms")).where(F.size("terms") > 0)
 
 
-def kept_terms(joined: DataFrame, cells: DataFrame, least: int) -> DataFrame:
-    """Terms that enough documents of a language hold, with their occurrences there.
+def kept_cells(counts: DataFrame, least: int) -> DataFrame:
+    """Occurrences by language, source and term, for terms that enough documents of the language hold; `total` is the language's.
 
-    `joined` has a row per language, source, chunk and term, `cells` its sums by language, source and term.
+    `counts` is dealt by chunk, so neither the sums by chunk nor the join shuffles.
     """
-    total = cells.groupBy("lang", "term").agg(F.sum("count").alias("total"), F.sum("lower").alias("lower"), F.sum("upper").alias("upper"))
-    total = stage(total.where(F.col("upper") >= least), "terms")
-    open_ = total.where(F.col("lower") < least).select("lang", "term")
-    rows = joined.join(open_, ["lang", "term"], "left_semi").select("lang", "term", F.explode(F.array("low", "high")).alias("row"))
-    sure = rows.distinct().groupBy("lang", "term").agg(F.count("*").alias("docs")).where(F.col("docs") >= least)
-    return stage(total.join(sure, ["lang", "term"], "left").where((F.col("lower") >= least) | F.col("docs").isNotNull())
-                 .select("lang", "term", "total"), "kept-terms")
+    whole = counts.groupBy("chunk", "lang", "source").agg(
+        F.sum("n").alias("n"), F.sum("df").alias("df"), F.min("low").alias("low"), F.max(F.coalesce("high", "low")).alias("high"))
+    rows = whole.join(chunk_terms(counts), "chunk").select("lang", "source", F.explode("terms").alias("term"), "n", F.least("df", F.lit(3)).alias("df"),
+                                                           "low", F.nullif("high", "low").alias("high"))
+    # From here on everything is dealt by language and term.
+    rows = rows.repartition("lang", "term").withColumn("high", F.coalesce("high", "low"))
+    of_source = Window.partitionBy("lang", "term", "source")
+    rows = rows.withColumns({"first": F.min("low").over(of_source), "last": F.max("high").over(of_source)})
+    between = (F.col("low") > F.col("first")) & (F.col("low") < F.col("last")) | (F.col("high") > F.col("first")) & (F.col("high") < F.col("last"))
+    spread = F.when(between, 3).when(F.col("first") < F.col("last"), 2).otherwise(1)
+    cells = rows.groupBy("lang", "term", "source").agg(F.sum("n").alias("count"), F.max(F.greatest("df", spread)).alias("docs"))
+    of_term = Window.partitionBy("lang", "term")
+    cells = cells.withColumns({"total": F.sum("count").over(of_term), "docs": F.sum("docs").over(of_term)})
+    return stage(cells.where(F.col("docs") >= least).select("lang", "source", "term", "count", "total"), "kept-cells")
 
 
 def share(count: Column, n: Column, v: Column) -> Column:
@@ -221,18 +248,13 @@ def audit(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Parts `pair` and `term` of every source: lang, source, part, item, value, rank."""
     if not 1 <= settings.least_docs <= 3:
         raise ValueError("least_docs must be from 1 to 3")
-    chunks = chunk_counts(docs, settings)
-    joined = stage(chunks.join(chunk_terms(chunks), "chunk").select(
-        "lang", "source", "term", (F.col("n") * F.col("k")).alias("n"), "df", "low", "high"), "chunk-terms")
-    cells = stage(joined.groupBy("lang", "source", "term").agg(
-        F.sum("n").alias("count"), F.greatest(F.max("df"), F.when(F.min("low") < F.max("high"), 2).otherwise(1)).alias("lower"),
-        F.sum("df").alias("upper")), "cells")
-    kept = kept_terms(joined, cells, settings.least_docs)
-    langs = stage(kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("total").alias("n_lang")), "langs")
-    held = stage(cells.join(kept, ["lang", "term"]).select("lang", "source", "term", "count", "total"), "kept-cells")
+    held = kept_cells(chunk_counts(docs, settings), settings.least_docs)
+    by_lang = held.groupBy("lang", "term").agg(F.max("total").alias("total")).groupBy("lang").agg(F.count("*").alias("v"), F.sum("total").alias("n_lang"))
+    langs = stage(by_lang, "langs")
     none = F.lit(0).cast("long")
     sums = held.groupBy("lang", "source").agg(F.sum("count").alias("n"))
-    groups = chunks.select("lang", "source").distinct().join(sums, ["lang", "source"], "left").join(small(langs, settings.few), "lang", "left")
+    named = columns(docs, lang="lang", source="source").select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")])
+    groups = named.distinct().join(sums, ["lang", "source"], "left").join(small(langs, settings.few), "lang", "left")
     groups = groups.select("lang", "source", F.coalesce("n", none).alias("n"), F.coalesce("v", none).alias("v"), F.coalesce("n_lang", none).alias("n_lang"))
     groups = stage(groups.withColumn("zero", share(none, F.col("n"), F.col("v"))), "groups")
     shared = held.join(small(groups, settings.few), ["lang", "source"]).withColumns({

@@ -53,7 +53,7 @@ def corpus(seed, size, sources=7):
                    ("en", "long", "lungo" * 30000), ("en", "s2", "wax " * 30000)]
 
 
-@pytest.mark.parametrize("settings, sources", [(D.Settings(), 7), (D.Settings(block=2, terms=16, slice=3000, few=0, ranks=5), 9), (D.Settings(least_docs=1), 3)])
+@pytest.mark.parametrize("settings, sources", [(D.Settings(), 7), (D.Settings(block=2, terms=16, slice=3000, held=100, few=0, ranks=5), 9), (D.Settings(least_docs=1), 3)])
 def test_audit_equals_brute_force(spark, settings, sources):
     docs = corpus(sources, 250, sources)
     df = spark.createDataFrame([(*d, 1, "x", 2) for d in docs], "lang string, source string, text string, n int, term string, value int").repartition(4)
@@ -62,10 +62,19 @@ def test_audit_equals_brute_force(spark, settings, sources):
 
 
 def test_each_distinct_chunk_is_cut_once(spark):
-    df = spark.createDataFrame([("en", f"s{i % 3}", "one, two one, two.") for i in range(30)], "lang string, source string, text string")
-    chunks = D.chunk_counts(df)
-    assert sorted(map(tuple, D.chunk_terms(chunks).collect())) == [("one,", "one", 1), ("two", "two", 1), ("two.", "two", 1)]
-    assert {(r.chunk, r.n, r.df) for r in chunks.where("chunk <> ''").collect()} == {("one,", 20, 10), ("two", 10, 10), ("two.", 10, 10)}
+    df = spark.createDataFrame([("en", f"s{i % 3}", "one, two one, two. -- a-b") for i in range(30)], "lang string, source string, text string")
+    counts = D.chunk_counts(df)
+    assert sorted((r.chunk, r.terms) for r in D.chunk_terms(counts).collect()) == [("a-b", ["a", "b"]), ("one,", ["one"]), ("two", ["two"]), ("two.", ["two"])]
+    whole = counts.groupBy("chunk").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
+    assert {tuple(r) for r in whole.where("chunk <> '--'").collect()} == {("one,", 60, 30), ("two", 30, 30), ("two.", 30, 30), ("a-b", 30, 30)}
+
+
+def test_counts_of_a_task_are_the_same_however_often_it_gives_them_away(spark):
+    docs = corpus(5, 120)
+    df = spark.createDataFrame(docs, "lang string, source string, text string").coalesce(2)
+    one, two = (sorted(map(tuple, D.chunk_counts(df, D.Settings(slice=size, held=held)).groupBy("lang", "source", "chunk").agg(
+        F.sum("n"), F.sum("df"), F.min("low"), F.max(F.coalesce("high", "low"))).collect())) for size, held in ((8 << 20, 10 ** 6), (500, 40)))
+    assert one == two
 
 
 def test_empty_table_and_settings(spark):
