@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadkit import config as C
 from loadkit.functions import cap, if_else3, remainder
-from loadkit.operators.checks import conservation_check, group_checks, reconcile, row_checks
+from loadkit.operators.checks import Check, Side, conserved, report
 from loadkit.operators.joins import left_lookup, natural_join, null_safe_join
 from loadkit.operators.reshape import unpivot_drop_null
 from loadkit.operators.snapshots import latest_by_id
@@ -20,6 +20,7 @@ FORECAST = "REPORTED_FORECAST_TAUGHT_LOAD"
 MEDICAL_LOAD, SUB_BACHELOR_LOAD = "MEDICAL_TAUGHT_LOAD", "SUBBACH_TAUGHT_LOAD"
 PARTS = ("DESIG_MED_UG", "SUBBACH", "NON_DESIGNATED")
 GROUPING = "Desig_Grouping"
+SET, LOADS, REPORT_DATE = "LOAD_SET", "LOADS", "REPDATE"
 
 
 def split_keys(institution: C.Institution) -> list[str]:
@@ -29,23 +30,29 @@ def split_keys(institution: C.Institution) -> list[str]:
             "COMMENCING_STUDENT_IND", institution.cluster_column]
 
 
-def designated_actuals(unit_load: DataFrame, aggregation_control: DataFrame,
-                       cluster_translation: DataFrame, degree_faculty: DataFrame,
-                       funding_source: DataFrame, courses: Sequence[str], load_name: str,
-                       as_of: date, fund_code: str = C.DESIGNATED_FUND_CODE,
-                       institution: C.Institution | None = None) -> DataFrame:
-    """Actual load of some courses in the newest snapshot of the year of `as_of`.
+def designated_loads(unit_load: DataFrame, aggregation_control: DataFrame,
+                     cluster_translation: DataFrame, degree_faculty: DataFrame,
+                     funding_source: DataFrame, sets: Mapping[str, Sequence[str]],
+                     as_of: date, fund_code: str = C.DESIGNATED_FUND_CODE,
+                     institution: C.Institution | None = None) -> DataFrame:
+    """Actual loads of several course sets in the newest snapshot of the year of `as_of`, one row per key.
 
-    The cluster code is grouped but not shown, so keys may repeat.
+    `sets` names a load and lists its courses; a course may be in several. All
+    sets come from one scan. `LOADS` holds (set, load) of every row that a set
+    has for the key: the cluster code is grouped but not shown, so a set may
+    have several, as many as there are cluster codes behind the shown one.
     """
     institution = institution or C.Institution()
     snapshot = latest_by_id(aggregation_control, as_of.year)
     codes = ["TEACHING_FACULTY", "TR_ORG_UNIT_CD", "DEGREE_FACULTY_ID", "REFERENCE_YEAR",
              "FUNDING_SOURCE", "COURSE_LEVEL", "SCA_COORD_CAMPUS", "SUA_LOCATION_CD", "UNIT_MODE",
              "COMMENCING_STUDENT_IND", "CLUSTER_TRANSLATION_ID"]
-    wanted = ((F.col("SNAPSHOT_ID") == snapshot) & F.col("COURSE_CD").isin(*courses)
-              & (F.col("FUNDING_SOURCE") == fund_code))
-    fact = unit_load.where(wanted).groupBy(*codes).agg(sum_load("EFTSL").alias("EFTSL"))
+    course = F.col("COURSE_CD")
+    every = sorted({c for courses in sets.values() for c in courses})
+    wanted = (F.col("SNAPSHOT_ID") == snapshot) & course.isin(*every) & (F.col("FUNDING_SOURCE") == fund_code)
+    of_sets = F.array_compact(F.array(*[F.when(course.isin(*courses), F.lit(name)) for name, courses in sets.items()]))
+    fact = (unit_load.where(wanted).withColumn(SET, F.explode(of_sets)).groupBy(*codes, SET)
+            .agg(sum_load(unit_load, "EFTSL").alias("EFTSL")))
     fact = left_lookup(fact, cluster_translation,
                        {"CLUSTER_TRANSLATION_ID": "CLUSTER_TRANSLATION_ID"},
                        {"CLUSTER_CD": "CLUSTER_CD", "CLUSTER_SUBGROUP": institution.cluster_column})
@@ -55,9 +62,43 @@ def designated_actuals(unit_load: DataFrame, aggregation_control: DataFrame,
     fact = left_lookup(fact, funding_source, {"FUNDING_SOURCE": "FUNDING_SOURCE"},
                        {"DESCRIPTION": "FUND_SOURCE_DESCRIPTION"})
     keys = split_keys(institution)
-    grouped = (fact.withColumnRenamed("SUA_LOCATION_CD", "SUA_LOCATION_CODE")
-               .groupBy(*keys, "CLUSTER_CD").agg(F.sum("EFTSL").alias(load_name)))
-    return grouped.drop("CLUSTER_CD").withColumn("REPDATE", F.lit(as_of.strftime("%m-%d-%Y")))
+    # Dealt by the shown key, both groupings below need no shuffle of their own.
+    named = fact.withColumnRenamed("SUA_LOCATION_CD", "SUA_LOCATION_CODE").repartition(*keys)
+    grouped = named.groupBy(*keys, "CLUSTER_CD", SET).agg(F.sum("EFTSL").alias("LOAD"))
+    return (grouped.groupBy(*keys).agg(F.collect_list(F.struct(SET, "LOAD")).alias(LOADS))
+            .withColumn(REPORT_DATE, F.lit(as_of.strftime("%m-%d-%Y"))))
+
+
+def _of_set(name: str) -> Column:
+    return F.filter(F.col(LOADS), lambda held: held[SET] == name)
+
+
+def loads_of_set(loads: DataFrame, name: str) -> DataFrame:
+    """The rows of one set, its load named like the set."""
+    keys = [c for c in loads.columns if c not in (LOADS, REPORT_DATE)]
+    return loads.withColumn("held", F.explode(_of_set(name))).select(*keys, F.col("held.LOAD").alias(name), REPORT_DATE)
+
+
+def side_by_side(loads: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Every set's load in a column: a full join of the sets on key and report date, without a join.
+
+    A key that several sets repeat gives every combination, as the join does.
+    """
+    keys = [c for c in loads.columns if c not in (LOADS, REPORT_DATE)]
+    out = loads
+    for k, name in enumerate(names):
+        out = out.withColumn(f"held{k}", F.explode_outer(_of_set(name)))
+    return out.select(*keys, REPORT_DATE, *[F.col(f"held{k}.LOAD").alias(name) for k, name in enumerate(names)])
+
+
+def designated_actuals(unit_load: DataFrame, aggregation_control: DataFrame,
+                       cluster_translation: DataFrame, degree_faculty: DataFrame,
+                       funding_source: DataFrame, courses: Sequence[str], load_name: str,
+                       as_of: date, fund_code: str = C.DESIGNATED_FUND_CODE,
+                       institution: C.Institution | None = None) -> DataFrame:
+    """Actual load of one course set; keys may repeat."""
+    return loads_of_set(designated_loads(unit_load, aggregation_control, cluster_translation, degree_faculty, funding_source,
+                                         {load_name: courses}, as_of, fund_code, institution), load_name)
 
 
 def combine_actuals(medical: DataFrame, sub_bachelor: DataFrame) -> DataFrame:
@@ -72,8 +113,8 @@ def designation_split(forecast: DataFrame, actuals: DataFrame,
     Actual keys that repeat multiply the forecast row; `split_checks` reports it.
     """
     keys = split_keys(institution or C.Institution())
-    typed = forecast.withColumn(FORECAST, exact(FORECAST))
-    joined = null_safe_join(typed, actuals.drop("REPDATE"), keys, "left")
+    typed = forecast.withColumn(FORECAST, exact(forecast, FORECAST))
+    joined = null_safe_join(typed, actuals.drop(REPORT_DATE), keys, "left")
     medical, sub_bachelor, rest = PARTS
     return joined.withColumns({
         medical: cap(FORECAST, MEDICAL_LOAD),
@@ -104,45 +145,48 @@ def designation_export(long: DataFrame, csp: str = C.CSP, graduate_level: str =
     return filled.withColumn(GROUPING, if_else3(graduate, F.lit("DESIGNATED_GPG"), F.col(GROUPING)))
 
 
-def run_date_check(actuals: DataFrame, as_of: date) -> DataFrame:
-    """The latest report date of the actuals against the run date, as yyyymmdd numbers."""
-    number = F.date_format(F.to_date(F.max("REPDATE"), "MM-dd-yyyy"), "yyyyMMdd")
-    expected = F.lit(int(as_of.strftime("%Y%m%d"))).cast("decimal(38,4)")
-    actual = number.cast("decimal(38,4)")
-    return actuals.agg(actual.alias("actual")).select(
-        F.lit("run date").alias("check_name"), expected.alias("expected"), F.col("actual"),
-        (F.col("actual") - expected).alias("difference"),
-        expected.eqNullSafe(F.col("actual")).alias("ok"))
+def _day(when: Column) -> Column:
+    return F.date_format(when, "yyyyMMdd").cast("long")
+
+
+def snapshot_date(aggregation_control: DataFrame, as_of: date) -> DataFrame:
+    """One row: the date of the snapshot that `designated_loads` uses; without a row if the year has none."""
+    used = latest_by_id(aggregation_control, as_of.year)
+    return aggregation_control.where((F.col("REFERENCE_YEAR") == as_of.year) & (F.col("SNAPSHOT_ID") == used)).select("SNAPSHOT_DATE")
 
 
 def split_checks(forecast: DataFrame, medical: DataFrame, sub_bachelor: DataFrame,
                  actuals: DataFrame, split: DataFrame, long: DataFrame, final: DataFrame,
-                 as_of: date, csp: str = C.CSP, graduate_level: str = "GPG") -> DataFrame:
-    """All checks of the job in one report, one row per check."""
-    wide = split.unpivot([], list(PARTS), GROUPING, FORECAST)
-    graduate = ((F.col("FUND_SOURCE_DESCRIPTION") == csp)
-                & (F.col("COURSE_LEVEL") == graduate_level))
-    source = (forecast.where(graduate).withColumn(FORECAST, exact(FORECAST))
-              .withColumn(GROUPING, F.lit("DESIGNATED_GPG")))
-    relabelled = final.where(F.col(GROUPING) == "DESIGNATED_GPG")
-    others = ("DESIG_MED_UG", "SUBBACH")
-    reports = [
-        row_checks("rows of combined actuals", actuals, [medical, sub_bachelor]),
-        reconcile("combined", medical, actuals, [MEDICAL_LOAD]),
-        reconcile("combined", sub_bachelor, actuals, [SUB_BACHELOR_LOAD]),
-        run_date_check(actuals, as_of),
-        reconcile("forecast kept by join", forecast.withColumn(FORECAST, exact(FORECAST)),
-                  split, [FORECAST]),
-        conservation_check("parts equal forecast", split, FORECAST, PARTS),
-        group_checks("long equals wide", wide, long, GROUPING, FORECAST),
-        group_checks("relabelled", source, relabelled, GROUPING, FORECAST),
-        group_checks("unchanged", long.where(F.col(GROUPING).isin(*others)),
-                     final.where(F.col(GROUPING).isin(*others)), GROUPING, FORECAST),
+                 as_of: date, csp: str = C.CSP, graduate_level: str = "GPG",
+                 snapshot: DataFrame | None = None) -> DataFrame:
+    """All checks of the job in one pass, one row per check.
+
+    `run date` holds the latest report date of the actuals, and `snapshot date`
+    the date of the snapshot they were taken from (see `snapshot_date`), against
+    the date of the run; both are yyyymmdd numbers.
+    """
+    graduate = (F.col("FUND_SOURCE_DESCRIPTION") == csp) & (F.col("COURSE_LEVEL") == graduate_level)
+    load, label = F.col(FORECAST), F.col(GROUPING)
+    frames = {"medical": medical, "subbach": sub_bachelor, "parts": medical.select(REPORT_DATE).unionByName(sub_bachelor.select(REPORT_DATE)),
+              "actuals": actuals, "forecast": forecast.withColumn(FORECAST, exact(forecast, FORECAST)), "split": split, "long": long,
+              "final": final, "run": forecast.sparkSession.range(1).select(F.lit(int(as_of.strftime("%Y%m%d"))).alias("day"))}
+    run = Side("run", "max", F.col("day"))
+    checks = [
+        Check("rows of combined actuals", Side("parts", "rows"), Side("actuals", "rows")),
+        Check(f"combined:{MEDICAL_LOAD}", Side("medical", "total", F.col(MEDICAL_LOAD)), Side("actuals", "total", F.col(MEDICAL_LOAD))),
+        Check(f"combined:{SUB_BACHELOR_LOAD}", Side("subbach", "total", F.col(SUB_BACHELOR_LOAD)),
+              Side("actuals", "total", F.col(SUB_BACHELOR_LOAD))),
+        Check("run date", run, Side("actuals", "max", _day(F.to_date(REPORT_DATE, "MM-dd-yyyy")))),
+        Check(f"forecast kept by join:{FORECAST}", Side("forecast", "total", load), Side("split", "total", load)),
+        conserved("split", "parts equal forecast", FORECAST, PARTS),
+        *[Check(f"long equals wide:{part}", Side("split", "sum", F.col(part)), Side("long", "sum", load, label == part)) for part in PARTS],
+        Check("relabelled:DESIGNATED_GPG", Side("forecast", "sum", load, graduate), Side("final", "sum", load, label == "DESIGNATED_GPG")),
+        *[Check(f"unchanged:{part}", Side("long", "sum", load, label == part), Side("final", "sum", load, label == part)) for part in PARTS[:2]],
     ]
-    out = reports[0]
-    for report in reports[1:]:
-        out = out.unionByName(report)
-    return out
+    if snapshot is not None:
+        frames["snapshot"] = snapshot
+        checks.append(Check("snapshot date", run, Side("snapshot", "max", _day(F.col("SNAPSHOT_DATE")))))
+    return report(frames, checks)
 
 
 def export_name(final: DataFrame, prefix: str,

@@ -20,7 +20,7 @@ from loadkit.operators.aggregates import sum_numeric
 from loadkit.operators.joins import left_lookup, natural_join, null_safe_join
 from loadkit.operators.reshape import bind_tagged
 from loadkit.operators.slices import align_by_slice
-from loadkit.schema import SUM, sum_load
+from loadkit.schema import sum_load
 
 LOAD = "REPORTED_FORECAST_TAUGHT_LOAD"
 FORECAST, ACTUAL, ERROR = "FCAST_EFTSL", "ACTUALS_EFTSL", "ForecastError"
@@ -86,14 +86,14 @@ def course_forecast_extract(load: DataFrame, control: DataFrame, org_unit: DataF
 def actuals_summary(actuals: DataFrame, year: int, keys: Sequence[str]) -> DataFrame:
     """Actual load of a year at the given grain."""
     return (actuals.where(F.col("YEAR") == year).groupBy(*keys)
-            .agg(F.coalesce(sum_load("EFTSL"), F.lit(0)).alias(ACTUAL)))
+            .agg(F.coalesce(sum_load(actuals, "EFTSL"), F.lit(0)).alias(ACTUAL)))
 
 
 def forecast_summary(forecast: DataFrame, year: int, keys: Sequence[str],
                      overrides: Iterable[tuple[str, str]]) -> DataFrame:
     """Forecast load of a year at the given grain and month, named like the actuals."""
     summed = (forecast.where(F.col("REFERENCE_YEAR") == year).groupBy(*keys, MONTH)
-              .agg(F.coalesce(sum_load(LOAD), F.lit(0)).alias(FORECAST)))
+              .agg(F.coalesce(sum_load(forecast, LOAD), F.lit(0)).alias(FORECAST)))
     named = summed.withColumnsRenamed(RENAMES)
     typed = named.withColumns({
         "COM_RET": if_else3(F.col("COM_RET") == "Y", F.lit("Commencing"), F.lit("Returning")),
@@ -154,8 +154,8 @@ def error_base(consolidated: DataFrame, levels: Sequence[str], scope: C.Scope) -
     The error is rounded per row, so sums of it are sums of rounded values.
     """
     rows = in_scope(consolidated, scope).withColumns({
-        FORECAST: F.coalesce(F.col(FORECAST), F.lit(0)).cast(SUM),
-        ACTUAL: F.coalesce(F.col(ACTUAL), F.lit(0)).cast(SUM),
+        FORECAST: F.coalesce(F.col(FORECAST), F.lit(0)),
+        ACTUAL: F.coalesce(F.col(ACTUAL), F.lit(0)),
     })
     rows = rows.withColumns({ERROR: signed_error(FORECAST, ACTUAL), "month_ord": month_order(levels)})
     month = F.when(F.col("month_ord").isNotNull(), F.col(MONTH))

@@ -4,7 +4,8 @@ Physical design. Every fact is read once and summed by its raw codes before any
 join, so the dimension joins, the classification and the later shuffles work on
 bucket-sized data however large the facts are. The seven measures taken from
 the actuals are roles of one scan: a pre-aggregated row is copied to each role
-its snapshot has. Loads are summed as whole ten-thousandths and leave as doubles.
+its snapshot has. Loads are summed as exact decimals of their own scale; the templates turn
+them into doubles at the very end.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from loadkit.operators.aggregates import add_total_member, rollup_into
 from loadkit.operators.joins import left_lookup
 from loadkit.operators.reshape import pivot_fixed, unpivot_drop_null
 from loadkit.operators.snapshots import latest_run, latest_version, resolve_snapshots
-from loadkit.schema import as_double, exact
+from loadkit.schema import as_double, exact, sum_load
 
 BUCKET_KEYS = ("YEAR", "FUND", "HOME_FLAG", "FACULTY", "DEGREE_FACULTY", "COURSE_LEVEL",
                "CAMPUS", "UNIT_MODE")
@@ -78,7 +79,7 @@ def _with_course(fact: DataFrame, versions: DataFrame) -> DataFrame:
 
 def _wide_fact(fact: DataFrame, ids: list[str], commencing: str, returning: str) -> DataFrame:
     """Sum both measures by the raw keys, then go long: half the rows of the other order."""
-    summed = fact.groupBy(*ids).agg(*[F.sum(exact(c)).alias(c) for c in (commencing, returning)])
+    summed = fact.groupBy(*ids).agg(*[sum_load(fact, c).alias(c) for c in (commencing, returning)])
     return unpivot_drop_null(summed, ids, [commencing, returning], "INDICATOR", "EFTSL")
 
 
@@ -168,7 +169,7 @@ def _actual_rows(t: PlanningTables, versions: DataFrame, y: int, as_of: date,
     ids = ["SNAPSHOT_ID", "REFERENCE_YEAR", "FUNDING_SOURCE", "DEGREE_FACULTY_ID", "FACULTY_ID",
            "COURSE_CD", "COURSE_LEVEL", "SCA_COORD_CAMPUS", "SCA_LOCATION_CD", "UNIT_MODE",
            "COMMENCING_STUDENT_IND", "NOMINATED_YEAR_LEVEL"]
-    fact = t.unit_load.where(wanted).groupBy(*ids).agg(F.sum(exact("EFTSL")).alias("EFTSL"))
+    fact = t.unit_load.where(wanted).groupBy(*ids).agg(sum_load(t.unit_load, "EFTSL").alias("EFTSL"))
     # The degree faculty is matched by id alone, for rows that have a year.
     fact = fact.withColumns({
         "RAW_COURSE": F.col("COURSE_CD"),
@@ -199,7 +200,7 @@ def _monitoring_rows(t: PlanningTables, y: int, rules: C.PlanningRules) -> DataF
            "SCA_COORD_CAMPUS", "UNIT_MODE", "COMMENCING_STUDENT_IND"]
     run = latest_run(t.forecast_control)
     fact = (t.forecast_load.where(F.col("FORECAST_CONTROL_ID") == run).groupBy(*ids)
-            .agg(F.sum(exact("REPORTED_FORECAST_LOAD")).alias("EFTSL")))
+            .agg(sum_load(t.forecast_load, "REPORTED_FORECAST_LOAD").alias("EFTSL")))
     fact = _faculties(_fund(fact, t), t,
                       {"DEGREE_FACULTY_ID": "DEGREE_FACULTY_ID", "REFERENCE_YEAR": "REFERENCE_YEAR"},
                       {"FACULTY_ID": "DEGREE_FACULTY_ID", "REFERENCE_YEAR": "REFERENCE_YEAR"}, rules)
@@ -250,7 +251,6 @@ def _label(rows: DataFrame, rules: C.PlanningRules) -> DataFrame:
         "FIXED_BUCKET": R.fixed_bucket(fund, rules),
         "PLANNING_MODULE": R.planning_module(fund, rules),
         rules.institution.load_column: R.home_load(F.col("HOME_FLAG"), rules),
-        "EFTSL": as_double("EFTSL"),
     }).select(*output_columns(rules))
 
 
@@ -296,7 +296,7 @@ def _template(planned: DataFrame) -> DataFrame:
     ids, named = list(C.TEMPLATE_IDS), C.TEMPLATE_MEASURES[:-1]
     cells = [*named, C.PLANNING_FORECAST, C.MONITORING_FORECAST, C.NO_MEASURE]
     filled = planned.fillna({"FUND_SOURCE": C.UNCLASSIFIED, "DESIGNATED_IND": "Non-CSP"})
-    filled = filled.select(*ids, "MEASURE", exact("EFTSL").alias("EFTSL"))
+    filled = filled.select(*ids, "MEASURE", exact(filled, "EFTSL").alias("EFTSL"))
     wide = pivot_fixed(filled, ids, "MEASURE", "EFTSL", cells).fillna(0, subset=cells)
     any_load = F.expr(" OR ".join(f"`{c}` <> 0" for c in cells))
     return (wide.where(any_load).withColumn("Plan Year 5", F.col("`Plan Year 4`"))

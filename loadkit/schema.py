@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MEASURE = T.DecimalType(18, 4)
-SUM = T.DecimalType(37, 10)
+# Doubles: 17 places hold their shortest form; a sum of them leaves a digit free, so that a difference of two sums is exact too.
+FRACTION, FRACTION_SUM = T.DecimalType(36, 17), T.DecimalType(37, 17)
 
 _TYPES = {"long": T.LongType(), "int": T.IntegerType(), "string": T.StringType(),
           "date": T.DateType(), "measure": MEASURE, "double": T.DoubleType()}
@@ -92,16 +93,23 @@ SCHEMAS: dict[str, T.StructType] = {
 }
 
 
-def exact(col: Column | str, scale: int = 10) -> Column:
-    """A load as a decimal of `scale` places, so that sums do not depend on the order of tasks.
+def exact(df: DataFrame, name: str) -> Column:
+    """A load in a form whose sums do not depend on the order of tasks and lose nothing.
 
-    Decimals keep all places up to `scale`; a double is taken at its shortest
-    decimal form. A load that does not fit 27 digits, or is no number, raises an error.
+    Decimals stay at their own scale, whole numbers are taken as they are. A
+    double is taken at its shortest decimal form, at 17 places: a double that
+    this changes, that does not fit, or that is no number raises an error, and
+    so does text that is no number.
     """
-    c = F.col(col) if isinstance(col, str) else col
-    kind = T.DecimalType(27, scale)
-    broken = F.raise_error(F.concat(F.lit("not a load: "), c.cast("string"))).cast(kind)
-    return F.when(c.isNotNull(), F.coalesce(c.try_cast(kind), broken))
+    kind, col = df.schema[name].dataType, F.col(f"`{name}`")
+    if isinstance(kind, T.DecimalType):
+        return col
+    if isinstance(kind, T.IntegralType):
+        return col.cast(T.DecimalType(20, 0))
+    taken = col.try_cast(FRACTION)
+    kept = taken.cast(kind) == col if isinstance(kind, T.FractionalType) else taken.isNotNull()
+    broken = F.raise_error(F.concat(F.lit(f"{name}: not a load that 17 places hold: "), col.cast("string"))).cast(FRACTION)
+    return F.when(col.isNull(), F.lit(None).cast(FRACTION)).when(kept, taken).otherwise(broken)
 
 
 def as_double(col: Column | str) -> Column:
@@ -109,9 +117,14 @@ def as_double(col: Column | str) -> Column:
     return (F.col(col) if isinstance(col, str) else col).cast("double")
 
 
-def sum_load(col: Column | str, scale: int = 10) -> Column:
-    """Exact sum of loads as a decimal, missing when no load is present."""
-    return F.sum(exact(col, scale))
+def sum_load(df: DataFrame, name: str) -> Column:
+    """Exact sum of the loads of a column as a decimal of their scale, missing when no load is present.
+
+    A sum that does not fit 38 digits raises an error.
+    """
+    total = F.sum(exact(df, name))
+    return total.cast(FRACTION_SUM) if isinstance(df.schema[name].dataType, T.FractionalType) and not isinstance(
+        df.schema[name].dataType, T.DecimalType) else total
 
 
 def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:

@@ -1,4 +1,5 @@
 import math
+from decimal import Decimal
 
 import pytest
 from conftest import bag
@@ -110,24 +111,32 @@ def test_bucket_description_follows_the_code(frame):
 
 
 def test_loads_are_exact(frame):
-    df = frame("x double", (0.1,), (0.2,), (0.07,), (None,), (1e8,))
-    assert [None if v is None else str(v) for v in values(df, exact("x"))] == [
-        "0.1000000000", "0.2000000000", "0.0700000000", None, "100000000.0000000000"]
-    assert df.agg(as_double(F.sum(exact("x")))).first()[0] == 100000000.37
-    assert str(df.agg(sum_load("x")).first()[0]) == "100000000.3700000000"
-    assert df.where("x IS NULL").agg(sum_load("x")).first()[0] is None
+    df = frame("x double", (0.1,), (0.2,), (0.07,), (None,), (1e8,), (1 / 3,))
+    assert [None if v is None else float(v) for v in values(df, exact(df, "x"))] == [0.1, 0.2, 0.07, None, 1e8, 1 / 3]
+    few = df.where("x <> 1 / 3D")
+    assert few.agg(as_double(sum_load(few, "x"))).first()[0] == 100000000.37
+    assert str(few.agg(sum_load(few, "x")).first()[0]) == "100000000.37000000000000000"
+    assert df.where("x IS NULL").agg(sum_load(df, "x")).first()[0] is None
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])
 def test_no_place_and_no_size_is_lost(spark, frame, ansi):
     before = spark.conf.get("spark.sql.ansi.enabled")
     spark.conf.set("spark.sql.ansi.enabled", ansi)
+
+    def total(df):
+        return df.agg(sum_load(df, "x")).first()[0]
+
     try:
-        fine = frame("x double", *[(0.00004,)] * 4, (0.08333,))
-        assert str(fine.agg(sum_load("x")).first()[0]) == "0.0834900000"
-        large = frame("x decimal(18,4)", ("12345678901234.5678",), *[("5000000000000",)] * 3)
-        assert str(large.agg(sum_load("x")).first()[0]) == "27345678901234.5678000000"
-        with pytest.raises(Exception, match="not a load"):
-            frame("x double", (1e20,)).agg(sum_load("x")).collect()
+        assert str(total(frame("x double", *[(0.00004,)] * 4, (0.08333,)))) == "0.08349000000000000"
+        assert str(total(frame("x decimal(18,4)", ("12345678901234.5678",), *[("5000000000000",)] * 3))) == "27345678901234.5678"
+        assert total(frame("x decimal(20,14)", *[("0.00000000000004",)] * 5)) == Decimal("2E-13")
+        assert total(frame("x decimal(30,28)", *[("0.0000000000000000000000000003",)] * 4)) == Decimal("12E-28")
+        assert str(total(frame("x double", *[(1 / 3,)] * 3))) == "0.99999999999999990"
+        assert total(frame("x int", (2,), (3,))) == 5 and str(total(frame("x string", ("0.25",), ("1",)))) == "1.25000000000000000"
+        # What no 17 places hold must not vanish: too large, too small, not a number.
+        for kind, bad in (("double", "1e20D"), ("double", "4e-18D"), ("double", "1.2345678901234567e-3D"), ("double", "double('NaN')"), ("string", "'x'")):
+            with pytest.raises(Exception, match="not a load"):
+                total(spark.sql(f"SELECT CAST({bad} AS {kind}) AS x"))
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)

@@ -87,6 +87,8 @@ DESIGNATION["checks"] = f"""
     UNION ALL SELECT 'combined:SUBBACH_TAUGHT_LOAD', (SELECT coalesce(sum(SUBBACH_TAUGHT_LOAD), 0) FROM subbach),
       (SELECT coalesce(sum(SUBBACH_TAUGHT_LOAD), 0) FROM both_actuals)
     UNION ALL SELECT 'run date', 19980601, (SELECT CAST(strftime(max(strptime(REPDATE, '%m-%d-%Y')), '%Y%m%d') AS {_VALUE}) FROM both_actuals)
+    UNION ALL SELECT 'snapshot date', 19980601, (SELECT CAST(strftime(SNAPSHOT_DATE, '%Y%m%d') AS {_VALUE}) FROM aggregation_control
+      WHERE SNAPSHOT_ID = (SELECT max(SNAPSHOT_ID) FROM aggregation_control WHERE REFERENCE_YEAR = 1998))
     UNION ALL SELECT 'forecast kept by join:{_F}', (SELECT sum({_F}) FROM forecast_file), (SELECT sum({_F}) FROM split)
     UNION ALL SELECT 'parts equal forecast', (SELECT sum({_F}) FROM split),
       (SELECT coalesce(sum(DESIG_MED_UG), 0) + coalesce(sum(SUBBACH), 0) + coalesce(sum(NON_DESIGNATED), 0) FROM split)
@@ -118,9 +120,13 @@ class Designation:
 
     def __init__(self, t: Tables):
         self.forecast = S.forecast_file(t)
-        self.medical = _actuals(t, S.RULES.medical, G.MEDICAL_LOAD)
-        self.subbach = _actuals(t, S.RULES.sub_bachelor, G.SUB_BACHELOR_LOAD)
-        self.actuals = G.combine_actuals(self.medical, self.subbach)
+        sets = {G.MEDICAL_LOAD: S.RULES.medical, G.SUB_BACHELOR_LOAD: S.RULES.sub_bachelor}
+        control = S.aggregation_control(t)
+        loads = G.designated_loads(S.unit_load(t), control, S.cluster_translation(t), S.degree_faculty(t), S.funding_source(t),
+                                   sets, S.AS_OF, fund_code=S.DESIGNATED_FUND)
+        self.medical, self.subbach = (G.loads_of_set(loads, name) for name in sets)
+        self.actuals = G.side_by_side(loads, list(sets))
+        self.snapshot = G.snapshot_date(control, S.AS_OF)
         self.split = G.designation_split(self.forecast, self.actuals)
         self.long = G.split_to_long(self.split)
         self.final = G.designation_export(self.long)
@@ -150,7 +156,7 @@ def q7_designation_export(t):
 def q8_reconcile(t):
     """All checks of the job."""
     d = Designation(t)
-    return G.split_checks(d.forecast, d.medical, d.subbach, d.actuals, d.split, d.long, d.final, S.AS_OF)
+    return G.split_checks(d.forecast, d.medical, d.subbach, d.actuals, d.split, d.long, d.final, S.AS_OF, snapshot=d.snapshot)
 
 
 # --- accuracy -------------------------------------------------------------------------

@@ -359,7 +359,7 @@ def w2_latest_per_year(t):
 def a4_latest_run(t):
     """Load of the latest forecast run, found by a global maximum."""
     rows = S.forecast_load(t).where(F.col("FORECAST_CONTROL_ID") == latest_run(S.forecast_control(t)))
-    return rows.groupBy("FUNDING_SOURCE").agg(sum_load("REPORTED_FORECAST_LOAD").alias("load"))
+    return rows.groupBy("FUNDING_SOURCE").agg(sum_load(rows, "REPORTED_FORECAST_LOAD").alias("load"))
 
 
 def _flag_sums(t, keep, name):
@@ -498,14 +498,16 @@ def a6_strict_sum(t):
 
 _FINE = "CAST(l_quantity AS DECIMAL(18,4)) * CAST(0.00001 AS DECIMAL(6,5))"
 _LARGE = "CAST(l_quantity AS DECIMAL(20,0)) * CAST(1000000000001 AS DECIMAL(13,0))"
+_DEEP = "CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(0.000000000001 AS DECIMAL(13,12))"
 
 
 @register("a6_fine_loads", f"""
-    SELECT l_returnflag, CAST(sum({_FINE}) AS DOUBLE) AS fine, CAST(sum({_LARGE}) AS DOUBLE) AS large FROM lineitem GROUP BY 1""")
+    SELECT l_returnflag, CAST(sum({_FINE}) AS DOUBLE) AS fine, CAST(sum({_LARGE}) AS DOUBLE) AS large,
+           CAST(sum({_DEEP}) AS DOUBLE) AS deep FROM lineitem GROUP BY 1""")
 def a6_fine_loads(t):
-    """Sums of loads with nine places, and of loads above 1e13; no place is lost before the sum."""
-    rows = t.lineitem.select("l_returnflag", F.expr(_FINE).alias("fine"), F.expr(_LARGE).alias("large"))
-    return rows.groupBy("l_returnflag").agg(sum_load("fine").alias("fine"), sum_load("large").alias("large"))
+    """Sums of loads with nine and with fourteen places, and of loads above 1e13; no place is lost before the sum."""
+    rows = t.lineitem.select("l_returnflag", F.expr(_FINE).alias("fine"), F.expr(_LARGE).alias("large"), F.expr(_DEEP).alias("deep"))
+    return rows.groupBy("l_returnflag").agg(*[sum_load(rows, c).alias(c) for c in ("fine", "large", "deep")])
 
 
 @register("a7_sum_or_zero", f"""
@@ -721,7 +723,8 @@ _DESIGNATED = """CASE WHEN fund = 'CSP' AND COURSE_LEVEL = 'GPG' THEN 'CSP Desig
 def c6_designation(t):
     """Designation with and without a course, and the fills of missing codes."""
     keys = ["FUNDING_SOURCE", "COURSE_LEVEL", "COURSE_CD", "SCA_LOCATION_CD", "SCA_COORD_CAMPUS"]
-    raw = S.unit_load(t).groupBy(*keys).agg(sum_load("EFTSL").alias("EFTSL"))
+    loads = S.unit_load(t)
+    raw = loads.groupBy(*keys).agg(sum_load(loads, "EFTSL").alias("EFTSL"))
     fund, course, level = S.fund_name(F.col("FUNDING_SOURCE")), F.col("COURSE_CD"), F.col("COURSE_LEVEL")
     place = F.col("SCA_LOCATION_CD")
     return raw.groupBy(
