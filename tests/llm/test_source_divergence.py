@@ -5,6 +5,8 @@ import re
 from collections import Counter, defaultdict
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,7 +55,7 @@ def corpus(seed, size, sources=7):
                    ("en", "long", "lungo" * 30000), ("en", "s2", "wax " * 30000)]
 
 
-@pytest.mark.parametrize("settings, sources", [(D.Settings(), 7), (D.Settings(block=2, terms=16, slice=3000, held=100, few=0, ranks=5), 9), (D.Settings(least_docs=1), 3)])
+@pytest.mark.parametrize("settings, sources", [(D.Settings(), 7), (D.Settings(block=2, terms=16, slice=3000, bucket=500, few=0, ranks=5), 9), (D.Settings(least_docs=1), 3)])
 def test_audit_equals_brute_force(spark, settings, sources):
     docs = corpus(sources, 250, sources)
     df = spark.createDataFrame([(*d, 1, "x", 2) for d in docs], "lang string, source string, text string, n int, term string, value int").repartition(4)
@@ -61,20 +63,49 @@ def test_audit_equals_brute_force(spark, settings, sources):
     assert sorted(map(tuple, rows)) == brute(docs, settings.least_docs, settings.ranks)
 
 
-def test_each_distinct_chunk_is_cut_once(spark):
-    df = spark.createDataFrame([("en", f"s{i % 3}", "one, two one, two. -- a-b") for i in range(30)], "lang string, source string, text string")
-    counts = D.chunk_counts(df)
-    assert sorted((r.chunk, r.terms) for r in D.chunk_terms(counts).collect()) == [("a-b", ["a", "b"]), ("one,", ["one"]), ("two", ["two"]), ("two.", ["two"])]
-    whole = counts.groupBy("chunk").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
-    assert {tuple(r) for r in whole.where("chunk <> '--'").collect()} == {("one,", 60, 30), ("two", 30, 30), ("two.", 30, 30), ("a-b", 30, 30)}
-
-
-def test_counts_of_a_task_are_the_same_however_often_it_gives_them_away(spark):
-    docs = corpus(5, 120)
-    df = spark.createDataFrame(docs, "lang string, source string, text string").coalesce(2)
-    one, two = (sorted(map(tuple, D.chunk_counts(df, D.Settings(slice=size, held=held)).groupBy("lang", "source", "chunk").agg(
-        F.sum("n"), F.sum("df"), F.min("low"), F.max(F.coalesce("high", "low"))).collect())) for size, held in ((8 << 20, 10 ** 6), (500, 40)))
-    assert one == two
+def counts(rows, groups=(("en", "a"), ("en", "b"), ("de", "a"))):
+    """Counts from (text, group, n, df, low, high, mid)."""
+    numbers = [np.array([r[k] for r in rows], np.int64) for k in range(2, 7)]
+    return D.Counts(pa.array([r[0].encode() for r in rows], pa.large_binary()), np.array([r[1] for r in rows], np.int64), list(groups), numbers)
+
+
+def plain(c):
+    return sorted((t.decode(), c.groups[g], *map(int, n)) for t, g, *n in zip(c.text.to_pylist(), c.group, *c.numbers))
+
+
+def test_each_distinct_chunk_is_cut_once_and_its_terms_go_to_all_its_rows(monkeypatch):
+    cut = []
+    real = D.X.spans
+    monkeypatch.setattr(D.X, "spans", lambda inside, offsets: cut.append(len(offsets) - 1) or real(inside, offsets))
+    got = D.terms_of(counts([("A-b", 0, 2, 1, 5, 5, 5), ("A-b", 2, 3, 3, 6, 9, 7), ("--", 1, 1, 1, 8, 8, 8), ("Été.Été", 1, 1, 1, 8, 8, 8)]))
+    assert cut == [3]
+    assert plain(got) == sorted([("a", ("en", "a"), 2, 1, 5, 5, 5), ("b", ("en", "a"), 2, 1, 5, 5, 5), ("a", ("de", "a"), 3, 3, 6, 9, 7),
+                                 ("b", ("de", "a"), 3, 3, 6, 9, 7), ("Été", ("en", "b"), 1, 1, 8, 8, 8), ("Été", ("en", "b"), 1, 1, 8, 8, 8)])
+
+
+def test_row_numbers_tell_two_documents_from_three():
+    rows = [("w", 0, 1, 1, 4, 4, 4), ("w", 0, 1, 1, 9, 9, 9), ("w", 0, 1, 2, 4, 9, 4)]
+    assert plain(D.merged(counts(rows), np.maximum)) == [("w", ("en", "a"), 3, 2, 4, 9, 4)]
+    three = rows + [("w", 0, 1, 1, 6, 6, 6)]
+    for order in ([0, 1, 2, 3], [3, 0, 1, 2], [2, 3, 1, 0]):
+        one = D.merged(counts([three[k] for k in order[:2]]), np.maximum)
+        two = D.merged(counts([three[k] for k in order[2:]]), np.maximum)
+        whole = D.merged(D.joined([one, two]), np.maximum)
+        assert plain(whole) == [("w", ("en", "a"), 4, 2, 4, 9, 6)] and D.kept(whole, 3).num_rows == 1
+    assert D.kept(D.merged(counts(rows), np.maximum), 3).num_rows == 0 and D.kept(D.merged(counts(rows), np.maximum), 2).num_rows == 1
+
+
+def test_packed_tables_keep_every_row():
+    pick = random.Random(9)
+    rows = [(f"t{pick.randrange(300)}é", pick.randrange(3), 1, 1, k, k, k) for k in range(800)]
+    c = counts(rows)
+    batch = c.packed(7)
+    parts = [D.unpacked(b) for b in batch["counts"].to_pylist()]
+    assert sorted(r for p in parts for r in plain(p)) == plain(c) and len(set(batch["bucket"].to_pylist())) == 7
+    for bucket, part in zip(batch["bucket"].to_pylist(), parts):
+        assert set(D.bucket_of(part.text, 7)) == {bucket}
+    assert plain(next(iter(D.each_bucket([pa.RecordBatch.from_pydict({"bucket": [0] * 7, "counts": batch["counts"]})], np.add, most=50)))) == plain(D.merged(c))
+    assert counts([]).packed(3).num_rows == 0
 
 
 def test_empty_table_and_settings(spark):
