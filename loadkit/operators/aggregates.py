@@ -30,19 +30,21 @@ def sum_numeric(df: DataFrame, keys: Sequence[str], mode: str = "strict") -> Dat
 
 
 def add_total_member(df: DataFrame, keys: Sequence[str], member: str,
-                     measures: Sequence[str], label: str = TOTAL) -> DataFrame:
+                     measures: Sequence[str], label: str = TOTAL,
+                     dealt_by: Sequence[str] | None = None) -> DataFrame:
     """Append one row per group of the other keys with `member` set to `label`.
 
-    Both levels come from one grouping-sets aggregation, so the input is read
-    and shuffled once. `keys` must identify a row of `df`. A total equal to a
-    row that already carries the label is the same row and appears once.
+    Each row is labelled first, as itself and as part of its total; the rows are
+    then dealt once, by the labelled keys, and summed and freed of doubles where
+    they are. `keys` must identify a row of `df`. A total equal to a row that
+    already carries the label is the same row and appears once. `dealt_by` names
+    fewer of the keys, if a later step is to group by no more than those.
     """
-    others = [_q(k) for k in keys if k != member]
-    every = [_q(k) for k in keys]
-    out = df.groupingSets([every, others], *every).agg(
-        F.grouping(_q(member)).alias("__is_total"), *[strict_sum(_q(m)).alias(m) for m in measures])
-    named = F.when(F.col("__is_total") == 1, F.lit(label)).otherwise(_q(member))
-    return out.withColumn(member, named).select(*[f"`{c}`" for c in df.columns]).distinct()
+    total = F.col("__is_total")
+    rows = df.withColumn("__is_total", F.explode(F.array(F.lit(False), F.lit(True))))
+    rows = rows.withColumn(member, F.when(total, F.lit(label)).otherwise(_q(member))).repartition(*[_q(k) for k in dealt_by or keys])
+    out = rows.groupBy(*[_q(k) for k in keys], total).agg(*[strict_sum(_q(m)).alias(m) for m in measures])
+    return out.select(*[f"`{c}`" for c in df.columns]).distinct()
 
 
 def rollup_into(df: DataFrame, where: Column, keys: Sequence[str],
@@ -52,7 +54,8 @@ def rollup_into(df: DataFrame, where: Column, keys: Sequence[str],
     The old sentinel rows among them, known by the first entry of `sentinel`,
     are replaced; the other rows stay, equal ones once. The negated condition is
     three-valued: a row for which it is missing is dropped. A row of the subset
-    is copied to its roll-up, so one aggregation serves both kinds of row.
+    is copied to its roll-up, so one aggregation serves both kinds of row; it
+    shuffles nothing if `df` is dealt by some of `keys` already.
     """
     column, value = next(iter(sentinel.items()))
     rolled = F.col("__rolled")

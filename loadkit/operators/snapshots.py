@@ -10,10 +10,15 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def run_date(spark: SparkSession, as_of: date | None = None) -> date:
+    """The date of a run: `as_of`, or the session's current date, settled once so that all parts of a run share it."""
+    return as_of or spark.range(1).select(F.current_date()).first()[0]
+
+
 def latest_by_date(control: DataFrame, year: int) -> Column:
     """Snapshot id with the greatest date within the year."""
     rows = control.where(F.col("REFERENCE_YEAR") == year)
@@ -71,7 +76,7 @@ def latest_version(versions: DataFrame, bound: Column | date, key: str = "COURSE
     counts, also one that starts later, and ties on the number all stay.
     """
     limit = bound if isinstance(bound, Column) else F.lit(bound)
-    rows = versions.groupBy(key, version, value).agg(
+    rows = versions.where(F.col(key).isNotNull()).groupBy(key, version, value).agg(
         F.bool_or(F.col(start) <= limit).alias("__in_bound"))
-    newest = rows.where("__in_bound").groupBy(key).agg(F.max(version).alias(version))
-    return rows.join(newest, [key, version]).select(key, value).distinct()
+    newest = F.max(F.when(F.col("__in_bound"), F.col(version))).over(Window.partitionBy(key))
+    return rows.withColumn("__newest", newest).where(F.col(version) == F.col("__newest")).select(key, value).distinct()

@@ -15,6 +15,7 @@ from loadkit.operators.joins import left_lookup, natural_join, null_safe_join
 from loadkit.operators.reshape import unpivot_drop_null
 from loadkit.operators.snapshots import latest_by_id
 from loadkit.schema import exact, sum_load
+from loadkit.sources.writers import publish_csv
 
 FORECAST = "REPORTED_FORECAST_TAUGHT_LOAD"
 MEDICAL_LOAD, SUB_BACHELOR_LOAD = "MEDICAL_TAUGHT_LOAD", "SUBBACH_TAUGHT_LOAD"
@@ -196,3 +197,7 @@ def export_name(final: DataFrame, prefix: str,
     return f"{prefix} {'NA' if stamp is None else stamp} w Des_Ind - blank fix required.csv"
 
 
+def write_export(final: DataFrame, folder: str, prefix: str, na: str = "") -> str:
+    """The export as one sorted CSV named after its forecast date; the split runs once."""
+    keys = [c for c in split_keys(C.Institution()) if c in final.columns]
+    return publish_csv(final, folder, lambda rows: export_name(rows, prefix), na, order=[*keys, GROUPING])

@@ -6,18 +6,20 @@ every later step works on that grain.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadkit import config as C
 from loadkit.functions import (
     abbreviate, abs2, if_else3, not_in, not_infinite, override, paste, pct, signed_error,
     upper_all)
+from loadkit.functions.nulls import sum_or_zero
 from loadkit.operators.aggregates import sum_numeric
-from loadkit.operators.joins import left_lookup, natural_join, null_safe_join
+from loadkit.operators.checks import Check, Side, report
+from loadkit.operators.joins import left_lookup
 from loadkit.operators.reshape import bind_tagged
 from loadkit.operators.slices import align_by_slice
 from loadkit.schema import sum_load
@@ -25,7 +27,7 @@ from loadkit.schema import sum_load
 LOAD = "REPORTED_FORECAST_TAUGHT_LOAD"
 FORECAST, ACTUAL, ERROR = "FCAST_EFTSL", "ACTUALS_EFTSL", "ForecastError"
 ABS_ERROR = "ABSForecastError"
-MONTH, METHOD = "FCAST_MONTH", "FCAST_TYPE"
+MONTH, METHOD, YEAR = "FCAST_MONTH", "FCAST_TYPE", "YEAR"
 RENAMES = {
     "COMMENCING_STUDENT_IND": "COM_RET",
     "FUND_SOURCE_DESCRIPTION": "FUND_SOURCE",
@@ -94,14 +96,17 @@ def forecast_summary(forecast: DataFrame, year: int, keys: Sequence[str],
     """Forecast load of a year at the given grain and month, named like the actuals."""
     summed = (forecast.where(F.col("REFERENCE_YEAR") == year).groupBy(*keys, MONTH)
               .agg(F.coalesce(sum_load(forecast, LOAD), F.lit(0)).alias(FORECAST)))
-    named = summed.withColumnsRenamed(RENAMES)
-    typed = named.withColumns({
+    return _typed(summed).withColumn("DEPARTMENT", override("DEPARTMENT_CD", "DEPARTMENT", overrides))
+
+
+def _typed(summed: DataFrame) -> DataFrame:
+    """Forecast rows with the names, codes and texts of the actuals."""
+    return summed.withColumnsRenamed(RENAMES).withColumns({
         "COM_RET": if_else3(F.col("COM_RET") == "Y", F.lit("Commencing"), F.lit("Returning")),
         "TEACHING_FACULTY_CD": F.col("TEACHING_FACULTY_CD").cast("string"),
         "DEPARTMENT_CD": F.col("DEPARTMENT_CD").cast("string"),
         **upper_all(["TEACHING_FACULTY_NAME", "DEPARTMENT"]),
     })
-    return typed.withColumn("DEPARTMENT", override("DEPARTMENT_CD", "DEPARTMENT", overrides))
 
 
 def align_forecast(actuals: DataFrame, forecast: DataFrame, year: int, level: str,
@@ -122,6 +127,74 @@ def align_forecast(actuals: DataFrame, forecast: DataFrame, year: int, level: st
         actuals_summary(actuals, year, actual_keys), MONTH, slice_source=months)
 
 
+# --- several years at once: what differs between years is a table keyed by year ---------
+
+def rules_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A few rules as a frame that joins like any other; `schema` is DDL."""
+    fields = [part.strip().split(" ") for part in schema.split(",")]
+    kind = "array<struct<" + ",".join(f"{name}:{type_}" for name, type_ in fields) + ">>"
+    held = F.array(*[F.struct(*[F.lit(v).cast(type_).alias(name) for v, (name, type_) in zip(row, fields)]) for row in rows]) if rows else F.array()
+    return spark.range(1).select(F.inline(held.cast(kind)))
+
+
+def month_rules(spark: SparkSession, levels: Mapping[int, Sequence[str]]) -> DataFrame:
+    """Forecast months of each year with their place in the report."""
+    return rules_table(spark, [(y, m, k + 1) for y, months in levels.items() for k, m in enumerate(months)],
+                       f"{YEAR} int, {MONTH} string, month_ord int")
+
+
+def override_rules(spark: SparkSession, overrides: Mapping[int, Iterable[tuple[str, str]]]) -> DataFrame:
+    """Name corrections of each year; of several for one code the last holds."""
+    return rules_table(spark, [(y, code, name) for y, pairs in overrides.items() for code, name in dict(pairs).items()],
+                       f"{YEAR} int, DEPARTMENT_CD string, CORRECTED string")
+
+
+def align_years(actuals: DataFrame, forecast: DataFrame, level: str, overrides: DataFrame,
+                years: Sequence[int] | None = None) -> DataFrame:
+    """As `align_forecast`, with the year as a key: every year in one plan.
+
+    Each year meets the months of its own forecasts and is corrected by its own
+    `override_rules`; a year without rules keeps its names. A missing year is
+    left out, as no run asks for it. `years` narrows both inputs at their scans.
+    """
+    forecast_keys, actual_keys = {
+        "course": (COURSE_FORECAST_KEYS, COURSE_ACTUAL_KEYS),
+        "bucket": (BUCKET_FORECAST_KEYS, BUCKET_ACTUAL_KEYS),
+    }[level]
+
+    def of_years(df: DataFrame, column: str) -> DataFrame:
+        year = F.col(column)
+        return df.where(year.isNotNull() if years is None else year.isin(*years)).withColumnRenamed(column, YEAR)
+
+    given = of_years(forecast, "REFERENCE_YEAR")
+    named = _typed(given.groupBy(YEAR, *forecast_keys, MONTH).agg(F.coalesce(sum_load(forecast, LOAD), F.lit(0)).alias(FORECAST)))
+    named = left_lookup(named, overrides, {YEAR: YEAR, "DEPARTMENT_CD": "DEPARTMENT_CD"}, {"CORRECTED": "CORRECTED"})
+    named = named.withColumn("DEPARTMENT", F.when(F.col("DEPARTMENT_CD").isNotNull(), F.coalesce("CORRECTED", "DEPARTMENT"))).drop("CORRECTED")
+    load = of_years(actuals, YEAR).groupBy(YEAR, *actual_keys).agg(F.coalesce(sum_load(actuals, "EFTSL"), F.lit(0)).alias(ACTUAL))
+    return align_by_slice(named, load, MONTH, slice_source=given.select(YEAR, MONTH), within=[YEAR])
+
+
+def accuracy_totals(parts: Mapping[str, tuple[DataFrame, DataFrame, DataFrame]]) -> DataFrame:
+    """Control totals of each method, from (forecast, actuals, aligned) at report grain, in one pass.
+
+    The forecast before the alignment is held against the forecast after it: a
+    row that met several actual rows counts more than once. The actual load is
+    expected once for every month of the forecast.
+    """
+    frames, checks = {}, []
+    for method, (forecast, actual, aligned) in parts.items():
+        months = forecast.select(F.collect_set(MONTH)).scalar()
+        frames |= {f"{method} forecast": forecast, f"{method} actuals": actual.withColumn("months", F.size(months)), f"{method} aligned": aligned}
+        checks += [
+            Check(f"{method}:{FORECAST}", Side(f"{method} forecast", "total", F.col(FORECAST), F.col(MONTH).isNotNull()),
+                  Side(f"{method} aligned", "total", F.col(FORECAST))),
+            Check(f"{method}:{ACTUAL}", Side(f"{method} actuals", "total", F.col(ACTUAL) * F.col("months")),
+                  Side(f"{method} aligned", "total", F.col(ACTUAL))),
+            Check(f"{method}:rows with a forecast", Side(f"{method} forecast", "rows", None, F.col(MONTH).isNotNull()),
+                  Side(f"{method} aligned", "rows", None, F.col(FORECAST).isNotNull()))]
+    return report(frames, checks)
+
+
 def consolidate(course: DataFrame, bucket: DataFrame) -> DataFrame:
     """Both methods in one frame; the course columns are missing for buckets."""
     return bind_tagged([("Course", course), ("Bucket", bucket)], METHOD)
@@ -153,29 +226,105 @@ def error_base(consolidated: DataFrame, levels: Sequence[str], scope: C.Scope) -
 
     The error is rounded per row, so sums of it are sums of rounded values.
     """
+    rows = _with_error(consolidated, scope).withColumn("month_ord", month_order(levels))
+    return _known_months(rows)
+
+
+def _with_error(consolidated: DataFrame, scope: C.Scope) -> DataFrame:
     rows = in_scope(consolidated, scope).withColumns({
         FORECAST: F.coalesce(F.col(FORECAST), F.lit(0)),
         ACTUAL: F.coalesce(F.col(ACTUAL), F.lit(0)),
     })
-    rows = rows.withColumns({ERROR: signed_error(FORECAST, ACTUAL), "month_ord": month_order(levels)})
-    month = F.when(F.col("month_ord").isNotNull(), F.col(MONTH))
-    return rows.withColumn(MONTH, month)
+    return rows.withColumn(ERROR, signed_error(FORECAST, ACTUAL))
+
+
+def _known_months(rows: DataFrame) -> DataFrame:
+    return rows.withColumn(MONTH, F.when(F.col("month_ord").isNotNull(), F.col(MONTH)))
+
 
+def error_base_years(consolidated: DataFrame, months: DataFrame, scope: C.Scope) -> DataFrame:
+    """As `error_base`, for the years of `align_years`: `month_rules` say which months a year has and in which order."""
+    rows = left_lookup(_with_error(consolidated, scope), months, {YEAR: YEAR, MONTH: MONTH}, {"month_ord": "month_ord"})
+    return _known_months(rows)
 
-def _without_order(base: DataFrame) -> DataFrame:
-    return base.drop("month_ord")
+
+# --- error tables: grouping sets over one base ------------------------------------------
+
+IN_FACULTY, TABLE, UNIT = "IN_FACULTY", "TABLE", ("TEACHING_FACULTY_CD", "DEPARTMENT_CD")
+# What each table is grouped by besides month and method. The unit tables are summed by unit first
+# and then, the unit's faculty being looked up, by its abbreviation.
+TABLES: dict[str, tuple[str, ...]] = {
+    "month": (),
+    "faculty": (IN_FACULTY, *UNIT),
+    "faculty_fund": ("FUND_SOURCE", IN_FACULTY, *UNIT),
+    "course": ("FACULTY", "COURSE_CD", "COM_RET", "FUND_SOURCE"),
+}
+SHOWN = ("FUND_SOURCE", "TEACHING_FAC_ABBREV", "FACULTY", "COURSE_CD", "COM_RET")
+
+
+def error_tables(base: DataFrame, tables: Sequence[str] = tuple(TABLES), org: DataFrame | None = None,
+                 abbreviations: DataFrame | None = None, pattern: str = C.FACULTY_PATTERN,
+                 funds: Sequence[str] = C.KEY_FUND_SOURCES, by: Sequence[str] = ()) -> DataFrame:
+    """Any of the error tables as one long frame, from one pass over the base.
+
+    All levels come from one grouping-sets aggregation; the unit levels are then
+    looked up and summed again together. `TABLE` names the table a row belongs
+    to; columns that a table does not have are missing. `by` lists keys that
+    every table has too, such as the year. Only the loads, the error and the sum
+    of absolute errors are carried.
+    """
+    common = [*by, MONTH, METHOD]
+    extra = list(dict.fromkeys(c for t in tables for c in TABLES[t]))
+    every, units = [*common, *extra], [t for t in tables if IN_FACULTY in TABLES[t]]
+    rows = base.withColumn(ABS_ERROR, abs2(ERROR))
+    if units:
+        rows = rows.withColumn(IN_FACULTY, F.coalesce(F.col("TEACHING_FACULTY_NAME").contains(pattern), F.lit(False)))
+    measures = (FORECAST, ACTUAL, ERROR, ABS_ERROR)
+    sums = [sum_or_zero(m).alias(m) for m in measures]
+    if len(tables) == 1:
+        cube = rows.groupBy(*every).agg(*sums).withColumn(TABLE, F.lit(tables[0]))
+    else:
+        levels = [[F.col(c) for c in (*common, *TABLES[t])] for t in tables]
+        # The grouping id has a bit for each key that a level leaves out.
+        ids = {t: sum(1 << k for k, c in enumerate(reversed(every)) if c not in common and c not in TABLES[t]) for t in tables}
+        named = F.create_map(*[x for t, i in ids.items() for x in (F.lit(i).cast("long"), F.lit(t))])
+        cube = rows.groupingSets(levels, *[F.col(c) for c in every]).agg(F.grouping_id().alias("level"), *sums)
+        cube = cube.withColumn(TABLE, F.element_at(named, F.col("level").cast("long"))).drop("level")
+    table = F.col(TABLE)
+    if units:
+        cube = cube.where(~table.isin(*units) | F.col(IN_FACULTY)).drop(IN_FACULTY)
+    if {"faculty_fund", "course"} & set(tables):
+        cube = cube.where(~table.isin("faculty_fund", "course") | F.col("FUND_SOURCE").isin(*funds))
+    if "course" in tables:
+        cube = cube.where((table != "course") | (F.col(METHOD) == "Course"))
+    if units:
+        of_unit = table.isin(*units)
+        faculties = org.select(F.struct("DEPARTMENT_CD").alias("unit"), F.struct("DEPARTMENT").alias("named"))
+        short = abbreviations.select(F.struct(F.col("TEACHING_FACULTY_NAME").alias("DEPARTMENT")).alias("named"), "TEACHING_FAC_ABBREV")
+        # A struct is never missing, so a missing code meets a missing code; rows of other tables have no struct and meet nothing.
+        departments = org.select(F.struct("DEPARTMENT_CD").alias("department"))
+        cube = cube.withColumns({"unit": F.when(of_unit, F.struct(F.col(UNIT[0]).alias("DEPARTMENT_CD"))),
+                                 "department": F.when(of_unit, F.struct(F.col(UNIT[1]).alias("DEPARTMENT_CD")))})
+        cube = cube.join(faculties, "unit", "left").join(departments, "department", "left")
+        unknown = F.when(of_unit, F.struct(F.lit(None).cast("string").alias("DEPARTMENT")))
+        cube = cube.withColumn("named", F.coalesce("named", unknown)).join(short, "named", "left").drop("unit", "department", "named", *UNIT)
+        keys = [TABLE, *common, *[c for c in SHOWN if c in cube.columns]]
+        cube = cube.groupBy(*keys).agg(*sums)
+    total = abs2(ERROR)
+    cube = cube.withColumns({"percError": pct(ERROR, ACTUAL), "ABSpercError": pct(total, ACTUAL)})
+    missing = {c: F.lit(None).cast("string") for c in SHOWN if c not in cube.columns}
+    return cube.withColumns(missing).select(TABLE, *common, *SHOWN, *measures, "percError", "ABSpercError") if missing else (
+        cube.select(TABLE, *common, *SHOWN, *measures, "percError", "ABSpercError"))
 
 
 def error_by_month(base: DataFrame) -> DataFrame:
     """Loads, summed error and percentage by month and method."""
-    out = sum_numeric(_without_order(base), [MONTH, METHOD], "skip")
-    return out.withColumn("percError", pct(ERROR, ACTUAL))
+    return error_tables(base, ["month"]).select(MONTH, METHOD, FORECAST, ACTUAL, ERROR, "percError")
 
 
 def error_summary(base: DataFrame) -> DataFrame:
     """Loads, summed error and sum of absolute row errors by month and method."""
-    rows = _without_order(base).withColumn(ABS_ERROR, abs2(ERROR))
-    return sum_numeric(rows, [MONTH, METHOD], "skip")
+    return error_tables(base, ["month"]).select(MONTH, METHOD, FORECAST, ACTUAL, ERROR, ABS_ERROR)
 
 
 def report_table(summary: DataFrame, levels: Sequence[str]) -> DataFrame:
@@ -188,39 +337,21 @@ def report_table(summary: DataFrame, levels: Sequence[str]) -> DataFrame:
         F.col(ERROR).alias("Error"), F.col(ABS_ERROR).alias("Absolute Error"))
 
 
-def _faculty_errors(base: DataFrame, org: DataFrame, abbreviations: DataFrame,
-                    extra: Sequence[str], pattern: str,
-                    overrides: Iterable[tuple[str, str]]) -> DataFrame:
-    """Sum by unit, name the units by two lookups, sum again by faculty abbreviation."""
-    rows = _without_order(base).where(F.col("TEACHING_FACULTY_NAME").contains(pattern))
-    units = sum_numeric(rows, [*extra, "TEACHING_FACULTY_CD", "DEPARTMENT_CD", METHOD, MONTH], "skip")
-    units = null_safe_join(units, org, [("TEACHING_FACULTY_CD", "DEPARTMENT_CD")], "left")
-    units = units.withColumnRenamed("DEPARTMENT", "TEACHING_FACULTY_NAME")
-    units = null_safe_join(units, org, ["DEPARTMENT_CD"], "left")
-    units = units.withColumn("DEPARTMENT", override("DEPARTMENT_CD", "DEPARTMENT", overrides))
-    units = natural_join(units, abbreviations, "left")
-    out = sum_numeric(units, [*extra, "TEACHING_FAC_ABBREV", METHOD, MONTH], "skip")
-    return out.withColumn("percError", pct(ERROR, ACTUAL))
-
-
 def error_by_faculty(base: DataFrame, org: DataFrame, abbreviations: DataFrame,
-                     pattern: str = C.FACULTY_PATTERN,
-                     overrides: Iterable[tuple[str, str]] = C.DEPARTMENT_OVERRIDES_SHORT) -> DataFrame:
+                     pattern: str = C.FACULTY_PATTERN) -> DataFrame:
     """Error by teaching faculty, method and month."""
-    return _faculty_errors(base, org, abbreviations, [], pattern, overrides)
+    out = error_tables(base, ["faculty"], org, abbreviations, pattern)
+    return out.select("TEACHING_FAC_ABBREV", METHOD, MONTH, FORECAST, ACTUAL, ERROR, "percError")
 
 
 def error_by_faculty_fund(base: DataFrame, org: DataFrame, abbreviations: DataFrame,
                           pattern: str = C.FACULTY_PATTERN,
                           funds: Sequence[str] = C.KEY_FUND_SOURCES,
-                          short_names: dict[str, str] | None = None,
-                          overrides: Iterable[tuple[str, str]] = C.DEPARTMENT_OVERRIDES_SHORT,
-                          ) -> DataFrame:
+                          short_names: dict[str, str] | None = None) -> DataFrame:
     """Error by key fund source, teaching faculty, method and month."""
-    rows = base.where(F.col("FUND_SOURCE").isin(*funds))
-    out = _faculty_errors(rows, org, abbreviations, ["FUND_SOURCE"], pattern, overrides)
-    return out.withColumn("FUND_SOURCE_ABBREV",
-                          abbreviate("FUND_SOURCE", short_names or C.FUND_ABBREVIATIONS))
+    out = error_tables(base, ["faculty_fund"], org, abbreviations, pattern, funds)
+    return out.select("FUND_SOURCE", "TEACHING_FAC_ABBREV", METHOD, MONTH, FORECAST, ACTUAL, ERROR, "percError").withColumn(
+        "FUND_SOURCE_ABBREV", abbreviate("FUND_SOURCE", short_names or C.FUND_ABBREVIATIONS))
 
 
 def error_by_course(base: DataFrame, funds: Sequence[str] = C.KEY_FUND_SOURCES) -> DataFrame:
@@ -228,12 +359,9 @@ def error_by_course(base: DataFrame, funds: Sequence[str] = C.KEY_FUND_SOURCES)
 
     The absolute error here is that of the sum, not the sum of absolute errors.
     """
-    keys = ["FACULTY", "COURSE_CD", "COM_RET", "FUND_SOURCE", MONTH]
-    rows = base.where((F.col(METHOD) == "Course") & F.col("FUND_SOURCE").isin(*funds))
-    out = sum_numeric(_without_order(rows), keys, "skip").withColumn(ABS_ERROR, abs2(ERROR))
-    out = out.withColumns({"percError": pct(ERROR, ACTUAL), "ABSpercError": pct(ABS_ERROR, ACTUAL)})
-    return out.where(not_infinite("ABSpercError")).withColumn(
-        "row_id", paste("FACULTY", "COURSE_CD", "COM_RET", "FUND_SOURCE"))
+    out = error_tables(base, ["course"], funds=funds).where(not_infinite("ABSpercError"))
+    return out.select("FACULTY", "COURSE_CD", "COM_RET", "FUND_SOURCE", MONTH, FORECAST, ACTUAL, ERROR, abs2(ERROR).alias(ABS_ERROR),
+                      "percError", "ABSpercError", paste("FACULTY", "COURSE_CD", "COM_RET", "FUND_SOURCE").alias("row_id"))
 
 
 def workload_report(rows: DataFrame, month: str = "June") -> DataFrame:

@@ -10,6 +10,7 @@ them into doubles at the very end.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
@@ -22,7 +23,7 @@ from loadkit.functions import rules as R
 from loadkit.operators.aggregates import add_total_member, rollup_into
 from loadkit.operators.joins import left_lookup
 from loadkit.operators.reshape import pivot_fixed, unpivot_drop_null
-from loadkit.operators.snapshots import latest_run, latest_version, resolve_snapshots
+from loadkit.operators.snapshots import latest_run, latest_version, resolve_snapshots, run_date
 from loadkit.schema import as_double, exact, sum_load
 
 BUCKET_KEYS = ("YEAR", "FUND", "HOME_FLAG", "FACULTY", "DEGREE_FACULTY", "COURSE_LEVEL",
@@ -111,6 +112,9 @@ def _plan_rows(t: PlanningTables, versions: DataFrame, y: int, rules: C.Planning
     """Plan years of last year's buckets, and last year's plan for the reference year."""
     plan_year = F.col("PLAN_YEAR").cast("int")
     plans = t.plan_details.where(plan_year.between(y, y + 4))
+    # Rows of other years' buckets vanish below anyway; without them the sum is of a fraction of the fact.
+    of_year = t.key_attributes_master.where(F.col("REFERENCE_YEAR") == y - 1).select("KEY_ATTRIBUTES_MASTER_ID")
+    plans = plans.join(of_year, "KEY_ATTRIBUTES_MASTER_ID", "left_semi")
     ids = ["KEY_ATTRIBUTES_MASTER_ID", "COURSE_CD", "SCA_LOCATION_CD", "PLAN_YEAR", "REVIEWED"]
     long = _wide_fact(plans, ids, "COMMENCING_LOAD", "RETURNING_LOAD")
     rows = _bucket_rows(long, t, versions, "COMMENCING_LOAD", rules, bucket_year=y - 1)
@@ -254,11 +258,13 @@ def _label(rows: DataFrame, rules: C.PlanningRules) -> DataFrame:
     }).select(*output_columns(rules))
 
 
-def planned_load(t: PlanningTables, ref_year: int, as_of: date,
+def planned_load(t: PlanningTables, ref_year: int | None = None, as_of: date | None = None,
                  rules: C.PlanningRules | None = None, set_mode: str = "reference",
                  dedupe_dims: bool = False, forecast_version_date: date | None = None) -> DataFrame:
     """All labelled measures in long form.
 
+    The run date `as_of` is the session's current date unless given, and the
+    reference year is its year; both are settled once and hold for all measures.
     `set_mode="reference"` ends with DISTINCT, which also merges two year levels
     of one band that have equal loads; `"exact"` sums them. `dedupe_dims` joins
     the degree faculty on the year too. `forecast_version_date` is the version
@@ -267,7 +273,9 @@ def planned_load(t: PlanningTables, ref_year: int, as_of: date,
     if set_mode not in {"reference", "exact"}:
         raise ValueError(f"unknown set mode {set_mode!r}")
     rules = rules or C.PlanningRules()
-    y, bound = ref_year, date(ref_year + 5, 1, 1)
+    as_of = run_date(t.unit_load.sparkSession, as_of)
+    y = as_of.year if ref_year is None else ref_year
+    bound = date(y + 5, 1, 1)
     versions = latest_version(t.course_version, bound)
     forecast_versions = (versions if forecast_version_date in (None, bound)
                          else latest_version(t.course_version, forecast_version_date))
@@ -297,19 +305,23 @@ def _template(planned: DataFrame) -> DataFrame:
     cells = [*named, C.PLANNING_FORECAST, C.MONITORING_FORECAST, C.NO_MEASURE]
     filled = planned.fillna({"FUND_SOURCE": C.UNCLASSIFIED, "DESIGNATED_IND": "Non-CSP"})
     filled = filled.select(*ids, "MEASURE", exact(filled, "EFTSL").alias("EFTSL"))
-    wide = pivot_fixed(filled, ids, "MEASURE", "EFTSL", cells).fillna(0, subset=cells)
+    wide = pivot_fixed(filled, ids, "MEASURE", "EFTSL", cells)
+    # Tested before the cells are filled: a condition on the filled cells would be restated by the
+    # optimizer for each subset of them as soon as a user filters the template.
     any_load = F.expr(" OR ".join(f"`{c}` <> 0" for c in cells))
-    return (wide.where(any_load).withColumn("Plan Year 5", F.col("`Plan Year 4`"))
+    return (wide.where(any_load).fillna(0, subset=cells).withColumn("Plan Year 5", F.col("`Plan Year 4`"))
             .select(*ids, *[f"`{m}`" for m in C.TEMPLATE_MEASURES]))
 
 
-def _totals(template: DataFrame) -> DataFrame:
-    return add_total_member(template, C.TEMPLATE_IDS, "UNIT_MODE", C.TEMPLATE_MEASURES)
+def _totals(template: DataFrame, dealt_by: Sequence[str] | None = None) -> DataFrame:
+    return add_total_member(template, C.TEMPLATE_IDS, "UNIT_MODE", C.TEMPLATE_MEASURES, dealt_by=dealt_by)
+
+
+ROLLUP_KEYS = tuple(k for k in C.TEMPLATE_IDS if k not in ("COURSE_CD", "COURSE_DESCRIPTION"))
 
 
 def _rollup(totals: DataFrame, level: str) -> DataFrame:
-    keys = [k for k in C.TEMPLATE_IDS if k not in ("COURSE_CD", "COURSE_DESCRIPTION")]
-    return rollup_into(totals, F.col("COURSE_LEVEL") == level, keys,
+    return rollup_into(totals, F.col("COURSE_LEVEL") == level, ROLLUP_KEYS,
                        {"COURSE_CD": C.BUCKET, "COURSE_DESCRIPTION": C.BUCKET},
                        C.TEMPLATE_MEASURES)
 
@@ -334,7 +346,8 @@ def template_with_totals(planned: DataFrame) -> DataFrame:
 
 def template_with_rollup(planned: DataFrame, level: str = C.ROLLUP_LEVEL) -> DataFrame:
     """Template with totals in which the courses of one level become one bucket row too."""
-    return _loads(_rollup(_totals(_template(planned)), level))
+    # Dealt by the keys of the roll-up, totals and roll-up need one shuffle after the pivot together.
+    return _loads(_rollup(_totals(_template(planned), ROLLUP_KEYS), level))
 
 
 def in_report_order(template: DataFrame) -> DataFrame:

@@ -159,3 +159,46 @@ def test_course_forecast_extract(frame):
         frame("DEGREE_FACULTY_ID long, DEGREE_FACULTY_NAME string, REFERENCE_YEAR int", (1, "Medicine", 2018), (2, "Science", 2018), (1, "x", 2017)))
     assert bag(out, "FORECAST_LOAD_ID", "TEACHING_FACULTY_DESCRIPTION", "TR_ORG_UNIT_CD_DESCRIPTION", "FACULTY", "DEGREE_FACULTY",
                "FUND_SOURCE_DESCRIPTION", "FCAST_MONTH") == [(1, "Arts", None, "Science", "Medicine", "CSP", "March")]
+
+
+def test_years_have_their_own_months_and_corrections(spark, frame):
+    actuals = frame(ACTUAL, actual("a", "A", 1.0), actual("a", "A", 2.0, year=2019), actual("a", "A", 3.0, year=2020), actual("a", "A", 4.0, year=None))
+    rows = frame(FORECAST, forecast("a", "March", 5.0), forecast("a", "July", 6.0), forecast("a", "June", 7.0, year=2019), forecast("a", "July", 8.0, year=2019))
+    corrections = A.override_rules(spark, {2018: (("50000982", "x"), ("50000982", "WATER STUDIES CENTRE"))})
+    out = A.align_years(actuals, rows, "course", corrections)
+    assert bag(out, "YEAR", "FCAST_MONTH", "DEPARTMENT", "FCAST_EFTSL", "ACTUALS_EFTSL") == [
+        (2018, "July", "WATER STUDIES CENTRE", 6.0, 1.0), (2018, "March", "WATER STUDIES CENTRE", 5.0, 1.0),
+        (2019, "July", "OLD NAME", 8.0, None), (2019, "July", "WATER STUDIES CENTRE", None, 2.0),
+        (2019, "June", "OLD NAME", 7.0, None), (2019, "June", "WATER STUDIES CENTRE", None, 2.0)]
+    for year in (2018, 2019):
+        one = A.align_forecast(actuals, rows, year, "course", (("50000982", "WATER STUDIES CENTRE"),) if year == 2018 else ())
+        assert bag(out.where(f"YEAR = {year}").drop("YEAR"), *one.columns) == bag(one)
+    base = A.error_base_years(A.consolidate(out, out.drop("COURSE_CD", "COURSE_DESCRIPTION")), A.month_rules(spark, C.MONTH_LEVELS), SCOPE)
+    assert {(r.YEAR, r.FCAST_MONTH, r.month_ord) for r in base.collect()} == {(2018, "March", 1), (2018, "July", 3), (2019, "June", 2), (2019, None, None)}
+
+
+def test_all_tables_at_once_equal_each_alone(base, frame):
+    org = A.active_org_lookup(frame("ORG_UNIT_CD string, DESCRIPTION string, ORG_STATUS string", ("1", "FACULTY OF ARTS", "ACTIVE"),
+                                    ("2", "FACULTY OF LAW", "INACTIVE"), ("11", "WATER", "ACTIVE")))
+    short = frame("TEACHING_FACULTY_NAME string, TEACHING_FAC_ABBREV string", ("FACULTY OF ARTS", "ART"), (None, "NONE"))
+    every = A.error_tables(base, org=org, abbreviations=short)
+    for table in A.TABLES:
+        alone = A.error_tables(base, [table], org, short)
+        assert str(bag(every.where(F.col(A.TABLE) == table))) == str(bag(alone)) != "[]"  # as text, because NaN differs from itself
+    plan = every._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Expand") == 1
+
+
+def test_accuracy_totals_name_what_the_alignment_counts_twice(aligned):
+    actuals, forecasts = aligned
+    parts = {"Course": (A.forecast_summary(forecasts, 2018, A.COURSE_FORECAST_KEYS, ()), A.actuals_summary(actuals, 2018, A.COURSE_ACTUAL_KEYS),
+                        A.align_forecast(actuals, forecasts, 2018, "course", ()))}
+    # Without corrections no department name meets; with them the course with two descriptions doubles its forecasts.
+    rows = {r.check_name: r for r in A.accuracy_totals(parts).collect()}
+    assert all(r.ok for r in rows.values()) and float(rows["Course:ACTUALS_EFTSL"].expected) == 14.0
+    fixes = (("50000982", "WATER STUDIES CENTRE"),)
+    parts = {"Course": (A.forecast_summary(forecasts, 2018, A.COURSE_FORECAST_KEYS, fixes), parts["Course"][1],
+                        A.align_forecast(actuals, forecasts, 2018, "course", fixes))}
+    rows = {r.check_name: r for r in A.accuracy_totals(parts).collect()}
+    assert float(rows["Course:FCAST_EFTSL"].difference) == 11.0 and not rows["Course:rows with a forecast"].ok
+    assert rows["Course:ACTUALS_EFTSL"].ok

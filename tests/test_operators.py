@@ -1,3 +1,4 @@
+import collections
 import random
 from datetime import date
 
@@ -6,8 +7,8 @@ from conftest import bag
 from pyspark.sql import functions as F
 
 from loadkit.operators import (
-    add_total_member, align_by_slice, bind_tagged, conservation_check, group_checks, latest_by_date, latest_by_id,
-    latest_version, left_lookup, natural_join, null_safe_join, pivot_fixed, point_in_time, reconcile,
+    Check, Side, add_total_member, align_by_slice, bind_tagged, conservation_check, group_checks, latest_by_date, latest_by_id,
+    latest_version, left_lookup, natural_join, null_safe_join, pivot_fixed, point_in_time, reconcile, report,
     resolve_snapshots, rollup_into, row_checks, sum_numeric, union_distinct, unpivot_drop_null)
 
 
@@ -173,6 +174,66 @@ def test_align_hot_key_matches_brute_force(frame):
     assert bag(out) == brute_align(forecast, actual, ["March", "June"])
 
 
+@pytest.mark.parametrize("key", [("hot", 1), (None, None)])
+@pytest.mark.parametrize("spread", [1, 7])
+def test_one_key_holds_most_actual_rows(frame, key, spread):
+    """The hot key, and keys on one side only, with the rows of a key dealt over several tasks."""
+    forecast = [(*key, "March", 1.0), (*key, "June", 2.0), (*key, "June", 3.0), ("only", 5, "July", 4.0), (None, 5, "June", 5.0), ("x", 9, None, 6.0)]
+    actual = [(*key, f"d{i}", float(i)) for i in range(300)] + [("mine", 3, "d", 1.0), ("x", 9, "d", 2.0)]
+    out = align_by_slice(frame("k string, n int, month string, fc double", *forecast),
+                         frame("k string, n int, descr string, ac double", *actual), "month", spread=spread)
+    assert bag(out) == brute_align(forecast, actual, ["March", "June", "July"])
+
+
+def test_dealt_rows_of_a_hot_key_reach_several_tasks(spark, frame):
+    f = frame("k string, month string, fc double", ("hot", "March", 1.0))
+    a = spark.range(4000).selectExpr("if(id >= 0, 'hot', 'x') AS k", "id AS v")
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+
+        def rows_of_a_task(spread):
+            out = align_by_slice(f, a, "month", spread=spread).select(F.spark_partition_id().alias("task"), "v")
+            return sorted(collections.Counter(r.task for r in out.collect()).values())
+        assert rows_of_a_task(1) == [4000] and max(rows_of_a_task(16)) < 1500
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_slices_of_each_scope(frame):
+    """A year has the months of its own forecasts; a year without any has no rows."""
+    f = frame("y int, k string, month string, fc double", (1, "a", "March", 1.0), (1, "b", "June", 2.0), (2, "a", "May", 3.0), (3, "a", None, 4.0))
+    a = frame("y int, k string, ac double", (1, "a", 10.0), (2, "z", 20.0), (3, "a", 30.0), (4, "a", 40.0))
+    assert bag(align_by_slice(f, a, "month", within=["y"])) == [
+        (1, "a", "June", None, 10.0), (1, "a", "March", 1.0, 10.0), (1, "b", "June", 2.0, None), (2, "a", "May", 3.0, None), (2, "z", "May", None, 20.0)]
+
+
+def test_too_many_slices_raise(frame):
+    f = frame("k string, month string, fc double", *[("a", f"m{i}", 1.0) for i in range(5)])
+    with pytest.raises(Exception, match="more slices"):
+        align_by_slice(f, frame("k string, ac double", ("a", 1.0)), "month", most_slices=4).collect()
+
+
+def test_checks_of_one_report_read_their_frames_once(frame):
+    one = frame("v double, g string", (1.0, "x"), (2.0, "y"), (None, "z"))
+    two = frame("w double", (3.0,))
+    v, g = F.col("v"), F.col("g")
+    rows = report({"one": one, "two": two}, [
+        Check("total", Side("one", "total", v), Side("two", "total", F.col("w"))),
+        Check("rows", Side("one", "rows"), Side("two", "rows")),
+        Check("no row", Side("one", "sum", v, g == "q"), Side("two", "sum", F.col("w"), F.col("w") < 0)),
+        Check("no value", Side("one", "sum", v, g == "z"), Side("one", "total", v, g == "q")),
+        Check("largest", Side("one", "max", v), Side("two", "max", F.col("w")))])
+    got = {r.check_name: (None if r.expected is None else float(r.expected), None if r.actual is None else float(r.actual), r.ok) for r in rows.collect()}
+    assert got == {"total": (3.0, 3.0, True), "rows": (3.0, 1.0, False), "no row": (None, None, True), "no value": (0.0, 0.0, True),
+                   "largest": (2.0, 3.0, False)}
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("LocalTableScan") <= 2 and plan.count("Exchange") == 1
+
+
 def test_checks(frame):
     wide = frame("f double, p double, q double", (10.0, 4.0, 6.0), (5.0, None, 4.0))
     row = conservation_check("parts", wide, "f", ["p", "q"]).first()

@@ -5,7 +5,7 @@ from conftest import bag
 from pyspark.sql import functions as F
 
 from loadkit.schema import SCHEMAS
-from loadkit.sources import read_csv, read_extract, read_query, read_table, read_tagged, read_tsv, register_views, run_sql_file, write_csv
+from loadkit.sources import publish_csv, read_csv, read_extract, read_inferred, read_query, read_table, read_tagged, read_tsv, register_views, run_sql_file, write_csv
 
 
 def test_tsv_reads_blank_and_na_as_missing(spark, tmp_path):
@@ -110,3 +110,32 @@ def test_database_reader_options():
                            "lowerBound": "1", "upperBound": "9", "numPartitions": "4"}
     with pytest.raises(ValueError):
         read_table(FakeSpark(), "jdbc:x", "UNIT_LOAD", partition_column="SNAPSHOT_ID")
+
+
+def test_types_come_from_the_sample_and_misfits_are_told(spark, tmp_path):
+    one, two = tmp_path / "one.tsv", tmp_path / "two.tsv"
+    one.write_text("code\tyear\tload\tday\tnote\tblank\n" + "".join(f"007\t{2018 + i}\t{i}.5\t2019-0{i + 1}-01\tn{i}\t\n" for i in range(3))
+                   + "008\tTotal\tn/a\t2019-13-01\tNA\t\n009\t2018.0\t1e3\t2019-04-01\t\t7\n")
+    two.write_text("code\tyear\tload\tday\tnote\tblank\n010\t2021\t4\t2019-05-01\t5\t\n")
+    got = read_inferred(spark, [str(one), str(two)], sep="\t", sample=3, as_text=["code"])
+    assert [f.dataType.simpleString() for f in got.schema] == ["string", "bigint", "double", "date", "string", "string"]
+    assert bag(got.table, "code", "year", "load", "note", "blank") == [
+        ("007", 2018, 0.5, "n0", None), ("007", 2019, 1.5, "n1", None), ("007", 2020, 2.5, "n2", None), ("008", None, None, None, None),
+        ("009", None, 1000.0, None, "7"), ("010", 2021, 4.0, "5", None)]
+    rows = got.rejects.orderBy("position", "column").collect()
+    assert [(r.file.split("/")[-1], r.column, r.value, r.type) for r in rows] == [
+        ("one.tsv", "day", "2019-13-01", "date"), ("one.tsv", "load", "n/a", "double"), ("one.tsv", "year", "Total", "bigint"),
+        ("one.tsv", "year", "2018.0", "bigint")]
+    # A larger sample sees the misfits and falls back to types that hold them.
+    wide = read_inferred(spark, str(one), sep="\t", sample=100)
+    assert [f.dataType.simpleString() for f in wide.schema] == ["bigint", "string", "string", "string", "string", "bigint"]
+    assert wide.rejects.collect() == [] and spark.read.csv(str(one), header=True).count() == 5
+
+
+def test_published_file_is_sorted_named_from_the_data_and_computed_once(spark, tmp_path, frame):
+    rows = frame("k string, v decimal(18,4)", ("b", "2"), ("a", "1.5"), (None, None))
+    path = publish_csv(rows, str(tmp_path), lambda staged: f"load {staged.agg(F.max('k')).first()[0]}.csv", order=["k"])
+    assert path.endswith("load b.csv")
+    parts = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert len(parts) == 1 and (tmp_path / "load b.csv" / parts[0]).read_text().splitlines() == ["k,v", "a,1.5", "b,2.0", "NA,NA"]
+    assert len(os.listdir(tmp_path / "_staging")) == 1

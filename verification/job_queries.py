@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from loadkit.plans import designation as G
@@ -334,6 +336,118 @@ def q16_error_by_course(t):
     return _flagged(A.error_by_course(_base(t)), "percError", "ABSpercError")
 
 
+# --- accuracy, two years in one plan ------------------------------------------------
+
+# The second year has no corrections of names, and fewer months in its report.
+SECOND_MONTHS = ("March", "June", "September")
+_CORRECTION = """CASE WHEN TR_ORG_UNIT_CD IS NULL THEN NULL WHEN TR_ORG_UNIT_CD = 'D2' THEN 'WATER STUDIES CENTRE'
+      WHEN TR_ORG_UNIT_CD = 'D5' THEN 'NA' ELSE upper(TR_ORG_UNIT_CD_DESCRIPTION) END"""
+
+
+def _of_second_year() -> dict[str, str]:
+    """The definitions above for the year before: `<name>_second`."""
+    own = [name for name in ACCURACY if name != "org"]
+
+    def second(text: str) -> str:
+        text = text.replace(_CORRECTION, "upper(TR_ORG_UNIT_CD_DESCRIPTION)").replace("1998", "1997").replace("'March', 'June', 'July', 'September'", "'March', 'June', 'September'")
+        return re.sub(rf"\b({'|'.join(own)})\b", r"\1_second", text)
+
+    return {f"{name}_second": second(ACCURACY[name]) for name in own}
+
+
+TWO_YEARS = {**ACCURACY, **_of_second_year()}
+YEARS = {S.ACCURACY_YEAR: S.MONTHS, S.ACCURACY_YEAR - 1: SECOND_MONTHS}
+
+
+def _years(t, level):
+    forecast = {"course": S.course_forecast_extract, "bucket": S.bucket_forecast}[level](t)
+    rules = A.override_rules(t.spark, {S.ACCURACY_YEAR: S.OVERRIDES})
+    return A.align_years(S.actuals_extract(t), forecast, level, rules, list(YEARS))
+
+
+def _base_years(t):
+    both = A.consolidate(_years(t, "course"), _years(t, "bucket"))
+    return A.error_base_years(both, A.month_rules(t.spark, YEARS), S.SCOPE)
+
+
+def _both_years(table: str, *columns: str) -> str:
+    return (f"SELECT 1998::INTEGER AS YEAR, t.* FROM ({_as_double(table, *columns)}) t "
+            f"UNION ALL BY NAME SELECT 1997::INTEGER AS YEAR, t.* FROM ({_as_double(table + '_second', *columns)}) t")
+
+
+@register("q9_two_years", _both_years("course_aligned", "FCAST_EFTSL", "ACTUALS_EFTSL"), TWO_YEARS)
+def q9_two_years(t):
+    """Course forecast beside actual load for two years, which differ in their months and corrections."""
+    return _years(t, "course")
+
+
+@register("q9_two_years_bucket", _both_years("bucket_aligned", "FCAST_EFTSL", "ACTUALS_EFTSL"), TWO_YEARS)
+def q9_two_years_bucket(t):
+    """Bucket forecast beside actual load for two years."""
+    return _years(t, "bucket")
+
+
+@register("q11_error_base_second_year", "SELECT * EXCLUDE (cents) REPLACE (CAST(FCAST_EFTSL AS DOUBLE) AS FCAST_EFTSL, "
+          "CAST(ACTUALS_EFTSL AS DOUBLE) AS ACTUALS_EFTSL), 1997::INTEGER AS YEAR FROM error_base_second", TWO_YEARS)
+def q11_error_base_second_year(t):
+    """The base of the error tables for the second year, out of the plan of both."""
+    return _base_years(t).where(F.col("YEAR") == S.ACCURACY_YEAR - 1)
+
+
+def _table_sql(table: str, base: str, year: int) -> str:
+    """One of the error tables in the columns that all of them share."""
+    keys = {"month": "", "faculty": "TEACHING_FAC_ABBREV, ", "faculty_fund": "FUND_SOURCE, TEACHING_FAC_ABBREV, ",
+            "course": "FUND_SOURCE, FACULTY, COURSE_CD, COM_RET, "}[table]
+    sums = f"{_SUMS}, sum(abs(cents)) AS ae"
+    if table in ("month", "course"):
+        scope = "" if table == "month" else f" WHERE FCAST_TYPE = 'Course' AND FUND_SOURCE IN ({_FUNDS})"
+        rows = f"SELECT {keys}FCAST_MONTH, FCAST_TYPE, {sums} FROM {base}{scope} GROUP BY ALL"
+    else:
+        fund = "FUND_SOURCE, " if table == "faculty_fund" else ""
+        scope = f" AND FUND_SOURCE IN ({_FUNDS})" if fund else ""
+        rows = f"""SELECT {keys}FCAST_MONTH, FCAST_TYPE, sum(f) AS f, sum(a) AS a, sum(e) AS e, sum(ae) AS ae FROM (
+            SELECT {fund}TEACHING_FACULTY_CD, DEPARTMENT_CD, FCAST_TYPE, FCAST_MONTH, {sums} FROM {base}
+            WHERE contains(TEACHING_FACULTY_NAME, 'FACULTY OF'){scope} GROUP BY ALL) u
+          LEFT JOIN org t ON u.TEACHING_FACULTY_CD IS NOT DISTINCT FROM t.DEPARTMENT_CD
+          LEFT JOIN org d ON u.DEPARTMENT_CD IS NOT DISTINCT FROM d.DEPARTMENT_CD
+          LEFT JOIN teaching_faculty_abbrev x ON t.DEPARTMENT IS NOT DISTINCT FROM x.TEACHING_FACULTY_NAME GROUP BY ALL"""
+    every = ("FUND_SOURCE", "TEACHING_FAC_ABBREV", "FACULTY", "COURSE_CD", "COM_RET")
+    shown = ", ".join(c if f"{c}, " in keys else f"CAST(NULL AS VARCHAR) AS {c}" for c in every)
+    return f"""SELECT '{table}' AS "TABLE", {year}::INTEGER AS YEAR, FCAST_MONTH, FCAST_TYPE, {shown}, {_LOADS}, {_ERROR} AS ForecastError,
+        ae / CAST(100 AS DOUBLE) AS ABSForecastError, {_flagged_sql('percError', _ERROR)}, {_flagged_sql('ABSpercError', f'abs({_ERROR})')} FROM ({rows})"""
+
+
+@register("q12_q16_error_tables", " UNION ALL BY NAME ".join(
+    _table_sql(table, base, year) for table in A.TABLES for base, year in (("error_base", 1998), ("error_base_second", 1997))), TWO_YEARS)
+def q12_q16_error_tables(t):
+    """All error tables of both years from one plan: one base, one grouping-sets aggregation."""
+    out = A.error_tables(_base_years(t), org=A.active_org_lookup(S.org_unit(t)), abbreviations=S.teaching_faculty_abbrev(t), by=["YEAR"])
+    return _flagged(out, "percError", "ABSpercError")
+
+
+def _total_sql(method: str, forecast: str, actual: str, aligned: str) -> str:
+    months = f"(SELECT count(DISTINCT FCAST_MONTH) FROM {forecast})"
+    return f"""SELECT '{method}:FCAST_EFTSL' AS check_name, (SELECT sum(FCAST_EFTSL) FROM {forecast} WHERE FCAST_MONTH IS NOT NULL) AS expected,
+        (SELECT sum(FCAST_EFTSL) FROM {aligned}) AS actual
+      UNION ALL SELECT '{method}:ACTUALS_EFTSL', (SELECT sum(ACTUALS_EFTSL) FROM {actual}) * {months}, (SELECT sum(ACTUALS_EFTSL) FROM {aligned})
+      UNION ALL SELECT '{method}:rows with a forecast', (SELECT count(*) FROM {forecast} WHERE FCAST_MONTH IS NOT NULL),
+        (SELECT count(FCAST_EFTSL) FROM {aligned})"""
+
+
+@register("k2_accuracy_totals", f"""SELECT check_name, CAST(expected AS DOUBLE) AS expected, CAST(actual AS DOUBLE) AS actual,
+    CAST(actual - expected AS DOUBLE) AS difference, expected = actual AS ok FROM (
+    {_total_sql("Course", "course_forecast", "course_actual", "course_aligned")} UNION ALL
+    {_total_sql("Bucket", "bucket_forecast_sum", "bucket_actual", "bucket_aligned")})""", ACCURACY)
+def k2_accuracy_totals(t):
+    """Loads of both methods before and after the alignment, which counts a forecast again for every actual row it meets."""
+    actuals, parts = S.actuals_extract(t), {}
+    for method, forecast, keys, own, aligned in (
+            ("Course", S.course_forecast_extract(t), A.COURSE_FORECAST_KEYS, A.COURSE_ACTUAL_KEYS, _course(t)),
+            ("Bucket", S.bucket_forecast(t), A.BUCKET_FORECAST_KEYS, A.BUCKET_ACTUAL_KEYS, _bucket(t))):
+        parts[method] = (A.forecast_summary(forecast, S.ACCURACY_YEAR, keys, S.OVERRIDES), A.actuals_summary(actuals, S.ACCURACY_YEAR, own), aligned)
+    return A.accuracy_totals(parts)
+
+
 @register("q17_workload_rows", """
     SELECT o_orderpriority AS "Faculty", count(DISTINCT o_custkey) AS "Bucket Forecast Row #", count(*) AS "Course Code Row #",
            count(*) / count(DISTINCT o_custkey) AS "Course Code:Bucket Workload Ratio"

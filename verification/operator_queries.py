@@ -6,7 +6,9 @@ tables have none.
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -23,6 +25,8 @@ from loadkit.operators import (
     unpivot_drop_null)
 from loadkit.plans.forecast_accuracy import month_order
 from loadkit.schema import decimals_to_double, sum_load
+from loadkit.sources import read_inferred, register_views, run_sql_file
+from loadkit.sources.staging import shared_folder
 from verification import standin as S
 from verification.standin import Tables, load, mapped
 from verification.standin_sql import DEC, FUND, half_even, with_ctes
@@ -62,6 +66,42 @@ def s3_param_year(t):
         GROUP BY 1, 2""", args={"y": S.REF_YEAR, "priority": "1-URGENT"}, orders=t.orders)
 
 
+@register("s2_sql_file", """
+    SELECT o_orderstatus, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,4))) AS DOUBLE) AS total
+    FROM orders WHERE year(o_orderdate) >= 1997 AND o_orderpriority <> '5-LOW' GROUP BY o_orderstatus""")
+def s2_sql_file(t):
+    """A statement kept in a file, run over a registered view with named parameters."""
+    register_views({"order_rows": t.orders})
+    return run_sql_file(t.spark, str(Path(__file__).parent / "statements" / "order_totals.sql"), {"first_year": 1997, "skipped": "5-LOW"})
+
+
+@register("s4_sampled_types", """
+    SELECT 'table' AS part, o_orderstatus AS name, count(*) AS n, count(CASE WHEN o_orderstatus <> 'P' THEN 1 END) AS customers,
+           count(nullif(o_orderpriority, '1-URGENT')) AS priorities, CAST(sum(o_orderkey) AS BIGINT) AS keys,
+           CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS price, strftime(min(o_orderdate), '%Y-%m-%d') AS first,
+           min(right('00' || CAST(o_custkey % 100 AS VARCHAR), 2)) AS code
+    FROM orders GROUP BY o_orderstatus
+    UNION ALL SELECT 'rejects', 'customer', count(*), 0, 0, 0, NULL, min('c' || CAST(o_custkey AS VARCHAR)), 'bigint' FROM orders WHERE o_orderstatus = 'P'""")
+def s4_sampled_types(t):
+    """The orders written as text and read without a schema; values beyond the sample that do not fit are told apart."""
+    status, customer = F.col("o_orderstatus"), F.col("o_custkey").cast("string")
+    text = t.orders.select(
+        F.col("o_orderkey").alias("key"), "o_orderstatus", F.when(status == "P", F.concat(F.lit("c"), customer)).otherwise(customer).alias("customer"),
+        F.lpad((F.col("o_custkey") % 100).cast("string"), 2, "0").alias("code"), F.col("o_totalprice").cast("decimal(18,2)").alias("price"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), null_if("o_orderpriority", "1-URGENT").alias("priority"))
+    path = f"{shared_folder(t.spark)}/orders-{uuid.uuid4().hex}"
+    text.sortWithinPartitions("o_orderstatus").write.csv(path, header=True, nullValue="NA")
+    got = read_inferred(t.spark, path, sample=200, as_text=["code"])
+    none = F.lit(None).cast("double")
+    table = got.table.groupBy(F.lit("table").alias("part"), F.col("o_orderstatus").alias("name")).agg(
+        F.count(F.lit(1)).alias("n"), F.count("customer").alias("customers"), F.count("priority").alias("priorities"), F.sum("key").alias("keys"),
+        F.sum(F.col("price").cast("decimal(18,2)")).cast("double").alias("price"), F.min("day").cast("string").alias("first"), F.min("code").alias("code"))
+    rejects = got.rejects.groupBy(F.lit("rejects").alias("part"), F.col("column").alias("name"), F.col("type").alias("code")).agg(
+        F.count(F.lit(1)).alias("n"), F.lit(0).cast("long").alias("customers"), F.lit(0).cast("long").alias("priorities"),
+        F.lit(0).cast("long").alias("keys"), none.alias("price"), F.min("value").alias("first"))
+    return table.unionByName(rejects)
+
+
 @register("p1_project_range", """
     SELECT l_orderkey AS order_key, l_partkey, l_suppkey, l_linenumber, l_quantity AS "Plan Year 4",
            l_quantity AS "Plan Year 5", 'TOTAL' AS unit_mode, l_quantity * 2 AS twice FROM lineitem""")
@@ -428,6 +468,29 @@ def j10_per_month_full(t):
     return _monthly(t)
 
 
+_HOT = {
+    "hot_forecast": f"""SELECT nullif(o_orderstatus, 'P') AS status, nullif(o_orderpriority, '5-LOW') AS month,
+        sum({D('o_totalprice')}) AS forecast FROM orders WHERE o_orderstatus <> 'O' GROUP BY ALL""",
+    "hot_actual": f"""SELECT nullif(o_orderstatus, 'P') AS status, l_orderkey, l_linenumber, {D('l_quantity')} AS actual
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    "hot_aligned": """SELECT coalesce(f.status, a.status) AS status, coalesce(f.month, a.m) AS month, f.forecast, a.l_orderkey, a.l_linenumber, a.actual
+        FROM (SELECT * FROM hot_forecast WHERE month IS NOT NULL) f
+        FULL JOIN (SELECT * FROM hot_actual, (SELECT DISTINCT month AS m FROM hot_forecast WHERE month IS NOT NULL) m) a
+        ON f.status IS NOT DISTINCT FROM a.status AND f.month = a.m""",
+}
+
+
+@register("j10_hot_keys", """
+    SELECT * REPLACE (CAST(forecast AS DOUBLE) AS forecast, CAST(actual AS DOUBLE) AS actual) FROM hot_aligned""", _HOT)
+def j10_hot_keys(t):
+    """Raw order lines under three keys, one of them missing: the rows of a key are dealt over several tasks."""
+    status = null_if("o_orderstatus", "P").alias("status")
+    forecast = (t.orders.where(F.col("o_orderstatus") != "O").groupBy(status, null_if("o_orderpriority", "5-LOW").alias("month"))
+                .agg(F.sum(load("o_totalprice")).alias("forecast")))
+    actual = S.order_lines(t).select(status, "l_orderkey", "l_linenumber", load("l_quantity").alias("actual"))
+    return align_by_slice(forecast, actual, "month", spread=32)
+
+
 @register("j11_tagged_consolidate", f"""
     SELECT 'Course' AS kind, o_orderstatus AS status, o_orderpriority AS course, CAST(sum({D('o_totalprice')}) AS DOUBLE) AS load
     FROM orders GROUP BY ALL
@@ -581,7 +644,7 @@ def a14_two_level(t):
 
 
 _ORDER_ERRORS = {
-    "line_totals": f"""SELECT l_orderkey, sum({D('CASE WHEN l_orderkey % 7 <> 0 THEN l_extendedprice END')}) AS actual FROM lineitem GROUP BY 1""",
+    "line_totals": f"""SELECT l_orderkey, sum({D('l_extendedprice')}) AS actual FROM lineitem GROUP BY 1""",
     "order_errors": f"""SELECT o_orderkey, o_orderstatus AS status, o_orderpriority AS month,
         CASE WHEN o_orderstatus = 'P' THEN 0 ELSE {D('o_totalprice')} END AS forecast, coalesce(actual, 0) AS actual
         FROM orders LEFT JOIN line_totals ON o_orderkey = l_orderkey""",
@@ -589,8 +652,8 @@ _ORDER_ERRORS = {
 
 
 def _order_errors(t):
-    totals = t.lineitem.groupBy("l_orderkey").agg(
-        F.sum(load(F.when(F.col("l_orderkey") % 7 != 0, F.col("l_extendedprice")))).alias("actual"))
+    # Orders without lines have no actual load.
+    totals = t.lineitem.groupBy("l_orderkey").agg(F.sum(load("l_extendedprice")).alias("actual"))
     rows = left_lookup(t.orders, totals, {"o_orderkey": "l_orderkey"}, {"actual": "actual"})
     return rows.select("o_orderkey", F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("month"),
                        F.when(F.col("o_orderstatus") == "P", F.lit(0).cast("decimal(18,4)")).otherwise(load("o_totalprice"))

@@ -81,10 +81,6 @@ def campus_of(number: Column) -> Column:
     return mapped(number % 3, {0: "A", 1: "N", 2: "R"})
 
 
-def month_id(when: Column) -> Column:
-    return (F.year(when) * 100 + F.month(when)).cast("long")
-
-
 # --- catalogues and dimensions -----------------------------------------------
 
 def aggregation_control(t: Tables) -> DataFrame:
@@ -95,13 +91,17 @@ def aggregation_control(t: Tables) -> DataFrame:
                          F.make_date("y", "m", F.lit(1)).alias("SNAPSHOT_DATE"))
 
 
+def run_id(when: Column) -> Column:
+    """Runs are numbered so that the nearer a year is to the reference year, the greater; the latest is in that year."""
+    year = F.year(when)
+    return ((F.lit(10) - F.abs(year - REF_YEAR)) * 1000 + F.when(year > REF_YEAR, 100).otherwise(0) + F.month(when)).cast("long")
+
+
 def forecast_control(t: Tables) -> DataFrame:
-    """One forecast run per month up to the reference year."""
-    runs = t.orders.where(F.year("o_orderdate") <= REF_YEAR).select(
-        month_id(F.col("o_orderdate")).alias("FORECAST_CONTROL_ID")).distinct()
-    run = F.col("FORECAST_CONTROL_ID")
-    return runs.select(run, F.make_date((run / 100).cast("int"), (run % 100).cast("int"), F.lit(1))
-                       .alias("REFERENCE_YEAR_PIT_DATE"))
+    """One forecast run per month of the orders."""
+    day = F.col("o_orderdate")
+    return t.orders.select(run_id(day).alias("FORECAST_CONTROL_ID"),
+                           F.make_date(F.year(day), F.month(day), F.lit(1)).alias("REFERENCE_YEAR_PIT_DATE")).distinct()
 
 
 def degree_faculty(t: Tables) -> DataFrame:
@@ -225,7 +225,7 @@ def forecast_load(t: Tables) -> DataFrame:
     key = F.col("o_orderkey")
     rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
     return rows.select(
-        month_id(F.col("o_orderdate")).alias("FORECAST_CONTROL_ID"),
+        run_id(F.col("o_orderdate")).alias("FORECAST_CONTROL_ID"),
         F.year("o_orderdate").alias("REFERENCE_YEAR"), F.col("c_mktsegment").alias("FUNDING_SOURCE"),
         F.col("c_nationkey").cast("long").alias("DEGREE_FACULTY_ID"),
         (F.col("o_custkey") % 25).cast("long").alias("FACULTY_ID"), level_of(key).alias("COURSE_LEVEL"),
@@ -335,7 +335,7 @@ def forecast_taught_crs_load(t: Tables) -> DataFrame:
     unit = F.col("l_suppkey")
     return rows.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("FORECAST_LOAD_ID"),
-        month_id(F.col("o_orderdate")).alias("FORECAST_CONTROL_ID"),
+        run_id(F.col("o_orderdate")).alias("FORECAST_CONTROL_ID"),
         (F.col("l_partkey") % 2).alias("FORECAST_METHODOLOGY_ID"), F.year("o_orderdate").alias("REFERENCE_YEAR"),
         F.concat(F.lit("T"), (unit % 5).cast("string")).alias("TEACHING_FACULTY"),
         F.concat(F.lit("D"), (unit % 10).cast("string")).alias("TR_ORG_UNIT_CD"),
@@ -351,4 +351,5 @@ def forecast_taught_crs_load(t: Tables) -> DataFrame:
         load("l_quantity").alias("REPORTED_FORECAST_TAUGHT_LOAD"))
 
 
-COURSE_RUNS = (199701, 199703, 199706, 199709, 199803, 199806, 199809, 199811)
+# Four months of 1997 and four of 1998.
+COURSE_RUNS = (9001, 9003, 9006, 9009, 10003, 10006, 10009, 10011)

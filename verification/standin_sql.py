@@ -11,7 +11,7 @@ FLAG = "CASE {0} WHEN 'F' THEN 'Y' WHEN 'O' THEN 'N' END"
 LEVEL = "CASE {0} % 5 WHEN 0 THEN 'UG' WHEN 1 THEN 'GPG' WHEN 2 THEN 'HDR' WHEN 3 THEN 'UG' WHEN 4 THEN 'PG' END"
 CAMPUS = "CASE {0} % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'N' WHEN 2 THEN 'R' END"
 BRAND = "nullif('Brand#' || CAST(1 + {0} % 25 AS VARCHAR), 'Brand#11')"
-MONTH_ID = "CAST(year({0}) * 100 + month({0}) AS BIGINT)"
+RUN_ID = "CAST((10 - abs(year({0}) - 1998)) * 1000 + CASE WHEN year({0}) > 1998 THEN 100 ELSE 0 END + month({0}) AS BIGINT)"
 DEC = "CAST({0} AS DECIMAL(18,4))"
 
 _ACCURACY_FORECAST = f"""
@@ -32,9 +32,9 @@ CTES: dict[str, str] = {
            make_date(year(o_orderdate), month(o_orderdate), 1) AS SNAPSHOT_DATE
     FROM orders""",
     "forecast_control": f"""
-    SELECT DISTINCT {MONTH_ID.format('o_orderdate')} AS FORECAST_CONTROL_ID,
+    SELECT DISTINCT {RUN_ID.format('o_orderdate')} AS FORECAST_CONTROL_ID,
            make_date(year(o_orderdate), month(o_orderdate), 1) AS REFERENCE_YEAR_PIT_DATE
-    FROM orders WHERE year(o_orderdate) <= 1998""",
+    FROM orders""",
     "degree_faculty": """
     SELECT CAST(n_nationkey AS BIGINT) AS DEGREE_FACULTY_ID, 'F' || CAST(n_nationkey AS VARCHAR) AS DEGREE_FACULTY_CD,
            CAST(y.y AS INTEGER) AS REFERENCE_YEAR, n_name AS DEGREE_FACULTY_NAME,
@@ -96,7 +96,7 @@ CTES: dict[str, str] = {
            {DEC.format("CASE WHEN o_orderstatus <> 'O' THEN o_totalprice END")} AS RETURNING_FORECAST_LOAD
     FROM orders""",
     "forecast_load": f"""
-    SELECT {MONTH_ID.format('o_orderdate')} AS FORECAST_CONTROL_ID, CAST(year(o_orderdate) AS INTEGER) AS REFERENCE_YEAR,
+    SELECT {RUN_ID.format('o_orderdate')} AS FORECAST_CONTROL_ID, CAST(year(o_orderdate) AS INTEGER) AS REFERENCE_YEAR,
            c_mktsegment AS FUNDING_SOURCE, CAST(c_nationkey AS BIGINT) AS DEGREE_FACULTY_ID,
            o_custkey % 25 AS FACULTY_ID, {LEVEL.format('o_orderkey')} AS COURSE_LEVEL,
            {CAMPUS.format('o_orderkey')} AS SCA_COORD_CAMPUS, substr(o_orderpriority, 1, 1) AS UNIT_MODE,
@@ -141,7 +141,7 @@ CTES: dict[str, str] = {
              WHEN '1-URGENT' THEN 'March' WHEN '2-HIGH' THEN 'March' WHEN '3-MEDIUM' THEN 'June'
              WHEN '4-NOT SPECIFIED' THEN 'September' WHEN '5-LOW' THEN 'November' END"""),
     "forecast_taught_crs_load": f"""
-    SELECT l_orderkey * 10 + l_linenumber AS FORECAST_LOAD_ID, {MONTH_ID.format('o_orderdate')} AS FORECAST_CONTROL_ID,
+    SELECT l_orderkey * 10 + l_linenumber AS FORECAST_LOAD_ID, {RUN_ID.format('o_orderdate')} AS FORECAST_CONTROL_ID,
            l_partkey % 2 AS FORECAST_METHODOLOGY_ID, CAST(year(o_orderdate) AS INTEGER) AS REFERENCE_YEAR,
            'T' || CAST(l_suppkey % 5 AS VARCHAR) AS TEACHING_FACULTY, 'D' || CAST(l_suppkey % 10 AS VARCHAR) AS TR_ORG_UNIT_CD,
            o_custkey % 25 AS FACULTY_ID, CAST(c_nationkey AS BIGINT) AS DEGREE_FACULTY_ID, c_mktsegment AS FUNDING_SOURCE,
