@@ -53,7 +53,8 @@ def cut(docs: DataFrame, tokenizer_json: str, end_id: int, size: int = 2048, doc
              pa.array(length, pa.int64()), packed], ["doc_id", "piece", "start", "length", "ids"])
 
     kind = given.schema["doc"].dataType.simpleString()
-    return map_batches(given, work, f"doc_id {kind}, piece int, start long, length long, ids binary")
+    # Larger slices hold fewer distinct units a byte, and each of those is looked up once a slice.
+    return map_batches(given, work, f"doc_id {kind}, piece int, start long, length long, ids binary", most=8 << 20)
 
 
 def plan(counts: Iterable[tuple[int, int]], size: int) -> list[tuple[int, int, int, int, int, int]]:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadkit.llm import textarrays as X
-from loadkit.llm.shared import map_batches, schema
+from loadkit.llm.shared import map_batches, schema, stage
 
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -115,7 +115,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, settings: Settings) -> D
              .groupBy("doc").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("other")).where("toxic = other").drop("other"))
     counts = known.groupBy("toxic").agg(F.count("*").alias("n"))
     share = F.pmod(F.xxhash64("doc", F.lit(5)), F.lit(1 << 40)) / float(1 << 40)
-    few = known.join(counts, "toxic").where(share * F.col("n") < F.lit(settings.sample)).select("doc", "toxic")
+    few = stage(known.join(counts, "toxic").where(share * F.col("n") < F.lit(settings.sample)).select("doc", "toxic"), "labelled-sample")
+    # About `sample` ids of each kind, which is checked; the texts are then not shuffled.
+    if few.count() <= 8 * settings.sample:
+        few = F.broadcast(few)
     return docs.select(F.col("doc_id").alias("doc"), F.col("text").alias("text")).join(few, "doc").select("doc", "text", "toxic")
 
 
@@ -195,7 +198,7 @@ class Judge:
 
     def known(self, word: str) -> list[int]:
         if word not in self.memo:
-            if len(self.memo) > 400_000:
+            if len(self.memo) > 100_000:
                 self.memo.clear()
             self.memo[word] = [self.number[f] for w in words_of(word) for f in features_of(w, self.settings.prefixes) if f in self.number]
         return self.memo[word]

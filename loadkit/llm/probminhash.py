@@ -221,7 +221,7 @@ def verified(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFram
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for some in slices(batch):
+            for some in slices(batch, most_rows=1000):
                 yield _similar(some, settings)
 
     return both.mapInArrow(run, "a long, b long, similarity double")

@@ -62,7 +62,8 @@ def op7_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = suffix_dedup.deduplicated(table(spark, sf_dir, "documents"))
-    return cut.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+                      (F.col("n_removed") > 0).alias("touched"), "kept_text")
 
 
 def op9_zstd_language(spark: SparkSession, sf_dir: str) -> DataFrame:

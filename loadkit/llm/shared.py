@@ -51,23 +51,28 @@ def schema(*parts: str | T.StructField) -> T.StructType:
 
 
 def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch] | pa.RecordBatch],
-                schema: str | T.StructType) -> DataFrame:
-    """`work` on slices of each Arrow batch that hold about a few MB of text, so that arrays in a task stay small."""
+                schema: str | T.StructType, most: int = 2 << 20, rows: int = 1 << 20) -> DataFrame:
+    """`work` on slices of each Arrow batch that hold about a few MB of text and no more than `rows` rows, so that arrays in a task stay small.
+
+    What a slice took is given back before the next, as the worker outlives the task.
+    """
     def run(batches):
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most, rows):
                 out = work(part)
                 yield from ([out] if isinstance(out, pa.RecordBatch) else out)
+                del out
+                pa.default_memory_pool().release_unused()
     return df.mapInArrow(run, schema)
 
 
-def slices(batch: pa.RecordBatch, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
-    """Row ranges of about `most` bytes, a longer row alone."""
+def slices(batch: pa.RecordBatch, most: int = 2 << 20, most_rows: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Row ranges of about `most` bytes and at most `most_rows` rows, a longer row alone."""
     rows, size = batch.num_rows, batch.nbytes
-    if rows <= 1 or size <= most:
+    if rows <= 1 or size <= most and rows <= most_rows:
         if rows:
             yield batch
         return
     half = rows // 2
-    yield from slices(batch.slice(0, half), most)
-    yield from slices(batch.slice(half), most)
+    yield from slices(batch.slice(0, half), most, most_rows)
+    yield from slices(batch.slice(half), most, most_rows)

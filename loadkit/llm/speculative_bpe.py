@@ -15,6 +15,8 @@ doc_id are each encoded; an empty table gives no rows.
 
 from __future__ import annotations
 
+import functools
+import heapq
 import json
 import re
 import unicodedata
@@ -23,13 +25,15 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from tokenizers import Tokenizer
 
 from loadkit.llm import textarrays as X
 from loadkit.llm.shared import columns, map_batches, schema
 from loadkit.llm.unit_tokens import UnitEncoder, kept
 
 #: Unicode's white space, and the words of the split pattern that begin with an apostrophe: fixed values.
-SPACE = "\t\n\x0b\x0c\r \x85\xa0             　  "
+SPACE = ("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+         "\u2028\u2029\u202f\u205f\u3000")
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 END = "</w>"
 
@@ -56,8 +60,49 @@ class Tables:
     pairs: np.ndarray
     pair_ranks: np.ndarray
     merges: dict[tuple[int, int], tuple[int, int]]
+    #: Letters and numbers as ranges of a regular expression, and the file without its model, for normalisation.
+    letters: str = ""
+    numbers: str = ""
+    frame: str = ""
 
 
+def frame_of(tokenizer_json: str) -> str:
+    """The file with its normaliser and split pattern only."""
+    file = json.loads(tokenizer_json)
+    return json.dumps(file | {"added_tokens": [], "model": {"type": "BPE", "vocab": {}, "merges": []}})
+
+
+def classes(frame: str) -> tuple[str, str]:
+    """Letters and numbers as the library has them.
+
+    Python's tables say it for every character they know. Those they do not know,
+    as newer tables may, are asked of the library's own split pattern: a letter joins
+    with letters on both sides, and two numbers stay apart.
+    """
+    split, kinds = Tokenizer.from_str(frame).pre_tokenizer.pre_tokenize_str, {}
+    for c in range(0x40000):
+        kind = unicodedata.category(chr(c))
+        if kind == "Cn":
+            pieces = len(split(f"a{chr(c)}a"))
+            kinds[c] = "L" if pieces == 1 else "N" if pieces == 3 and len(split(chr(c) * 2)) == 2 else ""
+        elif kind != "Cs":
+            kinds[c] = kind[0]
+    return _ranges(kinds, "L"), _ranges(kinds, "N")
+
+
+def _ranges(kinds: dict[int, str], kind: str) -> str:
+    out, first = [], None
+    for c in range(0x40001):
+        inside = kinds.get(c) == kind
+        if inside and first is None:
+            first = c
+        elif not inside and first is not None:
+            out.append(f"\\U{first:08x}-\\U{c - 1:08x}")
+            first = None
+    return "".join(out)
+
+
+@functools.lru_cache(maxsize=2)
 def load(tokenizer_json: str) -> Tables:
     """Tables of a vocabulary with word ends. Tokens that their own merges do not give are not proposed."""
     file = json.loads(tokenizer_json)
@@ -94,6 +139,8 @@ def load(tokenizer_json: str) -> Tables:
         if rank[number] >= 0 and merged(raw, tables, word_end, single) == [number]:
             (ending if word_end else ids)[raw] = number
     tables.longest = max(map(len, [*ids, *ending]))
+    tables.frame = frame_of(tokenizer_json)
+    tables.letters, tables.numbers = classes(tables.frame)
     return tables
 
 
@@ -103,20 +150,26 @@ def merged(word: bytes, tables: Tables, word_end: bool = True, single=None) -> l
     parts = [ids[word[k:k + 1]] for k in range(len(word))]
     if word_end:
         parts[-1] = ending[word[-1:]]
-    none = (1 << 60, 0)
-    found = [tables.merges.get(p, none) for p in zip(parts, parts[1:])]
-    while found:
-        best = min(found)
-        if best is none:
-            break
-        k = found.index(best)
-        parts[k:k + 2] = [best[1]]
-        del found[k]
-        if k < len(found):
-            found[k] = tables.merges.get((parts[k], parts[k + 1]), none)
-        if k:
-            found[k - 1] = tables.merges.get((parts[k - 1], parts[k]), none)
-    return parts
+    size, merges = len(parts), tables.merges
+    after, before = list(range(1, size + 1)), list(range(-1, size - 1))
+    # A heap of (rank, place of the left part, left, right, what they make); an entry whose parts have changed is passed over.
+    heap = [(found[0], k, parts[k], parts[k + 1], found[1]) for k in range(size - 1) if (found := merges.get((parts[k], parts[k + 1])))]
+    heapq.heapify(heap)
+    while heap:
+        _, k, one, two, made = heapq.heappop(heap)
+        right = after[k]
+        if parts[k] != one or right >= size or parts[right] != two:
+            continue
+        parts[k], parts[right] = made, -1
+        after[k] = after[right]
+        if after[k] < size:
+            before[after[k]] = k
+            if found := merges.get((made, parts[after[k]])):
+                heapq.heappush(heap, (found[0], k, made, parts[after[k]], found[1]))
+        left = before[k]
+        if left >= 0 and (found := merges.get((parts[left], made))):
+            heapq.heappush(heap, (found[0], left, parts[left], made, found[1]))
+    return [part for part in parts if part >= 0]
 
 
 def proposed(word: bytes, tables: Tables) -> list[int]:
@@ -164,16 +217,16 @@ class Words:
     def __init__(self, tables: Tables):
         self.tables = tables
         self.special = re.compile("|".join(re.escape(s) for s in sorted(tables.specials, key=len, reverse=True)) or r"(?!)")
-        letters, numbers = _class("L"), _class("N")
+        letters, numbers = tables.letters, tables.numbers
         self.split = re.compile("|".join([*CONTRACTIONS, f"[{letters}]+", f"[{numbers}]", f"[^{SPACE}{letters}{numbers}]+"]))
+        self.normalise = Tokenizer.from_str(tables.frame).normalizer.normalize_str
         self.verified: dict[int, bool] = {}
         self.exact = 0
 
     def words(self, text: str) -> list[bytes]:
-        if not text.isascii():
-            # Lower case is taken letter by letter; only this letter has another form at a word's end.
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        return [w.encode() for w in self.split.findall(text.lower())]
+        # The library's own normaliser, as its tables of letters may be newer than Python's.
+        text = text.lower() if text.isascii() else self.normalise(text)
+        return [w.encode() for w in self.split.findall(text)]
 
     def encode(self, units: list[str]) -> list[list[int]]:
         out: list[list[int]] = []
@@ -211,19 +264,6 @@ class Words:
         return cuts
 
 
-def _class(kind: str) -> str:
-    """The letters of a general category as ranges of a regular expression."""
-    out, first = [], None
-    for c in range(0x110001):
-        inside = c < 0x110000 and unicodedata.category(chr(c))[0] == kind
-        if inside and first is None:
-            first = c
-        elif not inside and first is not None:
-            out.append(f"\\U{first:08x}-\\U{c - 1:08x}")
-            first = None
-    return "".join(out)
-
-
 def encode(docs: DataFrame, tokenizer_json: str, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, ids) of every row; ids as 32-bit little-endian integers."""
     given = columns(docs, doc=doc, text=text)

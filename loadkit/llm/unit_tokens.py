@@ -20,14 +20,20 @@ from tokenizers import Tokenizer
 
 from loadkit.llm import textarrays as X
 
+#: Lead bytes in UTF-8 of the white space beyond ASCII (U+0085 and U+00A0, U+1680, U+2000 to U+205F, U+3000): fixed values.
+LEADS = (0xC2, 0xE1, 0xE2, 0xE3)
 #: Unicode's white space beyond ASCII.
-OTHER_SPACE = re.compile("[\x85\xa0  -     　]")
+OTHER_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+
+
+_LEAD = np.zeros(256, np.int64)
+_LEAD[list(LEADS)] = 1
 
 
 class Memo:
     """Ids of units, in two generations of at most `most` units, so that memory is bounded."""
 
-    def __init__(self, encode: Callable[[list[str]], list[np.ndarray]], most: int = 500_000):
+    def __init__(self, encode: Callable[[list[str]], list[np.ndarray]], most: int = 100_000):
         self.encode, self.most, self.young, self.old = encode, most, {}, {}
 
     def get(self, units: list[bytes]) -> list[bytes]:
@@ -64,14 +70,19 @@ class UnitEncoder:
 
     def ids(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids together, and where those of each text begin; a missing text has none."""
-        values = column.to_pylist() if self.keeps_space else None
+        data, offsets = X.flat(column)
         whole = {}
         if self.keeps_space:
-            whole = {i: np.asarray(self.encode([v])[0], "<u2") for i, v in enumerate(values)
-                     if v and not v.isascii() and OTHER_SPACE.search(v)}
+            # Only texts with a lead byte of other white space become strings, to be searched for it.
+            lead = _LEAD[data]
+            some = np.flatnonzero(np.add.reduceat(lead, offsets[:-1][np.diff(offsets) > 0])) if lead.any() else np.zeros(0, np.int64)
+            some = np.flatnonzero(np.diff(offsets) > 0)[some]
+            raw = data.tobytes() if len(some) else b""
+            found = {int(i): raw[offsets[i]:offsets[i + 1]].decode() for i in some}
+            whole = {i: np.asarray(self.encode([v])[0], "<u2") for i, v in found.items() if OTHER_SPACE.search(v)}
             if whole:
-                column = pa.array([None if i in whole else v for i, v in enumerate(values)], pa.string())
-        data, offsets = X.flat(column)
+                column = pa.array([None if i in whole else v for i, v in enumerate(column.to_pylist())], pa.string())
+                data, offsets = X.flat(column)
         texts = len(offsets) - 1
         words = X.Words(data, offsets)
         if self.keeps_space:
