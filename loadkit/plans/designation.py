@@ -21,7 +21,7 @@ FORECAST = "REPORTED_FORECAST_TAUGHT_LOAD"
 MEDICAL_LOAD, SUB_BACHELOR_LOAD = "MEDICAL_TAUGHT_LOAD", "SUBBACH_TAUGHT_LOAD"
 PARTS = ("DESIG_MED_UG", "SUBBACH", "NON_DESIGNATED")
 GROUPING = "Desig_Grouping"
-SET, LOADS, REPORT_DATE = "LOAD_SET", "LOADS", "REPDATE"
+SET, LOADS, REPORT_DATE, LABEL_BEFORE = "LOAD_SET", "LOADS", "REPDATE", "LABEL_BEFORE"
 
 
 def split_keys(institution: C.Institution) -> list[str]:
@@ -131,12 +131,15 @@ def split_to_long(split: DataFrame) -> DataFrame:
     return unpivot_drop_null(split, ids, PARTS, GROUPING, FORECAST)
 
 
-def designation_export(long: DataFrame, csp: str = C.CSP, graduate_level: str = "GPG") -> DataFrame:
+def designation_export(long: DataFrame, csp: str = C.CSP, graduate_level: str = "GPG", label_before: str | None = None) -> DataFrame:
     """Blanks filled and graduate load relabelled.
 
     The relabelling condition is three-valued: a row without a course level
-    whose fund is the one tested loses its label.
+    whose fund is the one tested loses its label. `label_before` names a column
+    that keeps the label as it was.
     """
+    if label_before:
+        long = long.withColumn(label_before, F.col(GROUPING))
     filled = long.withColumns({
         "SUA_LOCATION_CODE": F.coalesce("SUA_LOCATION_CODE", "SCA_COORD_CAMPUS"),
         "FUND_SOURCE": F.coalesce("FUND_SOURCE", F.lit(C.UNALLOCATED)),
@@ -162,12 +165,15 @@ def split_checks(forecast: DataFrame, medical: DataFrame, sub_bachelor: DataFram
                  snapshot: DataFrame | None = None) -> DataFrame:
     """All checks of the job in one pass, one row per check.
 
-    `run date` holds the latest report date of the actuals, and `snapshot date`
+    `final` may carry the label before the relabelling in `LABEL_BEFORE`; its rows then stand for those of `long` as well,
+    which is not computed. `run date` holds the latest report date of the actuals, and `snapshot date`
     the date of the snapshot they were taken from (see `snapshot_date`), against
     the date of the run; both are yyyymmdd numbers.
     """
     graduate = (F.col("FUND_SOURCE_DESCRIPTION") == csp) & (F.col("COURSE_LEVEL") == graduate_level)
     load, label = F.col(FORECAST), F.col(GROUPING)
+    carried = LABEL_BEFORE in final.columns
+    source, before = ("final", F.col(LABEL_BEFORE)) if carried else ("long", label)
     frames = {"medical": medical, "subbach": sub_bachelor, "parts": medical.select(REPORT_DATE).unionByName(sub_bachelor.select(REPORT_DATE)),
               "actuals": actuals, "forecast": forecast.withColumn(FORECAST, exact(forecast, FORECAST)), "split": split, "long": long,
               "final": final, "run": forecast.sparkSession.range(1).select(F.lit(int(as_of.strftime("%Y%m%d"))).alias("day"))}
@@ -180,10 +186,12 @@ def split_checks(forecast: DataFrame, medical: DataFrame, sub_bachelor: DataFram
         Check("run date", run, Side("actuals", "max", _day(F.to_date(REPORT_DATE, "MM-dd-yyyy")))),
         Check(f"forecast kept by join:{FORECAST}", Side("forecast", "total", load), Side("split", "total", load)),
         conserved("split", "parts equal forecast", FORECAST, PARTS),
-        *[Check(f"long equals wide:{part}", Side("split", "sum", F.col(part)), Side("long", "sum", load, label == part)) for part in PARTS],
+        *[Check(f"long equals wide:{part}", Side("split", "sum", F.col(part)), Side(source, "sum", load, before == part)) for part in PARTS],
         Check("relabelled:DESIGNATED_GPG", Side("forecast", "sum", load, graduate), Side("final", "sum", load, label == "DESIGNATED_GPG")),
-        *[Check(f"unchanged:{part}", Side("long", "sum", load, label == part), Side("final", "sum", load, label == part)) for part in PARTS[:2]],
+        *[Check(f"unchanged:{part}", Side(source, "sum", load, before == part), Side("final", "sum", load, label == part)) for part in PARTS[:2]],
     ]
+    if carried:
+        frames.pop("long")
     if snapshot is not None:
         frames["snapshot"] = snapshot
         checks.append(Check("snapshot date", run, Side("snapshot", "max", _day(F.col("SNAPSHOT_DATE")))))

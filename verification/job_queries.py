@@ -158,7 +158,8 @@ def q7_designation_export(t):
 def q8_reconcile(t):
     """All checks of the job."""
     d = Designation(t)
-    return G.split_checks(d.forecast, d.medical, d.subbach, d.actuals, d.split, d.long, d.final, S.AS_OF, snapshot=d.snapshot)
+    final = G.designation_export(d.long, label_before=G.LABEL_BEFORE)
+    return G.split_checks(d.forecast, d.medical, d.subbach, d.actuals, d.split, d.long, final, S.AS_OF, snapshot=d.snapshot)
 
 
 # --- accuracy -------------------------------------------------------------------------
