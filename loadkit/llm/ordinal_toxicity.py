@@ -119,7 +119,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, settings: Settings) -> D
     # About `sample` ids of each kind, which is checked; the texts are then not shuffled.
     if few.count() <= 8 * settings.sample:
         few = F.broadcast(few)
-    return docs.select(F.col("doc_id").alias("doc"), F.col("text").alias("text")).join(few, "doc").select("doc", "text", "toxic")
+    given = docs.select(F.col("doc_id").alias("doc"), F.col("text").alias("text")).join(few, "doc")
+    # Rows that repeat an id are one document, with the least of their texts.
+    return given.groupBy("doc", "toxic").agg(F.min("text").alias("text")).select("doc", "text", "toxic")
 
 
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:

@@ -63,8 +63,8 @@ class Settings:
     #: Ranks of the part `term`.
     ranks: int = 200
     #: Bytes of text counted at once, and bytes of text for each bucket.
-    slice: int = 16 << 20
-    bucket: int = 16 << 20
+    slice: int = 6 << 20
+    bucket: int = 8 << 20
     #: Sources of a block and terms of a tile.
     block: int = 64
     terms: int = 16_384

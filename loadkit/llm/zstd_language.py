@@ -20,10 +20,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadkit.llm.shared import columns, map_batches
+from loadkit.llm.shared import columns, map_batches, stage
 
 NONE = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -36,10 +36,11 @@ def plain(text: str) -> bytes:
 
 @dataclass(frozen=True)
 class Settings:
-    """The dictionaries learn from about `sample` texts of a language, a piece of
-    `piece` characters of each, up to `dictionary` bytes; `block` bytes are
-    compressed at a time. An answer needs a margin of `margin` of the smallest
-    size to be accepted."""
+    """The dictionaries learn from `sample` distinct texts of a language (all, if
+    there are fewer), a piece of `piece` characters of each, up to `dictionary`
+    bytes; `block` bytes are compressed at a time. An answer needs a margin of
+    `margin` of the smallest size to be accepted. Up to `few` chosen texts are
+    broadcast."""
 
     sample: int = 1200
     piece: int = 400
@@ -47,6 +48,7 @@ class Settings:
     block: int = 8 << 10
     level: int = 9
     margin: float = 0.01
+    few: int = 1_000_000
 
 
 def held_out(doc: Column) -> Column:
@@ -54,24 +56,35 @@ def held_out(doc: Column) -> Column:
     return F.coalesce(F.crc32(doc.cast("string")) % 4 == 2, F.lit(False))
 
 
-def learn(labelled: DataFrame, settings: Settings = Settings()) -> dict[str, bytes]:
-    """Dictionary content per language, from rows (text, lang).
+def sampled(labelled: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """(lang, at, text): a piece of each of the `sample` distinct texts of a language with the smallest hashes.
 
-    The sample is the rows with the smallest hashes, so it does not depend on
-    partitions; only about `sample` texts of each language reach the driver.
+    Copies of a text count once, so that a text in very many rows neither fills
+    the sample nor is shuffled: only (language, hash) is, and what is chosen of
+    it, `sample` rows per language, is counted before it is broadcast.
     """
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") > 0))
-    share = F.pmod(F.xxhash64("text", F.lit(9)), F.lit(1 << 40)) / float(1 << 40)
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    rows = rows.withColumn("at", F.xxhash64("text", F.lit(9)))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("at"))
+    first = rows.select("lang", "at").distinct().withColumn("nth", nth).where(F.col("nth") <= settings.sample)
+    chosen = stage(first.select("lang", "at"), "language-sample")
+    if chosen.count() <= settings.few:
+        chosen = F.broadcast(chosen)
     span = F.greatest(F.length("text") - settings.piece, F.lit(0)) + 1
     piece = F.substr("text", (F.pmod(F.xxhash64("text", F.lit(3)), span) + 1).cast("int"), F.lit(settings.piece))
-    few = (rows.join(counts, "lang").where(share * F.col("n") < F.lit(settings.sample))
-           .select("lang", piece.alias("text"), share.alias("at")))
+    return rows.join(chosen, ["lang", "at"]).groupBy("lang", "at").agg(F.min(piece).alias("text"))
+
+
+def learn(labelled: DataFrame, settings: Settings = Settings()) -> dict[str, bytes]:
+    """Dictionary content per language, from rows (text, lang).
+
+    The sample is chosen by hash, so it does not depend on partitions; at most
+    `sample` pieces of each language reach the driver.
+    """
     content: dict[str, list[bytes]] = {}
-    for row in sorted(few.collect(), key=lambda r: (r.lang, r.at, r.text)):
+    for row in sorted(sampled(labelled, settings).collect(), key=lambda r: (r.lang, r.at, r.text)):
         content.setdefault(row.lang, []).append(plain(row.text))
-    made = {lang: b"\n".join(dict.fromkeys(texts))[:settings.dictionary] for lang, texts in content.items()}
-    return made
+    return {lang: b"\n".join(dict.fromkeys(texts))[:settings.dictionary] for lang, texts in content.items()}
 
 
 class Scorer:

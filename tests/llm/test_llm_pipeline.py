@@ -1,11 +1,17 @@
 """Stages of the pipeline on planted rows, against plain Python."""
 
 import collections
+import math
 import random
 import re
+import struct
+import zlib
+
+import public_tokenizers
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from loadkit.llm import line_frequency, probminhash, suffix_dedup
+from loadkit.llm import line_frequency, ordinal_toxicity, probminhash, suffix_dedup
 
 
 def words(seed, n, short=False):
@@ -78,3 +84,56 @@ def test_copies_meet_in_plain_joins(spark):
     assert aggregates(one) == aggregates(probminhash.classes(df)) == aggregates(suffix_dedup.deduplicated(df)) == 0
     assert sorted(map(tuple, one.collect())) == sorted([docs[0], *docs[40:]])
     assert sorted((r.doc_id, r.class_id, r.class_size, r.kept) for r in probminhash.classes(df).collect())[39:41] == [(39, 0, 40, False), (100, 100, 1, True)]
+
+
+def test_an_empty_table_passes_through_all_stages(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.collect() == [] and {"doc_id", "piece", "sequence_id", "offset"} <= set(out.columns)
+
+
+def test_packing_places_the_librarys_ids(spark):
+    texts = [None, "", *[" ".join(words(f"pack {k}", 1 + 37 * k % 900)) for k in range(60)], "long " * 9000, "copy", "copy"]
+    rows = corpus_pipeline.packing(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "").collect()
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    by_doc, places = collections.defaultdict(list), collections.defaultdict(list)
+    for r in rows:
+        by_doc[r.doc_id].append(r), places[r.sequence_id].append((r.offset, r.length))
+    for k, text in enumerate(texts):
+        ids, at = [*library.encode(text or "", add_special_tokens=False).ids, 0], 0
+        for r in sorted(by_doc[k], key=lambda r: r.piece):
+            assert r.start == at and r.ids_crc32 == zlib.crc32(struct.pack(f"<{r.length}I", *ids[at:at + r.length]))
+            at += r.length
+        assert at == len(ids)
+    for held in places.values():
+        ends = [a + n for a, n in sorted(held)]
+        assert [a for a, _ in sorted(held)] == [0, *ends[:-1]] and ends[-1] <= 2048
+    total = sum(r.length for r in rows)
+    assert len(places) <= -(-total // 2048) + 1
+
+
+def test_toxicity_keeps_what_a_plain_score_keeps(spark):
+    """The stage's verdicts, by counting features and summing weights in plain Python."""
+    sf = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    model = ordinal_toxicity.fit(docs, labels)
+    settings, kept = ordinal_toxicity.Settings(), set()
+    judged = {r.doc_id: r for r in ordinal_toxicity.judge(docs, model).collect()}
+    for r in docs.collect():
+        times = collections.Counter(f for w in re.findall(r"[^\W\d_]+", (r.text or "").lower())
+                                    for f in [w, *[w[:k] + "*" for k in settings.prefixes if len(w) > k]] if f in model.weights)
+        score = sum(math.log1p(n) * model.weights[f] for f, n in times.items())
+        below = [1 / (1 + math.exp(-max(-40, min(40, c - score)))) for c in model.cuts]
+        severity = sum(1 - b for b in below)
+        assert abs(judged[r.doc_id].expected_severity - severity) < 1e-9 and list(model.cuts) == sorted(model.cuts)
+        if severity < settings.limit:
+            kept.add(r.doc_id)
+    assert {r.doc_id for r in corpus_pipeline.toxicity(spark, docs, sf).collect()} == kept and len(kept) < len(judged)
+
+
+def test_rows_that_repeat_an_id_are_one_labelled_document(spark):
+    docs = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (2, "c"), (3, None), (3, "d"), (4, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(6)], "doc_id long, toxic int")
+    rows = ordinal_toxicity.labelled_sample(docs, labels, ordinal_toxicity.Settings()).collect()
+    assert sorted((r.doc, r.text, r.toxic) for r in rows if r.text) == [(1, "a", 1), (2, "c", 0), (3, "d", 1)] and len(rows) == 4
