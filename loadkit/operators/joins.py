@@ -65,8 +65,12 @@ def left_lookup(fact: DataFrame, dim: DataFrame, on: dict[str, str],
 
     `on` maps fact column to dimension column and `take` maps dimension column
     to output name, so one dimension can be joined several times in different
-    roles. A missing code matches nothing, as in SQL.
+    roles. A missing code matches nothing, as in SQL. An output name that the
+    fact has already raises an error.
     """
+    clash = set(take.values()) & set(fact.columns)
+    if clash:
+        raise ValueError(f"columns that the fact has already: {sorted(clash)}")
     codes = list(dict.fromkeys(on.values()))
     side = dim.selectExpr(*[f"`{c}` AS `{_RIGHT}{c}`" for c in codes],
                           *[f"`{c}` AS `{name}`" for c, name in take.items()])

@@ -82,6 +82,37 @@ def test_checks_report_the_known_exceptions(job):
     assert float(report["parts equal forecast"].difference) == 3.0
 
 
+def test_dates_of_run_and_snapshot_can_fail(spark, job, frame):
+    control = frame("SNAPSHOT_ID long, REFERENCE_YEAR int, SNAPSHOT_DATE date", (5, 2019, date(2019, 9, 23)), (4, 2019, date(2019, 12, 1)),
+                    (9, 2018, date(2018, 1, 1)))
+    used = G.snapshot_date(control, date(2019, 9, 24))
+    rows = {r.check_name: r for r in G.split_checks(*job, as_of=date(2019, 9, 24), snapshot=used).collect()}
+    assert rows["run date"].ok and not rows["snapshot date"].ok
+    assert (int(rows["snapshot date"].expected), int(rows["snapshot date"].actual)) == (20190924, 20190923)
+    late = {r.check_name: r for r in G.split_checks(*job, as_of=date(2019, 9, 25)).collect()}
+    assert not late["run date"].ok and float(late["run date"].difference) == -1.0
+    # The latest of the report dates counts, not the last in the alphabet.
+    mixed = job[3].unionByName(job[3].withColumn("REPDATE", F.lit("12-31-2018")))
+    rows = {r.check_name: r for r in G.split_checks(*job[:3], mixed, *job[4:], as_of=date(2019, 9, 24)).collect()}
+    assert rows["run date"].ok
+
+
+def test_checks_read_the_export_for_both_labels(job):
+    final = G.designation_export(job[5], label_before=G.LABEL_BEFORE)
+    one = bag(G.split_checks(*job, as_of=date(2019, 9, 24)))
+    assert bag(G.split_checks(*job[:6], final, as_of=date(2019, 9, 24))) == one
+
+
+def test_sets_side_by_side_equal_their_full_join(spark, frame):
+    loads = frame("k string, s string, v decimal(18,4)", ("a", "m", 1), ("a", "m", 2), ("a", "n", 3), ("a", "n", None), ("b", "m", 4), ("c", "n", 5),
+                  (None, "m", 6), (None, "n", 7))
+    held = loads.groupBy("k").agg(F.collect_list(F.struct(F.col("s").alias(G.SET), F.col("v").alias("LOAD"))).alias(G.LOADS)).withColumn(
+        G.REPORT_DATE, F.lit("x"))
+    joined = G.combine_actuals(G.loads_of_set(held, "m"), G.loads_of_set(held, "n"))
+    wide = G.side_by_side(held, ["m", "n"])
+    assert bag(wide, *joined.columns) == bag(joined) and wide.count() == 7
+
+
 def test_export_name(job, forecast):
     assert G.export_name(job[6], "SPLIT") == "SPLIT 24092019 w Des_Ind - blank fix required.csv"
 

@@ -174,6 +174,12 @@ def test_align_hot_key_matches_brute_force(frame):
     assert bag(out) == brute_align(forecast, actual, ["March", "June"])
 
 
+def test_lookup_does_not_hide_a_column(frame):
+    fact, dim = frame("c string, name string", ("a", "x")), frame("c string, name string", ("a", "y"))
+    with pytest.raises(ValueError, match="name"):
+        left_lookup(fact, dim, {"c": "c"}, {"name": "name"})
+
+
 @pytest.mark.parametrize("key", [("hot", 1), (None, None)])
 @pytest.mark.parametrize("spread", [1, 7])
 def test_one_key_holds_most_actual_rows(frame, key, spread):

@@ -33,6 +33,22 @@ def test_query_equals_oracle(spark, oracle, name):
     assert ok, account
 
 
+@pytest.mark.parametrize("name", ["a12_total_member", "j10_hot_keys", "j10_per_month_full", "q4_rollup", "q8_reconcile", "q9_two_years",
+                                  "q12_q16_error_tables", "s4_sampled_types"])
+def test_query_equals_oracle_as_users_run_it(spark, oracle, name):
+    """With adaptive execution and generated code, which the other tests leave out for speed."""
+    users = {"spark.sql.adaptive.enabled": "true", "spark.sql.codegen.wholeStage": "true", "spark.sql.codegen.factoryMode": "FALLBACK"}
+    before = {k: spark.conf.get(k) for k in users}
+    try:
+        for k, v in users.items():
+            spark.conf.set(k, v)
+        ok, account = compare.compare(spark, oracle, QUERIES[name], ORACLE[name], SF)
+        assert ok, account
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_the_comparison_notices_a_difference(spark, oracle):
     wrong = ORACLE["a7_sum_or_zero"].replace("0.0)", "0.01)")
     assert wrong != ORACLE["a7_sum_or_zero"]
