@@ -38,11 +38,14 @@ def add_total_member(df: DataFrame, keys: Sequence[str], member: str,
     then dealt once, by the labelled keys, and summed and freed of doubles where
     they are. `keys` must identify a row of `df`. A total equal to a row that
     already carries the label is the same row and appears once. `dealt_by` names
-    fewer of the keys, if a later step is to group by no more than those.
+    fewer of the keys, if a later step is to group by no more than those, and
+    none of them if `df` is dealt already by keys other than `member`.
     """
     total = F.col("__is_total")
     rows = df.withColumn("__is_total", F.explode(F.array(F.lit(False), F.lit(True))))
-    rows = rows.withColumn(member, F.when(total, F.lit(label)).otherwise(_q(member))).repartition(*[_q(k) for k in dealt_by or keys])
+    rows = rows.withColumn(member, F.when(total, F.lit(label)).otherwise(_q(member)))
+    by = keys if dealt_by is None else dealt_by
+    rows = rows.repartition(*[_q(k) for k in by]) if by else rows
     out = rows.groupBy(*[_q(k) for k in keys], total).agg(*[strict_sum(_q(m)).alias(m) for m in measures])
     return out.select(*[f"`{c}`" for c in df.columns]).distinct()
 

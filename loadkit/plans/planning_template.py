@@ -10,7 +10,6 @@ them into doubles at the very end.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
@@ -300,11 +299,15 @@ def planned_load(t: PlanningTables, ref_year: int | None = None, as_of: date | N
     return _label(shown.groupBy(*SHOWN).agg(F.sum("EFTSL").alias("EFTSL")), rules)
 
 
+# Keys that neither the totals nor the roll-up change: dealt by these once, pivot, totals and roll-up shuffle no more.
+DEALT_BY = tuple(k for k in C.TEMPLATE_IDS if k not in ("UNIT_MODE", "COURSE_CD", "COURSE_DESCRIPTION"))
+
+
 def _template(planned: DataFrame) -> DataFrame:
     ids, named = list(C.TEMPLATE_IDS), C.TEMPLATE_MEASURES[:-1]
     cells = [*named, C.PLANNING_FORECAST, C.MONITORING_FORECAST, C.NO_MEASURE]
     filled = planned.fillna({"FUND_SOURCE": C.UNCLASSIFIED, "DESIGNATED_IND": "Non-CSP"})
-    filled = filled.select(*ids, "MEASURE", exact(filled, "EFTSL").alias("EFTSL"))
+    filled = filled.select(*ids, "MEASURE", exact(filled, "EFTSL").alias("EFTSL")).repartition(*DEALT_BY)
     wide = pivot_fixed(filled, ids, "MEASURE", "EFTSL", cells)
     # Tested before the cells are filled: a condition on the filled cells would be restated by the
     # optimizer for each subset of them as soon as a user filters the template.
@@ -313,8 +316,8 @@ def _template(planned: DataFrame) -> DataFrame:
             .select(*ids, *[f"`{m}`" for m in C.TEMPLATE_MEASURES]))
 
 
-def _totals(template: DataFrame, dealt_by: Sequence[str] | None = None) -> DataFrame:
-    return add_total_member(template, C.TEMPLATE_IDS, "UNIT_MODE", C.TEMPLATE_MEASURES, dealt_by=dealt_by)
+def _totals(template: DataFrame) -> DataFrame:
+    return add_total_member(template, C.TEMPLATE_IDS, "UNIT_MODE", C.TEMPLATE_MEASURES, dealt_by=())
 
 
 ROLLUP_KEYS = tuple(k for k in C.TEMPLATE_IDS if k not in ("COURSE_CD", "COURSE_DESCRIPTION"))
@@ -346,8 +349,7 @@ def template_with_totals(planned: DataFrame) -> DataFrame:
 
 def template_with_rollup(planned: DataFrame, level: str = C.ROLLUP_LEVEL) -> DataFrame:
     """Template with totals in which the courses of one level become one bucket row too."""
-    # Dealt by the keys of the roll-up, totals and roll-up need one shuffle after the pivot together.
-    return _loads(_rollup(_totals(_template(planned), ROLLUP_KEYS), level))
+    return _loads(_rollup(_totals(_template(planned)), level))
 
 
 def in_report_order(template: DataFrame) -> DataFrame:
