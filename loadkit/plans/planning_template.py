@@ -80,19 +80,43 @@ def _with_course(fact: DataFrame, versions: DataFrame) -> DataFrame:
 def _wide_fact(fact: DataFrame, ids: list[str], commencing: str, returning: str) -> DataFrame:
     """Sum both measures by the raw keys, then go long: half the rows of the other order."""
     summed = fact.groupBy(*ids).agg(*[sum_load(fact, c).alias(c) for c in (commencing, returning)])
-    return unpivot_drop_null(summed, ids, [commencing, returning], "INDICATOR", "EFTSL")
+    long = unpivot_drop_null(summed, ids, [commencing, returning], "INDICATOR", "EFTSL")
+    return long.withColumn("RAW_STUDENT", F.when(F.col("INDICATOR") == commencing, "Y").otherwise("N")).drop("INDICATOR")
 
 
-def _bucket_rows(long: DataFrame, t: PlanningTables, versions: DataFrame, commencing: str,
-                 rules: C.PlanningRules, bucket_year: int | None = None) -> DataFrame:
-    """Long plan or forecast rows with bucket, fund, faculty and course columns."""
+def _plans(t: PlanningTables, y: int) -> DataFrame:
+    """Long plan rows of last year's buckets: plan years, and last year's plan for the reference year."""
+    plan_year = F.col("PLAN_YEAR").cast("int")
+    plans = t.plan_details.where(plan_year.between(y, y + 4))
+    # Rows of other years' buckets vanish later anyway; without them the sum is of a fraction of the fact.
+    of_year = t.key_attributes_master.where(F.col("REFERENCE_YEAR") == y - 1).select("KEY_ATTRIBUTES_MASTER_ID")
+    plans = plans.join(of_year, "KEY_ATTRIBUTES_MASTER_ID", "left_semi")
+    ids = ["KEY_ATTRIBUTES_MASTER_ID", "COURSE_CD", "SCA_LOCATION_CD", "PLAN_YEAR", "REVIEWED"]
+    long = _wide_fact(plans, ids, "COMMENCING_LOAD", "RETURNING_LOAD")
+    both = F.array(F.lit(FAMILY_PLAN), F.lit(FAMILY_PREVIOUS_PLAN))
+    return long.withColumns({"FAMILIES": F.when(plan_year == y, both).otherwise(F.array(F.lit(FAMILY_PLAN))),
+                             "BUCKET_YEAR": F.lit(y - 1)})
+
+
+def _planning_forecasts(t: PlanningTables, y: int) -> DataFrame:
+    """Long planning forecast rows, of buckets of any year."""
+    ids = ["KEY_ATTRIBUTES_MASTER_ID", "COURSE_CD", "SCA_LOCATION_CD"]
+    long = _wide_fact(t.plan_forecast, ids, "COMMENCING_FORECAST_LOAD", "RETURNING_FORECAST_LOAD")
+    return long.withColumns({"PLAN_YEAR": F.lit(str(y)), "REVIEWED": F.lit(C.PLANNING_FORECAST),
+                             "FAMILIES": F.array(F.lit(C.PLANNING_FORECAST)), "BUCKET_YEAR": F.lit(None).cast("int")})
+
+
+def _bucket_rows(long: DataFrame, t: PlanningTables, versions: DataFrame, rules: C.PlanningRules) -> DataFrame:
+    """Long plan or forecast rows with bucket, fund, faculty and course columns, one per family.
+
+    A row with a `BUCKET_YEAR` stays only if its bucket is of that year.
+    """
     buckets = t.key_attributes_master
     fact = left_lookup(long, buckets, {"KEY_ATTRIBUTES_MASTER_ID": "KEY_ATTRIBUTES_MASTER_ID"}, {
         "REFERENCE_YEAR": "YEAR", "FUNDING_SOURCE": "FUNDING_SOURCE",
         "DEGREE_FACULTY_CD": "DEGREE_FACULTY_CD", "OWNING_FACULTY": "OWNING_FACULTY",
         "COURSE_LEVEL": "COURSE_LEVEL", "SCA_COORD_CAMPUS": "CAMPUS", "UNIT_MODE": "UNIT_MODE"})
-    if bucket_year is not None:
-        fact = fact.where(F.col("YEAR") == bucket_year)
+    fact = fact.where(F.col("BUCKET_YEAR").isNull() | (F.col("YEAR") == F.col("BUCKET_YEAR")))
     fact = _faculties(_fund(fact, t), t,
                       {"DEGREE_FACULTY_CD": "DEGREE_FACULTY_CD", "YEAR": "REFERENCE_YEAR"},
                       {"OWNING_FACULTY": "DEGREE_FACULTY_CD", "YEAR": "REFERENCE_YEAR"}, rules)
@@ -102,35 +126,11 @@ def _bucket_rows(long: DataFrame, t: PlanningTables, versions: DataFrame, commen
         "COURSE_CD": R.bucket_code(course),
         "COURSE_DESCRIPTION": R.bucket_description(course, F.col("ABBREVIATION")),
         "COURSE_LOCATION": R.location(F.col("SCA_LOCATION_CD")),
-        "RAW_STUDENT": F.when(F.col("INDICATOR") == commencing, "Y").otherwise("N"),
         "RAW_LEVEL": F.lit(None).cast("int"),
+        "FAMILY": F.explode("FAMILIES"),
     })
 
 
-def _plan_rows(t: PlanningTables, versions: DataFrame, y: int, rules: C.PlanningRules) -> DataFrame:
-    """Plan years of last year's buckets, and last year's plan for the reference year."""
-    plan_year = F.col("PLAN_YEAR").cast("int")
-    plans = t.plan_details.where(plan_year.between(y, y + 4))
-    # Rows of other years' buckets vanish below anyway; without them the sum is of a fraction of the fact.
-    of_year = t.key_attributes_master.where(F.col("REFERENCE_YEAR") == y - 1).select("KEY_ATTRIBUTES_MASTER_ID")
-    plans = plans.join(of_year, "KEY_ATTRIBUTES_MASTER_ID", "left_semi")
-    ids = ["KEY_ATTRIBUTES_MASTER_ID", "COURSE_CD", "SCA_LOCATION_CD", "PLAN_YEAR", "REVIEWED"]
-    long = _wide_fact(plans, ids, "COMMENCING_LOAD", "RETURNING_LOAD")
-    rows = _bucket_rows(long, t, versions, "COMMENCING_LOAD", rules, bucket_year=y - 1)
-    both = F.array(F.lit(FAMILY_PLAN), F.lit(FAMILY_PREVIOUS_PLAN))
-    families = F.when(plan_year == y, both).otherwise(F.array(F.lit(FAMILY_PLAN)))
-    return rows.withColumn("FAMILY", F.explode(families))
-
-
-def _planning_forecast_rows(t: PlanningTables, versions: DataFrame, y: int,
-                            rules: C.PlanningRules) -> DataFrame:
-    ids = ["KEY_ATTRIBUTES_MASTER_ID", "COURSE_CD", "SCA_LOCATION_CD"]
-    long = _wide_fact(t.plan_forecast, ids, "COMMENCING_FORECAST_LOAD", "RETURNING_FORECAST_LOAD")
-    return _bucket_rows(long, t, versions, "COMMENCING_FORECAST_LOAD", rules).withColumns({
-        "PLAN_YEAR": F.lit(str(y)), "REVIEWED": F.lit(C.PLANNING_FORECAST),
-        "FAMILY": F.lit(C.PLANNING_FORECAST)})
-
-
 def snapshot_roles(control: DataFrame, y: int, as_of: date) -> list[tuple[str, int, int, bool]]:
     """(family, snapshot id, plan year, by year level) of each measure taken from the actuals.
 
@@ -278,10 +278,13 @@ def planned_load(t: PlanningTables, ref_year: int | None = None, as_of: date | N
     versions = latest_version(t.course_version, bound)
     forecast_versions = (versions if forecast_version_date in (None, bound)
                          else latest_version(t.course_version, forecast_version_date))
+    plans, forecasts = _plans(t, y), _planning_forecasts(t, y)
+    # Plans and forecasts have the same keys, so one chain of lookups serves both, unless their version bounds differ.
+    of_buckets = ([_bucket_rows(plans.unionByName(forecasts), t, versions, rules)] if forecast_versions is versions else
+                  [_bucket_rows(plans, t, versions, rules), _bucket_rows(forecasts, t, forecast_versions, rules)])
     branches = [
-        _plan_rows(t, versions, y, rules),
+        *of_buckets,
         _actual_rows(t, versions, y, as_of, rules, dedupe_dims),
-        _planning_forecast_rows(t, forecast_versions, y, rules),
         _monitoring_rows(t, y, rules),
     ]
     # The home flag is grouped by its label, the student flag by its raw value.
