@@ -197,7 +197,7 @@ def _sketched(docs: DataFrame, doc: str, text: str, settings: Settings, carry: l
             ["_doc", "key", "bands", "registers", *["_row"] * len(rest)])
 
     made = schema(given.schema["_doc"], "key binary, bands array<long>, registers binary", *([given.schema["_row"]] if carry else []))
-    return stage(map_batches(given, work, made).withColumn("_id", F.monotonically_increasing_id()), "sketches")
+    return stage(map_batches(given, work, made, rows=1000).withColumn("_id", F.monotonically_increasing_id()), "sketches")
 
 
 def _texts(docs: DataFrame, text: str, members: DataFrame, settings: Settings) -> DataFrame:
@@ -221,7 +221,7 @@ def verified(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFram
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for some in slices(batch, most_rows=1000):
+            for some in slices(batch):
                 yield _similar(some, settings)
 
     return both.mapInArrow(run, "a long, b long, similarity double")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -50,6 +52,16 @@ def schema(*parts: str | T.StructField) -> T.StructType:
     return T.StructType([f for p in parts for f in (T.StructType.fromDDL(p).fields if isinstance(p, str) else [p])])
 
 
+_LIBC = ctypes.CDLL(None) if sys.platform == "linux" else None
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker outlives its task, and what it keeps counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
+
+
 def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch] | pa.RecordBatch],
                 schema: str | T.StructType, most: int = 2 << 20, rows: int = 1 << 20) -> DataFrame:
     """`work` on slices of each Arrow batch that hold about a few MB of text and no more than `rows` rows, so that arrays in a task stay small.
@@ -62,7 +74,7 @@ def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.Reco
                 out = work(part)
                 yield from ([out] if isinstance(out, pa.RecordBatch) else out)
                 del out
-                pa.default_memory_pool().release_unused()
+                give_back()
     return df.mapInArrow(run, schema)
 
 

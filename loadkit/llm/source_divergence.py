@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadkit.llm import textarrays as X
-from loadkit.llm.shared import columns, slices, stage
+from loadkit.llm.shared import columns, give_back, slices, stage
 
 WHOLE = 1_000_000_000
 PACKED = "bucket int, counts binary"
@@ -255,7 +255,7 @@ def chunk_counts(docs: DataFrame, buckets: int, settings: Settings = Settings())
         for batch in batches:
             for part in slices(batch, size):
                 yield count_slice(part).packed(buckets)
-                pa.default_memory_pool().release_unused()
+                give_back()
 
     given = docs.select(F.monotonically_increasing_id().alias("row"), "lang", "source", "text")
     return given.mapInArrow(count, PACKED)
@@ -274,12 +274,12 @@ def kept_cells(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     def to_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunks in each_bucket(batches, np.add):
             yield merged(terms_of(chunks), np.maximum).packed(buckets)
-            pa.default_memory_pool().release_unused()
+            give_back()
 
     def to_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for terms in each_bucket(batches, np.maximum):
             yield kept(terms, least)
-            pa.default_memory_pool().release_unused()
+            give_back()
 
     terms = by_bucket(chunk_counts(docs, buckets, settings), buckets).mapInArrow(to_terms, PACKED)
     return stage(by_bucket(terms, buckets).mapInArrow(to_cells, "lang string, source string, term string, count long, total long"), "kept-cells")
