@@ -6,7 +6,7 @@ beginnings of the same formatted conversation. So `expand` returns one row per
 turn with its formatted segment and where it begins; an example is the segments
 up to its target, and its loss span is given in code points from the beginning.
 This keeps the result as large as the input, also for very long conversations;
-`materialise` joins the text of every example.
+`materialise` forms the text of every example from these rows.
 
 A turn is `<|im_start|>role\\ntext<|im_end|>\\n`. In role and text, a `\\` is put
 after the `<` of every `<`, `\\`..., `|`; taking it away again gives the text
@@ -90,10 +90,21 @@ def text_of(segment: Column) -> Column:
 def materialise(expanded: DataFrame) -> DataFrame:
     """(conv_id, pos, text, loss_start, loss_chars) of every example, text being context and reply.
 
-    The result grows with the square of a conversation's turns, as the examples do.
+    The result grows with the square of a conversation's turns, as the examples do. Examples whose targets are
+    in one block of `BLOCK` turns are cut from one beginning, so those of a long conversation spread over tasks.
     """
-    whole = expanded.groupBy(F.col("conv_id").alias("w_conv")).agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "segment"))), lambda x: x["segment"]), "").alias("whole"))
+    block = F.floor(F.col("pos") / BLOCK)
+    blocks = expanded.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("pos", "segment"))).alias("turns"))
+    blocks = blocks.select(F.col("conv_id").alias("w_conv"), "turns",
+                           F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.size("turns") - 1) / BLOCK))).alias("w_block"))
+    upto = F.slice("turns", 1, ((F.col("w_block") + 1) * BLOCK).cast("int"))
+    blocks = blocks.select("w_conv", "w_block", F.array_join(F.transform(upto, lambda x: x["segment"]), "").alias("beginning"))
     end = (F.col("seg_start") + F.length("segment")).cast("int")
-    return (expanded.where("is_target").join(whole, F.col("conv_id").eqNullSafe(F.col("w_conv")))
-            .select("conv_id", "pos", F.substr("whole", F.lit(1), end).alias("text"), "loss_start", "loss_chars"))
+    met = F.col("conv_id").eqNullSafe(F.col("w_conv")) & (block == F.col("w_block"))
+    return (expanded.where("is_target").join(blocks, met)
+            .select("conv_id", "pos", F.substr("beginning", F.lit(1), end).alias("text"), "loss_start", "loss_chars"))
+
+
+def reply_of(example: Column, loss_start: Column, loss_chars: Column) -> Column:
+    """The reply, read back from an example's text under its loss mask."""
+    return unescape(F.substr(example, (loss_start + 1).cast("int"), loss_chars.cast("int")))

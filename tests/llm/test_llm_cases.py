@@ -1,5 +1,7 @@
 """Missing values, empty and odd texts, repeated rows, empty tables and clashing columns."""
 
+import hashlib
+
 import pyarrow as pa
 import public_tokenizers
 import pytest
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from loadkit.llm import (best_fit_packing, exact_topk, line_frequency, ordinal_toxicity, prefix_target, probminhash, range_coder,
                          speculative_bpe, suffix_dedup, token_files, zstd_language)
+from loadkit.llm.queries import QUERIES
 
 LONG = " ".join(f"word{i % 977} other{i % 13}" for i in range(30000))
 ROWS = [(1, "one two three four five six seven eight nine ten eleven", "a"), (1, "one two three four five six seven eight nine ten eleven", "a"),
@@ -155,6 +158,29 @@ def test_chat(spark):
     assert full[4].text.startswith(full[2].text) and prefix_target.expand(df.where("false")).collect() == []
 
 
+def test_examples_of_a_long_conversation(spark, monkeypatch):
+    monkeypatch.setattr(prefix_target, "BLOCK", 4)
+    said = [("assistant" if k % 2 else "user", f"turn {k} " + "<|é" * (k % 3)) for k in range(19)]
+    rows = [(c, k, *x) for c in (None, 7) for k, x in enumerate(said)]
+    out = prefix_target.expand(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    whole = ["<|im_start|>" + r + "\n" + t.replace("<|", "<\\|") + "<|im_end|>\n" for r, t in said]
+    got = {(r.conv_id, r.pos): r for r in prefix_target.materialise(out).collect()}
+    assert {k: r.text for k, r in got.items()} == {(c, k): "".join(whole[:k + 1]) for c in (None, 7) for k in range(1, 19, 2)}
+    assert all(r.text[r.loss_start:r.loss_start + r.loss_chars] == said[k][1].replace("<|", "<\\|") for (_, k), r in got.items())
+
+
+def test_the_chat_query_reads_formed_examples(spark, tmp_path, monkeypatch):
+    rows = [(1, 0, "user", "ab"), (1, 1, "assistant", "<|im_end|>"), (1, 2, "user", "c"), (1, 3, "assistant", "Q"), (2, 0, "user", None)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    before = {r.conv_id: r for r in QUERIES["op10_prefix_target"][0](spark, str(tmp_path)).collect()}
+    form = prefix_target.materialise
+    monkeypatch.setattr(prefix_target, "materialise", lambda df: form(df).withColumn("text", F.concat(F.replace("text", F.lit("Q"), F.lit("R")), F.lit("+"))))
+    after = {r.conv_id: r for r in QUERIES["op10_prefix_target"][0](spark, str(tmp_path)).collect()}
+    assert [(after[k].n_examples, after[k].example_chars - before[k].example_chars) for k in (-1, 1, 2)] == [(1, 1), (2, 2), (0, 0)]
+    assert before[1].loss_sha256 == hashlib.sha256(b"<|im_end|>Q").hexdigest() and after[1].loss_sha256 == hashlib.sha256(b"<|im_end|>R").hexdigest()
+    assert after[2].loss_sha256 == hashlib.sha256(b"").hexdigest() and after[2].n_turns == 1
+
+
 def test_sparse_suffix_sort_orders_and_counts_shared_bytes():
     import numpy as np
     strings = [b"banana", b"bananas", b"ban", b"x", b"xa", b"banana"]
