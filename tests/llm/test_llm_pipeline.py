@@ -47,6 +47,44 @@ def test_passages_of_over_50_words_are_cut(spark):
     assert [len(got[k].split()) for k in (0, 2, 4, 6)] == [70, 120, 70, 70] and len(" ".join(words(1, 51))) < 400
 
 
+def test_passages_are_found_by_sorted_suffixes(spark):
+    """Spans of windows of 5 words, with contexts sorted, counted as too many, and counted as too wide."""
+    r, pool = random.Random(4), words("pool", 40)
+
+    def some(k):
+        a = r.randrange(30)
+        return r.choice([words(r.random(), 3, k % 2), pool[a:a + r.randint(3, 10)], ["é" * 90]])
+
+    texts = [(" " if k % 3 else "  ").join(x for _ in range(r.randint(0, 9)) for x in some(k)) for k in range(120)]
+    texts += [texts[7], "", None, "a b c d e f\0", "a b c d e f", "x a b c d e"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    expected = without_passages([t or "" for t in texts], 5)
+    assert sum(map(len, expected)) < 0.8 * sum(len(t or "") for t in texts)
+    for changed in ({}, {"many": 3}, {"wide": 60}):
+        settings = suffix_dedup.Settings(length=9, gram=5, words=4, **changed)
+        got = {row.doc_id: row.kept_text for row in suffix_dedup.deduplicated(df, settings).collect()}
+        assert [got[k] or "" for k in range(len(texts))] == expected, changed
+
+
+def test_windows_of_words_in_sorted_contexts():
+    import numpy as np
+    contexts = [b"p a bb c d q", b"x a bb c d", b"a bb c dd", b"a bb c d"]
+    got = suffix_dedup.repeated_word_windows(np.array([0, 0, 0, 1]), contexts, np.array([c.index(b"bb") for c in contexts]), 4)
+    assert sorted(zip(*(x.tolist() for x in got))) == [(0, 2, 10), (1, 2, 10)]
+
+
+def test_pieces_of_a_long_text_hold_each_window_once(monkeypatch):
+    import numpy as np
+    monkeypatch.setattr(suffix_dedup, "PART", 40)
+    text = " ".join(words("parts", 300)).encode()
+    whole = suffix_dedup.word_windows(np.frombuffer(text, np.uint8), np.array([0, len(text)]), 5)
+    found = []
+    for piece, bounds, _, begins in suffix_dedup._parts(np.frombuffer(text, np.uint8), np.array([0, len(text)]), suffix_dedup.Settings(9, 5, words=4)):
+        _, _, start, end = suffix_dedup.word_windows(piece, bounds, 5)
+        found += zip((start + begins[0]).tolist(), (end + begins[0]).tolist())
+    assert found == list(zip(whole[2].tolist(), whole[3].tolist()))
+
+
 def test_a_group_of_near_copies_leaves_one_document(spark, tmp_path):
     def lines(seed):
         made = words(seed, 120)
