@@ -84,6 +84,17 @@ def test_total_equal_to_a_row_with_the_label_appears_once(frame):
         ("a", "TOTAL", 3), ("b", "F", 1), ("b", "TOTAL", 3), ("b", "TOTAL", 4)]
 
 
+def test_totals_take_one_shuffle_and_sum_repeated_keys(frame):
+    df = frame("k string, u string, v int", ("a", "x", 1), ("a", "x", 2), ("a", "y", 4), (None, "x", None), (None, "y", 5), ("c", "TOTAL", 6))
+    out = add_total_member(df, ["k", "u"], "u", ["v"])
+    assert bag(out) == [("a", "TOTAL", 7), ("a", "x", 3), ("a", "y", 4), ("c", "TOTAL", 6), (None, "TOTAL", None), (None, "x", None), (None, "y", 5)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    alone = add_total_member(df.where("v > 2").repartition("k"), ["k", "u"], "u", ["v"], dealt_by=(), unique=True)
+    plan = alone._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Aggregate" not in plan and bag(alone)[0] == ("a", "TOTAL", 4)
+
+
 def test_rollup_replaces_sentinel_rows(frame):
     df = frame("l string, c string, d string, v int", ("HDR", "x", "dx", 1), ("HDR", "y", "dy", 2),
                ("HDR", "*", "*", 4), ("UG", "*", "*", 8), ("UG", "z", "dz", 16), (None, "*", "q", 32), ("HDR", None, "n", 64))
