@@ -20,7 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadkit.llm import probminhash
@@ -44,7 +44,7 @@ class Rules:
     near: bool = False
 
 
-FIGURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, digest binary, lines array<struct<h:binary,w:int>>"
+FIGURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, lines array<struct<h:binary,w:int>>"
 RESULT = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_removed_lines",
           "n_removed_words", "base_failed", "kept")
 
@@ -101,39 +101,36 @@ def figures(column: pa.Array) -> pa.RecordBatch:
     np.cumsum(np.bincount(owner[real], minlength=texts), out=at[1:])
     lines = pa.ListArray.from_arrays(pa.array(at), pa.StructArray.from_arrays(
         [line_hashes, pa.array(line_words[real].astype(np.int32))], ["h", "w"]))
-    raw = data.tobytes()
-    digest = [xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
     return pa.RecordBatch.from_arrays(
         [pa.array(n_words), pa.array(X.per_text_bytes(words.solid & ((data & 0xC0) != 0x80), offsets)),
          pa.array(X.per_text_bytes(SYMBOLS[data], offsets)), pa.array(n_dup), pa.array(words.per_text(repeated)),
-         pa.array(digest, pa.binary()), lines],
-        ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "digest", "lines"])
+         lines],
+        ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lines"])
+
+
+def _digest(text: str) -> Column:
+    """128 bits that name a text; Spark makes them, so that no second Python worker is needed beside one that reads the text."""
+    return F.unhex(F.md5(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
 
 
 def _measured(docs: DataFrame, text: str, host: str, carried: list[str]) -> DataFrame:
     """Staged figures of every row, with a row number that stays as written."""
-    given = docs.select(F.col(f"`{text}`").alias("_text"), F.col(f"`{host}`").alias("_host"),
-                        F.struct(*[F.col(f"`{c}`") for c in carried]).alias("_row"))
+    # A carried text is read from its row, so that it is in a batch once.
+    given = docs.select(F.col(f"`{host}`").alias("_host"), _digest(text).alias("digest"), F.struct(*[F.col(f"`{c}`") for c in carried]).alias("_row"),
+                        *([] if text in carried else [F.col(f"`{text}`").alias("_text")]))
 
     def work(batch):
-        made = figures(batch.column("_text"))
-        return pa.RecordBatch.from_arrays([batch.column("_host"), batch.column("_row"), *made.columns],
-                                          ["_host", "_row", *made.schema.names])
+        made = figures(batch.column("_row").field(carried.index(text)) if text in carried else batch.column("_text"))
+        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("_host", "digest", "_row")), *made.columns],
+                                          ["_host", "digest", "_row", *made.schema.names])
 
-    out = map_batches(given, work, schema("_host string", given.schema["_row"], FIGURES))
+    out = map_batches(given, work, schema("_host string, digest binary", given.schema["_row"], FIGURES))
     return stage(out.withColumn("_id", F.monotonically_increasing_id()), "line-figures")
 
 
 def near_classes(docs: DataFrame, text: str) -> DataFrame:
     """Staged (digest, class): texts of one class are near duplicates; texts without words are one class."""
-    def work(batch):
-        data, offsets = X.flat(batch.column("text"))
-        raw = data.tobytes()
-        digest = [xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
-        return pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), batch.column("text")], ["digest", "text"])
-
-    keyed = map_batches(columns(docs, text=text), work, "digest binary, text string")
-    _, rows, labels = probminhash.links(keyed, doc="digest")
+    _, rows, labels = probminhash.links(docs.select(_digest(text).alias("digest"), F.col(f"`{text}`").alias("text")), doc="digest")
     known = rows.select(F.col("_doc").alias("digest"), "node").distinct().join(labels, "node", "left")
     return stage(known.select("digest", F.coalesce("label", "node", F.lit(-1)).alias("class")), "near-classes")
 

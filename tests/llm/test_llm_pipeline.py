@@ -8,6 +8,7 @@ import struct
 import zlib
 
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -175,3 +176,34 @@ def test_rows_that_repeat_an_id_are_one_labelled_document(spark):
     labels = spark.createDataFrame([(k, k % 2) for k in range(6)], "doc_id long, toxic int")
     rows = ordinal_toxicity.labelled_sample(docs, labels, ordinal_toxicity.Settings()).collect()
     assert sorted((r.doc, r.text, r.toxic) for r in rows if r.text) == [(1, "a", 1), (2, "c", 0), (3, "d", 1)] and len(rows) == 4
+
+
+def test_registers_hold_few_arrivals_at_once():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from loadkit.llm import probminhash
+    made = probminhash.Shingles(pa.array([" ".join(f"w{(7 * i + k) % 5000}" for k in range(60)) for i in range(1000)] + [None, "one"]), 5)
+    tracemalloc.start()
+    found = probminhash.registers(made, 252)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6 and found.shape == (1002, 252)
+    alone = probminhash.Shingles(pa.array([" ".join(f"w{(7 * 400 + k) % 5000}" for k in range(60))]), 5)
+    assert (probminhash.registers(alone, 252)[0] == found[400]).all() and not found[1000].any() and found[1001].all()
+
+
+def test_quality_has_one_python_worker_a_task(spark, monkeypatch):
+    from loadkit.llm import line_frequency, probminhash
+
+    class Seen(Exception):
+        pass
+
+    def links(docs, **named):
+        assert "MapInArrow" not in docs._jdf.queryExecution().toString() and docs.columns == ["digest", "text"]
+        raise Seen
+
+    monkeypatch.setattr(probminhash, "links", links)
+    with pytest.raises(Seen):
+        line_frequency.near_classes(spark.createDataFrame([(1, "a b c d e")], "doc_id long, text string"), "text")
