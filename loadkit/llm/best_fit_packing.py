@@ -54,7 +54,7 @@ def cut(docs: DataFrame, tokenizer_json: str, end_id: int, size: int = 2048, doc
 
     kind = given.schema["doc"].dataType.simpleString()
     # Larger slices hold fewer distinct units a byte, and each of those is looked up once a slice.
-    return map_batches(given, work, f"doc_id {kind}, piece int, start long, length long, ids binary", most=4 << 20)
+    return map_batches(given, work, f"doc_id {kind}, piece int, start long, length long, ids binary", most=2 << 20)
 
 
 def plan(counts: Iterable[tuple[int, int]], size: int) -> list[tuple[int, int, int, int, int, int]]:
