@@ -29,7 +29,7 @@ from tokenizers import Tokenizer
 
 from loadkit.llm import textarrays as X
 from loadkit.llm.shared import columns, map_batches, schema
-from loadkit.llm.unit_tokens import UnitEncoder, kept
+from loadkit.llm.unit_tokens import UnitEncoder, kept, known_split
 
 #: Unicode's white space, and the words of the split pattern that begin with an apostrophe: fixed values.
 SPACE = ("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
@@ -54,6 +54,8 @@ class Tables:
     ids: dict[bytes, int]
     ending: dict[bytes, int]
     longest: int
+    #: The most bytes of a token without a word end, by its first three bytes.
+    reach: dict[bytes, int]
     rank: np.ndarray
     left: np.ndarray
     right: np.ndarray
@@ -126,7 +128,7 @@ def load(tokenizer_json: str) -> Tables:
     order = np.argsort(keys)
     byte_of = {c: b for b, c in enumerate(byte_letters())}
     ids, ending = {}, {}
-    tables = Tables(names, specials, ids, ending, 0, rank, left, right, np.array(keys)[order], np.array(ranks)[order], merges)
+    tables = Tables(names, specials, ids, ending, 0, {}, rank, left, right, np.array(keys)[order], np.array(ranks)[order], merges)
     base, last = {}, {}
     for letter, b in byte_of.items():
         base[b], last[b] = vocab[letter], vocab[letter + END]
@@ -139,6 +141,9 @@ def load(tokenizer_json: str) -> Tables:
         if rank[number] >= 0 and merged(raw, tables, word_end, single) == [number]:
             (ending if word_end else ids)[raw] = number
     tables.longest = max(map(len, [*ids, *ending]))
+    for raw in ids:
+        if len(raw) > 2:
+            tables.reach[raw[:3]] = max(tables.reach.get(raw[:3], 0), len(raw))
     tables.frame = frame_of(tokenizer_json)
     tables.letters, tables.numbers = classes(tables.frame)
     return tables
@@ -174,12 +179,12 @@ def merged(word: bytes, tables: Tables, word_end: bool = True, single=None) -> l
 
 def proposed(word: bytes, tables: Tables) -> list[int]:
     """The greedy cut: from the left, the longest token that fits; only the last has a word end."""
-    parts, at, end, most, ids, ending = [], 0, len(word), tables.longest, tables.ids, tables.ending
+    parts, at, end, most, reach, ids, ending = [], 0, len(word), tables.longest, tables.reach, tables.ids, tables.ending
     while True:
         if end - at <= most and (last := ending.get(word[at:])) is not None:
             parts.append(last)
             return parts
-        for to in range(min(end - 1, at + most), at, -1):
+        for to in range(min(end - 1, at + reach.get(word[at:at + 3], 2)), at, -1):
             if (found := ids.get(word[at:to])) is not None:
                 parts.append(found)
                 at = to
@@ -247,6 +252,10 @@ class Words:
             ids[place:place + 1] = found
         return out
 
+    def plain(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words that need no splitting, as bytes of 16-bit integers."""
+        return [np.array(found, "<u2").tobytes() for found in self.encode_words(words)]
+
     def encode_words(self, words: list[bytes]) -> list[list[int]]:
         cuts = [proposed(w, self.tables) for w in words]
         size = len(self.tables.names)
@@ -264,6 +273,11 @@ class Words:
         return cuts
 
 
+def own_encoder(tables: Tables, tokenizer_json: str) -> UnitEncoder:
+    words = Words(tables)
+    return UnitEncoder(words.encode, keeps_space=False, plain=words.plain if known_split(tokenizer_json) else None)
+
+
 def encode(docs: DataFrame, tokenizer_json: str, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, ids) of every row; ids as 32-bit little-endian integers."""
     given = columns(docs, doc=doc, text=text)
@@ -272,7 +286,7 @@ def encode(docs: DataFrame, tokenizer_json: str, doc: str = "doc_id", text: str
 
     def work(batch):
         if not made:
-            made.append(kept("own", tokenizer_json, lambda: UnitEncoder(Words(shipped.value).encode, keeps_space=False)))
+            made.append(kept("own", tokenizer_json, lambda: own_encoder(shipped.value, tokenizer_json)))
         ids, at = made[0].ids(batch.column("text"))
         return pa.RecordBatch.from_arrays([batch.column("doc"), _packed(ids.astype("<u4"), at)], ["doc_id", "ids"])
 

@@ -74,3 +74,43 @@ def test_a_word_of_a_megabyte_takes_seconds(own):
     got = ids_of(own, [word])[0]
     assert time.perf_counter() - start < 60
     assert got == library("word_bpe_49k.json", [word])[0]
+
+
+@pytest.mark.parametrize("kind", ["word_bpe_49k.json", "byte_bpe_50k.json", "own"])
+def test_cut_words_at_every_code_point(kind):
+    name = "word_bpe_49k.json" if kind == "own" else kind
+    encoder = speculative_bpe.own_encoder(speculative_bpe.load(vocabulary(name)), vocabulary(name)) if kind == "own" else unit_tokens.library_encoder(vocabulary(name))
+    assert encoder.plain
+    for form in ("Éa{}b12.", " {0}1{0}+Ü", "\n('{}s,Zß"):
+        texts = [form.format(chr(c)) for c in POINTS if c < 0x3000 or c % 7 == 0]
+        assert [t for t, a, b in zip(texts, ids_of(encoder, texts), library(name, texts)) if a != b] == []
+
+
+def test_plain_words_share_units():
+    encoder = unit_tokens._library_encoder(vocabulary("word_bpe_49k.json"))
+    text = "word Word, (word) WORD12 Éa éa. it's"
+    assert ids_of(encoder, [text]) == library("word_bpe_49k.json", [text])
+    assert set(encoder.memo.young) == {b"word", b",", b"(", b")", b"1", b"2", "éa".encode(), b".", b"it's"}
+    encoder = unit_tokens._library_encoder(vocabulary("byte_bpe_50k.json"))
+    assert ids_of(encoder, [" Word, Word."]) == library("byte_bpe_50k.json", [" Word, Word."])
+    assert set(encoder.memo.young) == {b" Word", b",", b"."}
+
+
+def test_other_files_are_not_cut():
+    import json
+    file = json.loads(vocabulary("byte_bpe_50k.json"))
+    assert unit_tokens.known_split(json.dumps(file))
+    file["pre_tokenizer"]["add_prefix_space"] = True
+    assert not unit_tokens.known_split(json.dumps(file))
+
+
+def test_greedy_cut_is_the_longest_token():
+    tables = speculative_bpe.load(vocabulary("word_bpe_49k.json"))
+    for word in (b"internationalisation", b"zq", b"thouened", "übergrößen".encode(), b"a" * 300):
+        parts, at = [], 0
+        while word[at:] not in tables.ending:
+            to = max(k for k in range(at + 1, len(word)) if word[at:k] in tables.ids)
+            parts.append(tables.ids[word[at:to]])
+            at = to
+        assert speculative_bpe.proposed(word, tables) == [*parts, tables.ending[word[at:]]]
+    assert tables.reach[b"the"] == max(len(t) for t in tables.ids if t.startswith(b"the"))
