@@ -207,3 +207,30 @@ def test_quality_has_one_python_worker_a_task(spark, monkeypatch):
     monkeypatch.setattr(probminhash, "links", links)
     with pytest.raises(Seen):
         line_frequency.near_classes(spark.createDataFrame([(1, "a b c d e")], "doc_id long, text string"), "text")
+
+
+def test_only_tables_that_are_still_read_stay_on_disk(spark, tmp_path, monkeypatch):
+    from loadkit.llm import shared
+
+    monkeypatch.setattr(shared, "shared_dir", lambda _: str(tmp_path))
+    left = lambda: sorted(x.name[:-33] for x in tmp_path.iterdir())
+    passage = " ".join(words("passage", 60))
+    rows = [(k, f"{passage}\n" + " ".join(words(k, 40)), "web") for k in (1, 2, 3)] + [(4, " ".join(words(2, 40)) + " end", "web"), (None, None, None)]
+    docs = spark.createDataFrame([*rows, rows[0]], "doc_id long, text string, source string")
+
+    kept = line_frequency.clean(docs, line_frequency.Rules(near=True))
+    assert left() == ["line-verdicts"] and sorted(r.doc_id for r in kept.collect()) == [1, 1, 2, 3, 4]
+    kept = probminhash.one_of_each(docs)
+    assert left() == ["classes", "line-verdicts", "sketches"] and kept.count() == 5
+    cut = suffix_dedup.deduplicated(docs, suffix_dedup.PASSAGES)
+    assert left() == ["classes", "line-verdicts", "sketches", "spans"]
+    assert sorted(r.n_removed > 0 for r in cut.collect()) == [False, False, True, True, True, True]
+
+    with pytest.raises(ZeroDivisionError), shared.passing(spark) as keep:
+        shared.stage(docs, "gone")
+        with shared.passing(spark) as keep_inner:
+            outer, _ = keep_inner(shared.stage(docs, "outer")), shared.stage(docs, "inner")
+        assert left()[2:4] == ["line-verdicts", "outer"] and "inner" not in left() and outer.count() == 6
+        keep(outer)
+        1 / 0
+    assert left() == ["classes", "line-verdicts", "outer", "sketches", "spans"]
