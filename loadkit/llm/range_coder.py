@@ -26,6 +26,8 @@ ORDER2, ORDER1, RANK, NEW = 0, 1, 2, 15  # RANK + w: a rank of w bits (0 to 12);
 SLOTS, CONTEXTS, CHUNK = 1 << 10, 16, 128
 TOTAL, LEAST = 1 << 15, 16
 MOST_BLOCKS, LONGEST = 2048, 4096
+#: Blocks whose predictions are sorted at once, so that the sorts stay small.
+TOGETHER = 128
 MAGIC = b"TKR1"
 U64, WORD, TOP, SHIFT = np.uint64, np.uint64(16), np.uint64(48), np.uint64(15)
 LOW, ONE = np.uint64((1 << 48) - 1), np.uint64(1)
@@ -92,10 +94,14 @@ class Predictor:
         self.two, self.one = np.zeros(blocks * SLOTS, np.int32), np.zeros(blocks * SLOTS, np.int32)
         self.last, self.last2 = np.zeros(blocks, np.int32), np.zeros(blocks, np.int32)
 
+    @staticmethod
+    def slots(last2: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The slots of two ids and of one; 32 and 64 bits give the same."""
+        return ((last2 * 40503 + last * 10007) >> 3) & (SLOTS - 1), (last * 40503 >> 4) & (SLOTS - 1)
+
     def guess(self) -> np.ndarray:
         """Sets id2 and id1 (-1 where nothing is known) and returns the context number."""
-        self.at2 = self.base + (((self.last2 * 40503 + self.last * 10007) >> 3) & (SLOTS - 1))
-        self.at1 = self.base + ((self.last * 40503 >> 4) & (SLOTS - 1))
+        self.at2, self.at1 = (self.base + slot for slot in self.slots(self.last2, self.last))
         self.e2, self.e1 = self.two[self.at2], self.one[self.at1]
         self.id2, self.id1 = (self.e2 & 0x1FFFF) - 1, (self.e1 & 0x1FFFF) - 1
         return (self.e2 >> 17) * 4 + (self.e1 >> 17)
@@ -127,6 +133,8 @@ class Distributions:
         lower[:, :, 1:] = ends[:, :, :-1]
         self.lower = np.ascontiguousarray(lower.reshape(-1, SYMBOLS), np.int32)
         self.flat = self.lower.reshape(-1)
+        parts[:, :, -1] = TOTAL - lower[:, :, -1]
+        self.sizes = parts.reshape(-1)
 
     def count(self, context: np.ndarray, symbol: np.ndarray) -> None:
         """Add the symbols of a chunk (steps x blocks)."""
@@ -135,9 +143,7 @@ class Distributions:
 
     def part(self, context: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = (self.base + context) * SYMBOLS + symbol
-        begin = self.flat[at]
-        end = np.where(symbol == SYMBOLS - 1, TOTAL, self.flat[np.minimum(at + 1, len(self.flat) - 1)])
-        return begin, end - begin
+        return self.flat[at], self.sizes[at]
 
 
 def _first_ranks(rows: np.ndarray) -> np.ndarray:
@@ -158,19 +164,44 @@ def _first_ranks(rows: np.ndarray) -> np.ndarray:
     return rank
 
 
+def _followed(rows: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What a table of `Predictor` says at each step of each block, from one sort by slot: its count, and whether its id is right."""
+    order = np.argsort(slot, axis=1, kind="stable")
+    ordered, now = np.take_along_axis(slot, order, axis=1), np.take_along_axis(rows, order, axis=1)
+    known, right = np.zeros(rows.shape, bool), np.zeros(rows.shape, bool)
+    known[:, 1:] = ordered[:, 1:] == ordered[:, :-1]
+    right[:, 1:] = known[:, 1:] & (now[:, 1:] == now[:, :-1])
+    # An id leaves a count of one, and one more for each time, up to two, that it was right just before.
+    left = right.astype(np.uint8) + 1
+    left[:, 1:] += right[:, 1:] & right[:, :-1]
+    count = np.zeros(rows.shape, np.uint8)
+    count[:, 1:] = left[:, :-1] * known[:, 1:]
+    counts, rights = np.empty_like(count), np.empty_like(right)
+    np.put_along_axis(counts, order, count, axis=1)
+    np.put_along_axis(rights, order, right, axis=1)
+    return counts, rights
+
+
+def _modelled(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rank, context and symbol of each id (blocks x steps)."""
+    rank = _first_ranks(rows)
+    last, last2 = np.zeros(rows.shape, np.int64), np.zeros(rows.shape, np.int64)
+    last[:, 1:], last2[:, 2:] = rows[:, :-1], rows[:, :-2]
+    slot2, slot1 = Predictor.slots(last2, last)
+    count2, right2 = _followed(rows, slot2.astype(np.uint16))
+    count1, right1 = _followed(rows, slot1.astype(np.uint16))
+    by_rank = np.where(rank < 0, NEW + np.maximum(_WIDTH[rows], 1), RANK + _WIDTH[rank])
+    return rank, count2 * 4 + count1, np.where(right2, ORDER2, np.where(right1, ORDER1, by_rank))
+
+
 def _encode_rows(rows: np.ndarray) -> list[bytes]:
     """The codes of blocks of ids (blocks x steps)."""
     blocks, steps = rows.shape
-    ids, rank = np.ascontiguousarray(rows.T), np.ascontiguousarray(_first_ranks(rows).T)
+    ids, rank = np.ascontiguousarray(rows.T), np.empty((steps, blocks), np.int32)
     contexts, symbols = np.empty((steps, blocks), np.uint8), np.empty((steps, blocks), np.uint8)
-    predictor = Predictor(blocks)
-    for step in range(steps):
-        now, old = ids[step], rank[step]
-        contexts[step] = predictor.guess()
-        right2, right1 = predictor.id2 == now, predictor.id1 == now
-        by_rank = np.where(old < 0, NEW + np.maximum(_WIDTH[now], 1), RANK + _WIDTH[old])
-        symbols[step] = np.where(right2, ORDER2, np.where(right1, ORDER1, by_rank))
-        predictor.learn(now, right2, right1)
+    for at in range(0, blocks, TOGETHER):
+        some = slice(at, at + TOGETHER)
+        rank[:, some], contexts[:, some], symbols[:, some] = (x.T for x in _modelled(rows[some]))
     made, coder = Distributions(blocks), Coder(blocks, steps)
     for at in range(0, steps, CHUNK):
         some = slice(at, min(at + CHUNK, steps))

@@ -45,7 +45,8 @@ def _sections(tokenizer_json: str, end_id: int, kind: pa.DataType):
             made.append(library_encoder(tokenizer_json))
         seq, held, docs, counts, parts = 0, 0, [], [], []
         for batch in batches:
-            for some in slices(batch):
+            # Larger slices hold fewer distinct units a byte, and each of those is looked up once a slice.
+            for some in slices(batch, 4 << 20):
                 ids, at = made[0].ids(some.column("text"))
                 full = np.full(len(ids) + some.num_rows, end_id, "<u2")
                 full[np.arange(len(ids)) + np.repeat(np.arange(some.num_rows), np.diff(at))] = ids

@@ -2,6 +2,7 @@
 
 import hashlib
 
+import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
@@ -203,3 +204,20 @@ def test_stages_take_odd_rows(spark, odd):
     for name, stage in corpus_pipeline.STAGES[2:4]:
         out = stage(spark, odd, "/nowhere")
         assert out.columns == odd.columns and out.count() >= 6, name
+
+
+def test_predictions_of_a_whole_block_are_those_of_single_steps():
+    r = np.random.default_rng(3)
+    rows = np.where(r.random((5, 300)) < 0.7, r.integers(0, 6, (5, 300)), r.integers(0, 1 << 16, (5, 300))).astype(np.int32)
+    rows[3], rows[4] = 7, 65535
+    rank, contexts, symbols = range_coder._modelled(rows)
+    one = range_coder.Predictor(5)
+    for step in range(300):
+        now, old = rows[:, step], rank[:, step]
+        assert (one.guess() == contexts[:, step]).all()
+        right2, right1 = one.id2 == now, one.id1 == now
+        for k in range(5):
+            width = range_coder.NEW + max(1, int(now[k]).bit_length()) if old[k] < 0 else range_coder.RANK + int(old[k]).bit_length()
+            assert symbols[k, step] == (range_coder.ORDER2 if right2[k] else range_coder.ORDER1 if right1[k] else width)
+        one.learn(now, right2, right1)
+    assert (range_coder.decode(range_coder.encode(rows.reshape(-1), 300)) == rows.reshape(-1)).all()
